@@ -30,12 +30,15 @@ def to_raw(
 
 
 def batch_metrics(rows: DataFrame, event_time: str = "change_ts") -> list:
-    """Aggregates describing a batch; use with ``observe`` or ``agg``."""
+    """Aggregates describing a batch; use with ``observe`` or ``agg``.
+
+    Times are microseconds, because progress reports cut timestamps to seconds.
+    """
     malformed = F.col(CORRUPT).isNotNull() if CORRUPT in rows.columns else F.lit(False)
     return [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(is_fallback()).alias("fallback_rows"),
         F.count_if(malformed).alias("malformed_rows"),
-        F.min(instant(event_time)).alias("min_change_ts"),
-        F.max(instant(event_time)).alias("max_change_ts"),
+        F.unix_micros(F.min(instant(event_time))).alias("min_change_us"),
+        F.unix_micros(F.max(instant(event_time))).alias("max_change_us"),
     ]

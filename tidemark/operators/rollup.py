@@ -34,7 +34,7 @@ def freshness(df: DataFrame, by: list[str], changed: str, arrived: str) -> DataF
     counted = df.groupBy(*by, delay.alias("delay")).agg(
         F.max(changed).alias("newest"), F.count(F.lit(1)).alias("n")
     )
-    ranked = F.percentile("delay", [0.5, 0.95, 0.99], "n")
+    ranked = F.percentile("delay", [0.5, 0.95, 0.99], F.col("n"))
     return (
         counted.groupBy(*by)
         .agg(F.max("newest").alias("newest_change"), F.sum("n").alias("events"), ranked.alias("p"))

@@ -38,7 +38,7 @@ NO_SKEW = Skew()
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate, the figure it compares with the broadcast threshold."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def key_hash(keys: list[str]) -> Column:

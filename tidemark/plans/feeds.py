@@ -130,3 +130,75 @@ def order_variant_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "orders").select(F.to_json(event).cast("binary").alias("value"))
 
+
+
+def typed_events(spark: SparkSession, sf_dir: str, patch: bool = False) -> DataFrame:
+    """The clean feed as it reads back from the raw zone: typed, with order columns."""
+    amount = F.when(F.col("event_type") == "purchase", F.col("value")) if patch else F.col("value")
+    return table(spark, sf_dir, "events").select(
+        "user_id",
+        "event_type",
+        amount.alias("amount"),
+        "props",
+        event_op().alias("op"),
+        F.col("ts").alias("change_at"),
+        F.pmod(F.col("event_id"), F.lit(3)).cast("int").alias("kafka_partition"),
+        F.col("event_id").alias("kafka_offset"),
+    )
+
+
+def retail(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six tables of the retail model."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+
+    def located(df: DataFrame, key: str) -> DataFrame:
+        return df.join(nation, df[key] == nation["n_nationkey"], "left").drop("n_nationkey", key)
+
+    lines = table(spark, sf_dir, "lineitem")
+    return {
+        "customers": located(
+            table(spark, sf_dir, "customer").select(
+                F.col("c_custkey").alias("customer_id"),
+                F.col("c_name").alias("name"),
+                F.col("c_mktsegment").alias("segment"),
+                "c_nationkey",
+                F.col("c_acctbal").alias("balance"),
+            ),
+            "c_nationkey",
+        ),
+        "suppliers": located(
+            table(spark, sf_dir, "supplier").select(
+                F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("name"), "s_nationkey"
+            ),
+            "s_nationkey",
+        ),
+        "products": table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_name").alias("name"),
+            F.col("p_type").alias("category"),
+            F.col("p_retailprice").alias("price"),
+        ),
+        "orders": table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("order_date"),
+            F.col("o_totalprice").alias("order_amount"),
+            F.col("o_orderstatus").alias("status"),
+        ),
+        "order_items": lines.select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_linenumber").alias("line"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_suppkey").alias("supplier_id"),
+            F.col("l_quantity").alias("quantity"),
+            F.col("l_extendedprice").alias("amount"),
+        ),
+        "shipments": lines.select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_linenumber").alias("line"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_suppkey").alias("supplier_id"),
+            F.col("l_linestatus").alias("status"),
+            F.col("l_shipdate").alias("shipped"),
+        ),
+    }

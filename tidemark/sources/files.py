@@ -63,7 +63,7 @@ def scan_raw(
     ops: list[str] | None = None,
 ) -> DataFrame:
     """The raw zone, pruned by partition; the schema is given, so no footer is read for it."""
-    rows = spark.read.schema(schema).parquet(path)
+    rows = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     if first:
         rows = rows.filter(F.col("partition_date") >= F.lit(first))
     if last:

@@ -14,7 +14,7 @@ log = logging.getLogger("tidemark")
 
 METRICS_SCHEMA = (
     "table string, query_id string, batch_id bigint, rows bigint, fallback_rows bigint, "
-    "malformed_rows bigint, min_change_ts timestamp, max_change_ts timestamp, "
+    "malformed_rows bigint, min_change_us bigint, max_change_us bigint, "
     "input_rows bigint, duration_ms bigint, recorded_at timestamp"
 )
 
@@ -36,8 +36,8 @@ def progress_row(progress, name: str) -> tuple | None:
         seen["rows"],
         seen["fallback_rows"],
         seen["malformed_rows"],
-        seen["min_change_ts"],
-        seen["max_change_ts"],
+        seen["min_change_us"],
+        seen["max_change_us"],
         progress.numInputRows,
         progress.batchDuration,
         dt.datetime.now(dt.timezone.utc),
