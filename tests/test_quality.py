@@ -45,8 +45,8 @@ def test_malformed_rows_are_quarantined(spark, rows):
     df = spark.createDataFrame([("a", None), (None, "junk")], f"id string, {CORRUPT} string")
     rules = [{"id": "well_formed", "type": "well_formed"}]
     checked = quality.evaluate(df, rules)
-    assert rows(quality.quarantined(checked, rules), CORRUPT) == [("junk",)]
-    assert rows(quality.trusted(checked, rules), "id") == [("a",)]
+    assert rows(quality.quarantined(checked), CORRUPT) == [("junk",)]
+    assert rows(quality.trusted(checked), "id") == [("a",)]
 
 
 @pytest.mark.parametrize("skewed", [True, False])
@@ -70,8 +70,8 @@ def test_severity_and_scorecard(spark, rows):
         {"id": "low", "type": "range", "column": "v", "min": 10, "max": 1000, "severity": "warn"},
     ]
     checked = quality.evaluate(df, rules)
-    assert rows(quality.quarantined(checked, rules), "n") == [(4,)]
-    flagged = quality.trusted(checked, rules).filter(F.size(quality.FAILED) > 0)
+    assert rows(quality.quarantined(checked), "n") == [(4,)]
+    flagged = quality.trusted(checked).filter(F.size(quality.FAILED) > 0)
     assert rows(flagged, "n") == [(1,)]
     assert rows(quality.scorecard(checked, rules), "rule_id", "checked", "failed", "pass_rate") == [
         ("high", 4, 1, 0.75), ("low", 4, 1, 0.75),

@@ -7,17 +7,41 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.fold import DELETE
 from tidemark.operators.ordered import Along, along
-from tidemark.operators.skew import SMALL_BYTES, Skew, estimated_bytes, profile, replicate, spread
+from tidemark.operators.skew import (
+    SMALL_BYTES,
+    Skew,
+    estimated_bytes,
+    profile,
+    replicate,
+    scanned_bytes,
+    spread,
+)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst will broadcast ``df`` by its own size check."""
+BROADCAST_ROWS = 100_000
+
+
+def _broadcast_limit(df: DataFrame) -> int:
     spark = df.sparkSession
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     if limit.startswith("-"):
-        return False
-    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
-    return estimated_bytes(df) <= limit
+        return -1
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+
+
+def small_side(df: DataFrame) -> DataFrame | None:
+    """``df`` as it can be broadcast, or None if it is not shown to be small.
+
+    Catalyst's own check decides where its estimate is low. The estimate of a
+    joined table is a product, so where the files behind it are small its rows
+    are counted, up to ``BROADCAST_ROWS``.
+    """
+    limit = _broadcast_limit(df)
+    if estimated_bytes(df) <= limit:
+        return df
+    if scanned_bytes(df) <= limit and df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return F.broadcast(df)
+    return None
 
 
 def with_parent(
@@ -30,15 +54,16 @@ def with_parent(
 ) -> DataFrame:
     """Equi-join a child with its parent; ``how``: inner, left, left_semi or left_anti.
 
-    A parent within the broadcast threshold needs no shuffle and no salting.
-    Beyond it, child rows of hot keys are salted over many tasks and only the
+    A parent shown to be small is broadcast: no shuffle, no salting. Otherwise
+    child rows of hot keys are salted over many tasks and only the
     few parent rows of those keys are replicated.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a parent join cannot be {how!r}")
     if skew is None:
-        if child.isStreaming or fits_broadcast(parent):
-            return child.join(parent, on, how)
+        small = small_side(parent)
+        if small is not None or child.isStreaming:
+            return child.join(parent if small is None else small, on, how)
         skew = profile(child, on, small_bytes=small_bytes)
     if not skew:
         return child.join(parent, on, how)

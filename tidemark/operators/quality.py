@@ -8,41 +8,44 @@ arguments of its type. Nulls pass every rule except ``not_null`` and
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.parse import CORRUPT
 from tidemark.operators.joins import with_parent
-from tidemark.operators.skew import Skew
+from tidemark.operators.skew import Skew, is_hot, profile
 
 FAILED = "failed_rules"
-
-# type -> condition that is true where the rule is broken
-_BROKEN: dict[str, Callable[[dict], Column]] = {
-    "not_null": lambda r: F.col(r["column"]).isNull(),
-    "domain": lambda r: ~F.col(r["column"]).isin(r["values"]),
-    "range": lambda r: ~F.col(r["column"]).between(r["min"], r["max"]),
-    "pattern": lambda r: ~F.col(r["column"]).rlike(r["regex"]),
-    "parseable": lambda r: F.col(r["column"]).isNotNull()
-    & F.try_to_timestamp(F.col(r["column"]).cast("string")).isNull(),
-    "product": lambda r: F.abs(
+REJECTED = "rejected"
+
+# type -> condition that is true where the rule is broken, given column types
+_BROKEN: dict[str, Callable[[dict, dict[str, str]], Column]] = {
+    "not_null": lambda r, _: F.col(r["column"]).isNull(),
+    "domain": lambda r, _: ~F.col(r["column"]).isin(r["values"]),
+    "range": lambda r, _: ~F.col(r["column"]).between(r["min"], r["max"]),
+    "pattern": lambda r, _: ~F.col(r["column"]).rlike(r["regex"]),
+    "parseable": lambda r, types: F.col(r["column"]).isNotNull()
+    & (F.try_to_timestamp(r["column"]).isNull() if types[r["column"]] == "string" else F.lit(False)),
+    "product": lambda r, _: F.abs(
         F.col(r["column"]) - F.col(r["factors"][0]) * F.col(r["factors"][1])
     )
     >= r["tolerance"],
-    "days_between": lambda r: ~F.datediff(_day(r["column"]), _day(r["from"])).between(
-        r["min"], r["max"]
-    ),
-    "required_on": lambda r: (F.col("op") == r["op"])
-    & ~F.forall(F.array(*[F.col(c).isNotNull() for c in r["columns"]]), lambda ok: ok),
-    "well_formed": lambda r: F.col(r.get("column", CORRUPT)).isNotNull(),
+    "days_between": lambda r, types: ~F.datediff(
+        _day(r["column"], types), _day(r["from"], types)
+    ).between(r["min"], r["max"]),
+    "required_on": lambda r, _: (F.col("op") == r["op"])
+    & reduce(or_, [F.col(c).isNull() for c in r["columns"]]),
+    "well_formed": lambda r, _: F.col(r.get("column", CORRUPT)).isNotNull(),
 }
 # types that look beyond the row
 _ACROSS = ("unique", "referential")
 
 
-def _day(column: str) -> Column:
-    return F.try_to_date(F.col(column).cast("string"))
+def _day(column: str, types: dict[str, str]) -> Column:
+    return F.try_to_date(column) if types[column] == "string" else F.to_date(column)
 
 
 def _columns_of(rule: dict) -> list[str]:
@@ -72,9 +75,26 @@ def row_rules(rules: list[dict]) -> list[dict]:
 
 
 def _repeated(df: DataFrame, rule: dict, flag: str, skew: Skew | None) -> DataFrame:
+    """Flag rows whose key occurs more than once.
+
+    A window counts the copies, in one shuffle. Groups with many copies are
+    counted by a pre-aggregating group-by instead; there are few of them.
+    """
     keys = rule["columns"]
-    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    return with_parent(df, copies.withColumn(flag, F.lit(True)), keys, "left", skew=skew)
+    if skew is None:
+        skew = profile(df, keys)
+    hot = is_hot(keys, skew)
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    repeated = whole & (F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
+    if not skew:
+        return df.withColumn(flag, repeated)
+    cold_rows = df.filter(~hot).withColumn(flag, repeated)
+    hot_rows = df.filter(hot)
+    copies = hot_rows.groupBy(*keys).agg((whole & (F.count(F.lit(1)) > 1)).alias(flag))
+    copies = copies.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    marked = hot_rows.join(F.broadcast(copies), same).select(*df.columns, flag)
+    return cold_rows.unionByName(marked)
 
 
 def _dangling(df: DataFrame, rule: dict, parent: DataFrame, flag: str, skew: Skew | None) -> DataFrame:
@@ -91,46 +111,46 @@ def evaluate(
     parents: dict[str, DataFrame] | None = None,
     skew: Skew | None = None,
 ) -> DataFrame:
-    """Add ``failed_rules``, the ids of all rules a row breaks, in rule order.
+    """Add ``failed_rules``, the ids of the rules a row breaks, in rule order,
+    and ``rejected``, whether an error rule is among them.
 
     Row rules are one projection. ``unique`` and ``referential`` rules add a
     join each; ``parents`` holds the parent tables by name.
     """
     check(rules, df.columns)
-    kept = df.columns
+    kept, types = df.columns, dict(df.dtypes)
     broken = []
     for i, rule in enumerate(rules):
         flag = f"_broken_{i}"
         if rule["type"] == "unique":
             df = _repeated(df, rule, flag, skew)
-            broken.append((rule["id"], F.col(flag)))
+            broken.append((rule, F.col(flag)))
         elif rule["type"] == "referential":
             parent = (parents or {}).get(rule["parent"])
             if parent is None:
                 raise ValueError(f"rule {rule['id']} needs the table {rule['parent']!r}")
             df = _dangling(df, rule, parent, flag, skew)
-            broken.append((rule["id"], F.col(flag)))
+            broken.append((rule, F.col(flag)))
         else:
-            broken.append((rule["id"], _BROKEN[rule["type"]](rule)))
-    named = [F.when(condition, F.lit(id_)) for id_, condition in broken]
+            broken.append((rule, _BROKEN[rule["type"]](rule, types)))
+    named = [F.when(condition, F.lit(rule["id"])) for rule, condition in broken]
     failed = F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
-    return df.select(*kept, failed.alias(FAILED))
-
-
-def _has_error(rules: list[dict]) -> Column:
-    errors = [F.lit(r["id"]) for r in rules if r.get("severity", "error") == "error"]
-    if not errors:
-        return F.lit(False)
-    return F.arrays_overlap(F.col(FAILED), F.array(*errors))
+    errors = [
+        F.coalesce(condition, F.lit(False))
+        for rule, condition in broken
+        if rule.get("severity", "error") == "error"
+    ]
+    rejected = reduce(or_, errors, F.lit(False))
+    return df.select(*kept, failed.alias(FAILED), rejected.alias(REJECTED))
 
 
-def trusted(evaluated: DataFrame, rules: list[dict]) -> DataFrame:
+def trusted(evaluated: DataFrame) -> DataFrame:
     """Rows without broken error rules; broken warn rules stay listed."""
-    return evaluated.filter(~_has_error(rules))
+    return evaluated.filter(~F.col(REJECTED)).drop(REJECTED)
 
 
-def quarantined(evaluated: DataFrame, rules: list[dict]) -> DataFrame:
-    return evaluated.filter(_has_error(rules))
+def quarantined(evaluated: DataFrame) -> DataFrame:
+    return evaluated.filter(F.col(REJECTED)).drop(REJECTED)
 
 
 def scorecard(evaluated: DataFrame, rules: list[dict]) -> DataFrame:

@@ -20,7 +20,7 @@ _TRACKED = 4096  # sketch error 3.5 / 4096 of the rows, below 1 / SHARE
 _MERGERS = 256  # intermediate tasks merging the sketches of all scan tasks
 _RANK_K = 2048
 
-# Below this estimated size a single task can hold the whole input.
+# Below this size of the scanned files a single task can hold the whole input.
 SMALL_BYTES = 64 << 20
 
 
@@ -41,6 +41,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Estimated size of what ``df`` reads: unlike the estimate of a join, never a product."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def key_hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys)
 
@@ -61,7 +67,7 @@ def profile(
     df: DataFrame, keys: list[str], order: str | None = None, small_bytes: int = SMALL_BYTES
 ) -> Skew:
     """Hot keys of ``df`` and, given ``order``, split points of that column."""
-    if estimated_bytes(df) <= small_bytes:
+    if scanned_bytes(df) <= small_bytes:
         return NO_SKEW
     hashed = df.select(
         key_hash(keys).alias("h"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import enrich, joins, rollup
-from tidemark.plans.feeds import records, retail, table
+from tidemark.plans.feeds import records, Retail, table
 from tidemark.plans.registry import query
 
 
@@ -16,8 +16,8 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_da
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
 """)
 def enrich_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = retail(spark, sf_dir)
-    return enrich.orders_with_customers(m["orders"], m["customers"], ["name", "country", "segment"])
+    m = Retail(spark, sf_dir)
+    return enrich.orders_with_customers(m.orders, m.customers, ["name", "country", "segment"])
 
 
 @query("""
@@ -27,9 +27,9 @@ SELECT l_orderkey AS order_id, l_partkey AS product_id, l_linenumber AS line, l_
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
 """)
 def enrich_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = retail(spark, sf_dir)
-    lines = enrich.items_with_orders(m["order_items"], m["orders"], ["order_date", "status"])
-    return enrich.items_with_products(lines, m["products"], ["name", "category"])
+    m = Retail(spark, sf_dir)
+    lines = enrich.items_with_orders(m.order_items, m.orders, ["order_date", "status"])
+    return enrich.items_with_products(lines, m.products, ["name", "category"])
 
 
 @query("""
@@ -40,10 +40,10 @@ LEFT JOIN nation ON s_nationkey = n_nationkey
 """)
 def enrich_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products with each of their suppliers; lines tell who supplies what."""
-    m = retail(spark, sf_dir)
-    supplied = m["order_items"].select("product_id", "supplier_id").distinct()
-    offers = supplied.join(m["products"].select("product_id", "name", "category"), "product_id")
-    return enrich.products_with_suppliers(offers, m["suppliers"], ["name", "country"])
+    m = Retail(spark, sf_dir)
+    supplied = m.order_items.select("product_id", "supplier_id").distinct()
+    offers = supplied.join(m.products.select("product_id", "name", "category"), "product_id")
+    return enrich.products_with_suppliers(offers, m.suppliers, ["name", "country"])
 
 
 @query("""
@@ -52,8 +52,8 @@ SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS product_id, l_
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """)
 def enrich_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = retail(spark, sf_dir)
-    return enrich.shipments_with_orders(m["shipments"], m["orders"], ["order_date", "customer_id"])
+    m = Retail(spark, sf_dir)
+    return enrich.shipments_with_orders(m.shipments, m.orders, ["order_date", "customer_id"])
 
 
 @query("""
@@ -69,20 +69,20 @@ LEFT JOIN supplier ON suppkey = s_suppkey LEFT JOIN nation sn ON s_nationkey = s
 """)
 def enrich_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order line with order, customer, product and the product's first supplier."""
-    m = retail(spark, sf_dir)
-    customers = m["customers"].select(
+    m = Retail(spark, sf_dir)
+    customers = m.customers.select(
         "customer_id", F.col("name").alias("customer_name"), F.col("country").alias("customer_country")
     )
-    supplied = m["order_items"].groupBy("product_id").agg(F.min("supplier_id").alias("supplier_id"))
-    products = joins.with_parent(m["products"], supplied, ["product_id"], "left").select(
+    supplied = m.order_items.groupBy("product_id").agg(F.min("supplier_id").alias("supplier_id"))
+    products = joins.with_parent(m.products, supplied, ["product_id"], "left").select(
         "product_id", "supplier_id",
         F.col("name").alias("product_name"), F.col("category").alias("product_category"),
     )
-    suppliers = m["suppliers"].select(
+    suppliers = m.suppliers.select(
         "supplier_id", F.col("name").alias("supplier_name"), F.col("country").alias("supplier_country")
     )
-    orders = m["orders"].select("order_id", "customer_id", "order_date")
-    lines = m["order_items"].drop("supplier_id")
+    orders = m.orders.select("order_id", "customer_id", "order_date")
+    lines = m.order_items.drop("supplier_id")
     return enrich.order_lines(lines, orders, customers, products, suppliers)
 
 
@@ -92,9 +92,9 @@ WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
 """)
 def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders whose customer is gone: accounts in debt count as deleted."""
-    m = retail(spark, sf_dir)
-    live = m["customers"].filter(F.col("balance") >= 0)
-    return joins.orphans(m["orders"].select("order_id", "customer_id"), live, ["customer_id"])
+    m = Retail(spark, sf_dir)
+    live = m.customers.filter(F.col("balance") >= 0)
+    return joins.orphans(m.orders.select("order_id", "customer_id"), live, ["customer_id"])
 
 
 @query("""
@@ -102,17 +102,17 @@ SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders
 WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
 """)
 def known_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = retail(spark, sf_dir)
-    live = m["customers"].filter(F.col("balance") >= 0)
-    return joins.known(m["orders"].select("order_id", "customer_id"), live, ["customer_id"])
+    m = Retail(spark, sf_dir)
+    live = m.customers.filter(F.col("balance") >= 0)
+    return joins.known(m.orders.select("order_id", "customer_id"), live, ["customer_id"])
 
 
 @query("""
 SELECT o_orderkey AS order_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
 """)
 def orders_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = retail(spark, sf_dir)
-    return joins.orphans(m["orders"].select("order_id"), m["order_items"], ["order_id"])
+    m = Retail(spark, sf_dir)
+    return joins.orphans(m.orders.select("order_id"), m.order_items, ["order_id"])
 
 
 @query("""
@@ -123,9 +123,9 @@ GROUP BY ROLLUP (n_name, c_mktsegment, year(o_orderdate))
 """)
 def revenue_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue by country, segment and year, with subtotals."""
-    m = retail(spark, sf_dir)
-    customers = m["customers"].select("customer_id", "country", "segment")
-    sales = joins.with_parent(m["orders"], customers, ["customer_id"], "inner")
+    m = Retail(spark, sf_dir)
+    customers = m.customers.select("customer_id", "country", "segment")
+    sales = joins.with_parent(m.orders, customers, ["customer_id"], "inner")
     sales = sales.withColumn("year", F.year("order_date").cast("bigint"))
     return rollup.totals_with_subtotals(sales, ["country", "segment", "year"], F.col("order_amount"))
 
@@ -137,10 +137,10 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_
 GROUP BY p_type, date_trunc('month', o_orderdate)
 """)
 def revenue_by_category_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = retail(spark, sf_dir)
-    lines = m["order_items"].select("order_id", "product_id", "amount")
-    lines = enrich.items_with_orders(lines, m["orders"], ["order_date"])
-    lines = enrich.items_with_products(lines, m["products"], ["category"], "inner")
+    m = Retail(spark, sf_dir)
+    lines = m.order_items.select("order_id", "product_id", "amount")
+    lines = enrich.items_with_orders(lines, m.orders, ["order_date"])
+    lines = enrich.items_with_products(lines, m.products, ["category"], "inner")
     month = F.date_trunc("month", "order_order_date").cast("timestamp_ntz")
     return lines.groupBy(F.col("product_category").alias("category"), month.alias("month")).agg(
         F.count(F.lit(1)).alias("lines"), F.sum(rollup.money(F.col("amount"))).alias("revenue")

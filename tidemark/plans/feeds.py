@@ -48,8 +48,24 @@ ORDERS_V2 = load_spec("orders_v2")
 ORDERS = load_spec("orders")
 
 
+# The columns of the given tables; stating them saves reading a footer per table.
+COLUMNS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return use_utc(spark).read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def plain_time(*columns: str) -> dict[str, Column]:
@@ -147,58 +163,71 @@ def typed_events(spark: SparkSession, sf_dir: str, patch: bool = False) -> DataF
     )
 
 
-def retail(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six tables of the retail model."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+class Retail:
+    """The six tables of the retail model, each read when asked for."""
 
-    def located(df: DataFrame, key: str) -> DataFrame:
-        return df.join(nation, df[key] == nation["n_nationkey"], "left").drop("n_nationkey", key)
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._table = lambda name: table(spark, sf_dir, name)
 
-    lines = table(spark, sf_dir, "lineitem")
-    return {
-        "customers": located(
-            table(spark, sf_dir, "customer").select(
-                F.col("c_custkey").alias("customer_id"),
-                F.col("c_name").alias("name"),
-                F.col("c_mktsegment").alias("segment"),
-                "c_nationkey",
-                F.col("c_acctbal").alias("balance"),
-            ),
+    def _located(self, df: DataFrame, key: str) -> DataFrame:
+        nation = self._table("nation").select(F.col("n_nationkey").alias(key), F.col("n_name").alias("country"))
+        return df.join(nation, key, "left").drop(key)
+
+    @property
+    def customers(self) -> DataFrame:
+        rows = self._table("customer").select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_name").alias("name"),
+            F.col("c_mktsegment").alias("segment"),
+            F.col("c_acctbal").alias("balance"),
             "c_nationkey",
-        ),
-        "suppliers": located(
-            table(spark, sf_dir, "supplier").select(
-                F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("name"), "s_nationkey"
-            ),
-            "s_nationkey",
-        ),
-        "products": table(spark, sf_dir, "part").select(
+        )
+        return self._located(rows, "c_nationkey")
+
+    @property
+    def suppliers(self) -> DataFrame:
+        rows = self._table("supplier").select(
+            F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("name"), "s_nationkey"
+        )
+        return self._located(rows, "s_nationkey")
+
+    @property
+    def products(self) -> DataFrame:
+        return self._table("part").select(
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("name"),
             F.col("p_type").alias("category"),
             F.col("p_retailprice").alias("price"),
-        ),
-        "orders": table(spark, sf_dir, "orders").select(
+        )
+
+    @property
+    def orders(self) -> DataFrame:
+        return self._table("orders").select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").alias("order_date"),
             F.col("o_totalprice").alias("order_amount"),
             F.col("o_orderstatus").alias("status"),
-        ),
-        "order_items": lines.select(
+        )
+
+    @property
+    def order_items(self) -> DataFrame:
+        return self._table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("supplier_id"),
             F.col("l_quantity").alias("quantity"),
             F.col("l_extendedprice").alias("amount"),
-        ),
-        "shipments": lines.select(
+        )
+
+    @property
+    def shipments(self) -> DataFrame:
+        return self._table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("supplier_id"),
             F.col("l_linestatus").alias("status"),
             F.col("l_shipdate").alias("shipped"),
-        ),
-    }
+        )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import quality
 from tidemark.operators.enrich import items_with_products, shipments_with_orders
 from tidemark.operators.ingest import to_raw
-from tidemark.plans.feeds import EVENTS, records, retail
+from tidemark.plans.feeds import EVENTS, records, Retail
 from tidemark.plans.registry import FEED_SQL, query
 from tidemark.session import scratch_path
 from tidemark.streaming.sinks import replace_partitions
@@ -64,7 +64,7 @@ SELECT event_id AS kafka_offset, user_id, op, partition_date, failed_rules FROM
 """)
 def dq_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trusted zone, written and read back."""
-    good = quality.trusted(_checked(spark, sf_dir), list(EVENTS.rules))
+    good = quality.trusted(_checked(spark, sf_dir))
     return _listed(_zone(spark, good, "trusted"))
 
 
@@ -73,7 +73,7 @@ SELECT event_id AS kafka_offset, user_id, op, partition_date, failed_rules FROM
 """)
 def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarantine zone, written and read back."""
-    bad = quality.quarantined(_checked(spark, sf_dir), list(EVENTS.rules))
+    bad = quality.quarantined(_checked(spark, sf_dir))
     return _listed(_zone(spark, bad, "quarantine"))
 
 
@@ -112,9 +112,9 @@ FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) ON o
 """)
 def dq_order_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders against their domains and against customers in good standing."""
-    model = retail(spark, sf_dir)
-    live = model["customers"].filter(F.col("balance") >= 0)
-    checked = quality.evaluate(model["orders"], _ORDER_RULES, {"customers": live})
+    model = Retail(spark, sf_dir)
+    live = model.customers.filter(F.col("balance") >= 0)
+    checked = quality.evaluate(model.orders, _ORDER_RULES, {"customers": live})
     return checked.select("order_id", F.array_join(quality.FAILED, ",").alias("failed_rules"))
 
 
@@ -126,8 +126,8 @@ FROM lineitem JOIN part ON l_partkey = p_partkey
 """)
 def line_total_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantity times unit price against the amount on the line."""
-    model = retail(spark, sf_dir)
-    lines = items_with_products(model["order_items"], model["products"], ["price"], "inner")
+    model = Retail(spark, sf_dir)
+    lines = items_with_products(model.order_items, model.products, ["price"], "inner")
     rule = {"id": "line_total", "type": "product", "column": "amount",
             "factors": ["quantity", "product_price"], "tolerance": 0.01}
     checked = quality.evaluate(lines, [rule])
@@ -147,11 +147,11 @@ WHERE date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) NOT
 """)
 def ship_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipments outside 1 to 7 days after the order."""
-    model = retail(spark, sf_dir)
-    rows = shipments_with_orders(model["shipments"], model["orders"], ["order_date"])
+    model = Retail(spark, sf_dir)
+    rows = shipments_with_orders(model.shipments, model.orders, ["order_date"])
     rule = {"id": "window", "type": "days_between", "column": "shipped", "from": "order_order_date",
             "min": 1, "max": 7}
-    broken = quality.quarantined(quality.evaluate(rows, [rule]), [rule])
+    broken = quality.quarantined(quality.evaluate(rows, [rule]))
     return broken.select(
         "order_id", "line", "product_id", "supplier_id",
         F.datediff("shipped", "order_order_date").cast("bigint").alias("days"),

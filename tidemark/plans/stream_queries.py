@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.fold import fold_result
 from tidemark.operators.joins import with_parent
 from tidemark.operators.skew import profile
-from tidemark.plans.feeds import EVENTS, ORDER, as_records, event_op, plain_time, retail, table
+from tidemark.plans.feeds import COLUMNS, EVENTS, ORDER, as_records, event_op, plain_time, Retail, table
 from tidemark.plans.registry import FEED_SQL, query
 from tidemark.plans.state_queries import PATCH_STATE_SQL
 from tidemark.session import scratch_path, use_utc
@@ -23,8 +23,7 @@ ONCE = {"availableNow": True}
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables as a stream of its files."""
-    schema = table(spark, sf_dir, name).schema
-    return stream_table(use_utc(spark), f"{sf_dir}/{name}.parquet", schema)
+    return stream_table(use_utc(spark), f"{sf_dir}/{name}.parquet", COLUMNS[name])
 
 
 def _timed(events: DataFrame) -> DataFrame:
@@ -128,7 +127,7 @@ FROM events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_
 """)
 def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events enriched with the customer on the way."""
-    customers = retail(spark, sf_dir)["customers"].select(
+    customers = Retail(spark, sf_dir).customers.select(
         F.col("customer_id").alias("user_id"), "name", "country"
     )
     events = _stream(spark, sf_dir, "events").select("event_id", "ts", "user_id")

@@ -35,7 +35,7 @@ def stream_records(spark: SparkSession, path: str, files_per_batch: int | None =
 
 
 def stream_table(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int | None = None
 ) -> DataFrame:
     """A Parquet file or folder as a stream of its files.
 
