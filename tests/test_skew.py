@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import as_of, with_parent
 from tidemark.operators.ordered import Along, along
-from tidemark.operators.skew import NO_SKEW, SHARE, profile, replicate, slice_of, spread
+from tidemark.operators.skew import NO_SKEW, SHARE, profile, replicate, spread, with_slice
 
 
 @pytest.fixture(scope="module")
@@ -37,9 +37,11 @@ def test_small_inputs_skip_the_pass(events):
 
 
 def test_slices_are_even(events, skew):
-    sliced = events.withColumn("s", slice_of(["k"], "at", "timestamp", skew))
+    sliced = with_slice(events, ["k"], "at", skew, "s")
     biggest = sliced.groupBy("k", "s").count().agg(F.max("count")).first()[0]
     assert biggest < 30000 * 4 / SHARE
+    hot = sliced.filter("k = 7").select("s", F.unix_micros("at").alias("at")).collect()
+    assert all(r["s"] == sum(x <= r["at"] for x in skew.splits) for r in hot)
 
 
 def test_salted_rows_are_even(events, skew):

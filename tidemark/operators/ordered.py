@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import NO_SKEW, Skew, is_hot, profile, slice_of
+from tidemark.operators.skew import NO_SKEW, Skew, is_hot, profile, with_slice
 
 
 @dataclass(frozen=True)
@@ -80,8 +80,7 @@ def _unpack(df: DataFrame, want: Along) -> DataFrame:
 
 
 def _sliced(df: DataFrame, keys: list[str], order: list[str], want: Along, skew: Skew) -> DataFrame:
-    kind = dict(df.dtypes)[order[0]]
-    rows = df.withColumn("_slice", slice_of(keys, order[0], kind, skew))
+    rows = with_slice(df, keys, order[0], skew)
     edges = _edges(rows, keys, order, want)
     inside = _in_window(rows, [*keys, "_slice"], order, want)
 

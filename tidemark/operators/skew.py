@@ -100,15 +100,22 @@ def profile(
     return Skew(hot, splits)
 
 
-def slice_of(keys: list[str], order: str, kind: str, skew: Skew) -> Column:
-    """Which stretch of the ordering column a row is in; 0 for keys that are not hot.
+def with_slice(df: DataFrame, keys: list[str], order: str, skew: Skew, name: str = "_slice") -> DataFrame:
+    """Add which stretch of the ordering column a row is in; 0 for keys that are not hot.
 
     Slices ascend with the column and hold about ``1 / SHARE`` of all rows each.
+    The stretch is found by halving: one projection per step, all in generated code.
     """
-    position = _micros(F.col(order), kind)
-    splits = F.lit(list(skew.splits)).cast("array<bigint>")
-    reached = F.size(F.filter(splits, lambda s: s <= position))
-    return F.when(is_hot(keys, skew) & position.isNotNull(), reached).otherwise(F.lit(0))
+    last = 2**63 - 1
+    splits = F.lit([*skew.splits, *[last] * (SHARE - 1 - len(skew.splits))]).cast("array<bigint>")
+    position = _micros(F.col(order), dict(df.dtypes)[order])
+    found = df.withColumns({name: F.lit(0), "_position": F.when(is_hot(keys, skew), position)})
+    step = SHARE // 2
+    while step:
+        reached = F.get(splits, F.col(name) + F.lit(step - 1)) <= F.col("_position")
+        found = found.withColumn(name, F.col(name) + F.when(reached, step).otherwise(0))
+        step //= 2
+    return found.drop("_position")
 
 
 def spread(df: DataFrame, keys: list[str], skew: Skew, name: str = "_salt") -> DataFrame:
