@@ -176,3 +176,30 @@ def test_orders_meet_shipments(spark, rows, tmp_path, skewed):
     right = stream(spark, tmp_path, "s", shipments).withColumnRenamed("at", "shipped")
     got = ops.join_within(left, right, "order_id", "ordered", "shipped", "10 days", "1 day", "7 days", **kw)
     assert rows(finish(spark, tmp_path, got), "order_id", "line") == [("o1", 1), ("o2", 3)]
+
+
+def test_state_store_over_batches(spark, rows, tmp_path):
+    from test_state import COLUMNS, KEYS, ORDER, SCHEMA, nulled, random_events, replayed
+
+    from tidemark.operators.fold import latest_rows
+    from tidemark.streaming.stateful import STATE_STORE, live_state
+
+    events = nulled(random_events(21, 200))
+    frames = [spark.createDataFrame(events[i::2], SCHEMA).withColumn("at", F.timestamp_seconds("at")) for i in range(2)]
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:
+        upserts = live_state(stream(spark, tmp_path, "in", frames), KEYS, ORDER, COLUMNS)
+        out = f"{tmp_path}/out"
+        q = (
+            upserts.writeStream.outputMode("update")
+            .foreachBatch(lambda df, e: df.selectExpr("*", f"{e} as epoch").write.mode("overwrite").parquet(f"{out}/b={e}"))
+            .option("checkpointLocation", f"{tmp_path}/cp").trigger(**ONCE).start()
+        )
+        q.awaitTermination()
+    finally:
+        for k in STATE_STORE:
+            spark.conf.unset(k)
+    # late events keep the position but change the row, hence the epoch
+    last = latest_rows(spark.read.parquet(out), KEYS, ["position", "epoch"])
+    assert rows(last, *KEYS, *COLUMNS) == replayed(events)

@@ -69,7 +69,7 @@ def test_compaction_keeps_rows(spark, tmp_path):
             f"{tmp_path}/raw/generation=g/batch_id={batch}"
         )
     raw = spark.read.parquet(f"{tmp_path}/raw")
-    compact(spark, raw, f"{tmp_path}/compacted")
+    compact(raw, f"{tmp_path}/compacted")
     got = spark.read.parquet(f"{tmp_path}/compacted")
     assert got.count() == 15 and "batch_id" not in got.columns
     assert len(got.inputFiles()) == 1

@@ -15,6 +15,13 @@ LINEAGE = {
     "offset": "kafka_offset",
     "timestamp": "kafka_timestamp",
 }
+LINEAGE_FIELDS = [
+    T.StructField("kafka_key", T.StringType()),
+    T.StructField("kafka_topic", T.StringType()),
+    T.StructField("kafka_partition", T.IntegerType()),
+    T.StructField("kafka_offset", T.LongType()),
+    T.StructField("kafka_timestamp", T.TimestampType()),
+]
 # Fixed value: where rows without a usable date land.
 FALLBACK_DATE = "1900-01-01"
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.fold import DELETE
 from tidemark.operators.ordered import Along, along
 from tidemark.operators.skew import (
+    BROADCAST_ROWS,
     SMALL_BYTES,
     Skew,
     estimated_bytes,
@@ -18,9 +19,6 @@ from tidemark.operators.skew import (
 )
 
 
-BROADCAST_ROWS = 100_000
-
-
 def _broadcast_limit(df: DataFrame) -> int:
     spark = df.sparkSession
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -8,11 +8,13 @@ own, and one summary row per slice supplies what crosses the cut.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import NO_SKEW, Skew, is_hot, profile, with_slice
+from tidemark.operators.skew import BROADCAST_ROWS, SHARE, Skew, is_hot, profile, with_slice
 
 
 @dataclass(frozen=True)
@@ -84,10 +86,11 @@ def _sliced(df: DataFrame, keys: list[str], order: list[str], want: Along, skew:
     edges = _edges(rows, keys, order, want)
     inside = _in_window(rows, [*keys, "_slice"], order, want)
 
-    renamed = edges.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, "_slice"])], *edges.columns[len(keys) + 1:])
-    match = F.lit(True)
-    for i, k in enumerate([*keys, "_slice"]):
-        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    place = [*keys, "_slice"]
+    renamed = edges.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(place)})
+    if len(skew.hot) * SHARE <= BROADCAST_ROWS:  # one row per hot key and slice at most
+        renamed = F.broadcast(renamed)
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(place)])
     joined = inside.join(renamed, match, "left")
 
     patched = {}
@@ -119,5 +122,3 @@ def along(
     hot_rows = _sliced(df.filter(hot), keys, order, want, skew)
     return _unpack(cold_rows.unionByName(hot_rows), want)
 
-
-__all__ = ["Along", "along", "NO_SKEW"]

@@ -20,6 +20,9 @@ _TRACKED = 4096  # sketch error 3.5 / 4096 of the rows, below 1 / SHARE
 _MERGERS = 256  # intermediate tasks merging the sketches of all scan tasks
 _RANK_K = 2048
 
+# Rows a broadcast may hold where they are counted or bounded beforehand.
+BROADCAST_ROWS = 100_000
+
 # Below this size of the scanned files a single task can hold the whole input.
 SMALL_BYTES = 64 << 20
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import key_id, key_op, padded_id
-from tidemark.functions.parse import CORRUPT, decode, is_fallback
+from tidemark.functions.parse import CORRUPT, LINEAGE_FIELDS, decode, is_fallback
 from tidemark.operators import conform as cf
 from tidemark.operators import evolution, replay, rollup
 from tidemark.operators.ingest import batch_metrics, to_raw
@@ -231,13 +231,7 @@ def evolve_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed_with_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lineage")
     land_batch(records(spark, sf_dir), EVENTS, path, lineage=True)
-    extra = [
-        T.StructField("kafka_key", T.StringType()),
-        T.StructField("kafka_partition", T.IntegerType()),
-        T.StructField("kafka_offset", T.LongType()),
-        T.StructField("kafka_timestamp", T.TimestampType()),
-    ]
-    return scan_raw(spark, path, raw_schema(EVENTS, extra))
+    return scan_raw(spark, path, raw_schema(EVENTS, LINEAGE_FIELDS))
 
 
 @query("""

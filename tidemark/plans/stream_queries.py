@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.fold import fold_result
+from tidemark.operators.fold import fold_result, latest_rows
 from tidemark.operators.joins import with_parent
 from tidemark.operators.skew import profile
 from tidemark.plans.feeds import COLUMNS, EVENTS, ORDER, as_records, event_op, plain_time, Retail, table
@@ -17,6 +17,7 @@ from tidemark.streaming import operators as ops
 from tidemark.streaming.ingest import start_ingest
 from tidemark.streaming.metrics import METRICS_SCHEMA, progress_row
 from tidemark.streaming.state import compact_state, read_state, state_writer
+from tidemark.streaming.stateful import STATE_STORE, live_state
 
 ONCE = {"availableNow": True}
 
@@ -95,12 +96,9 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finish(once.drop("event_id"), "stream-dedup").withColumns(plain_time("ts"))
 
 
-@query(PATCH_STATE_SQL)
-def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current state kept up to date batch by batch, then compacted."""
-    root = scratch_path(spark, "stream-state")
-    keys, columns = ["user_id"], ["event_type", "amount", "props"]
-    events = _stream(spark, sf_dir, "events").select(
+def _patches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed whose updates carry an amount only with a purchase."""
+    return _stream(spark, sf_dir, "events").select(
         "user_id",
         "event_type",
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("amount"),
@@ -110,6 +108,14 @@ def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.pmod(F.col("event_id"), F.lit(3)).cast("int").alias("kafka_partition"),
         F.col("event_id").alias("kafka_offset"),
     )
+
+
+@query(PATCH_STATE_SQL)
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current state kept up to date batch by batch, then compacted."""
+    root = scratch_path(spark, "stream-state")
+    keys, columns = ["user_id"], ["event_type", "amount", "props"]
+    events = _patches(spark, sf_dir)
     run = (
         events.writeStream.foreachBatch(state_writer(f"{root}/state", keys, ORDER, columns))
         .option("checkpointLocation", f"{root}/checkpoint")
@@ -173,3 +179,33 @@ def stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _timed(_stream(spark, sf_dir, "events"))
     closed = ops.rates(events, "ts", "1 hour", "1 hour", ["event_type"])
     return _finish(closed, "stream-rates").withColumns(plain_time("window_start", "window_end"))
+
+
+@query(f"SELECT user_id, event_type, amount, props FROM ({PATCH_STATE_SQL})")
+def stream_state_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current state held in the state store; upserts are written and the last one per key read."""
+    root = scratch_path(spark, "stream-store")
+    keys, columns = ["user_id"], ["event_type", "amount", "props"]
+    upserts = live_state(_patches(spark, sf_dir), keys, ORDER, columns)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={epoch}")
+
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:
+        run = (
+            upserts.writeStream.outputMode("update")
+            .foreachBatch(write)
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(**ONCE)
+            .start()
+        )
+        run.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    written = spark.read.schema(upserts.schema.add("batch_id", "bigint")).parquet(f"{root}/out")
+    # a late event changes the row but not the position, hence the batch
+    return latest_rows(written, keys, ["position", "batch_id"]).select("user_id", *columns)

@@ -51,7 +51,7 @@ def ingest_tables(
             start_ingest(
                 source(spec),
                 spec,
-                f"{root}/raw/{spec.feeds}",
+                f"{root}/raw/{spec.table}",
                 f"{root}/checkpoints/{spec.table}",
                 trigger,
                 **options,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +54,33 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     ).partitionBy(*by).parquet(path)
 
 
-def compact(spark: SparkSession, source: DataFrame, target: str, by: list[str] = PARTITIONS) -> None:
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; empty if it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory())
+
+
+def replace_days(df: DataFrame, path: str, first: dt.date | None, last: dt.date | None) -> None:
+    """Rewrite the days from ``first`` to ``last`` of a zone, or all of it.
+
+    Days without rows are emptied too, which a dynamic overwrite would leave.
+    """
+    if first is None and last is None:
+        write_batch(df, path, ["partition_date"])
+        return
+    spark = df.sparkSession
+    for name in folders(spark, path):
+        day = name.removeprefix("partition_date=")
+        if name != day and (first is None or day >= str(first)) and (last is None or day <= str(last)):
+            where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    spread_files(df, ["partition_date"]).write.mode("append").partitionBy("partition_date").parquet(path)
+
+
+def compact(source: DataFrame, target: str, by: list[str] = PARTITIONS) -> None:
     """Rewrite closed days into few files in ``target``, one folder per partition value."""
     kept = [c for c in source.columns if c not in ("generation", "batch_id")]
     replace_partitions(source.select(*kept), target, by)

@@ -12,10 +12,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators.fold import fold_merge, fold_partial
-from tidemark.streaming.sinks import epoch_path, query_id
+from tidemark.streaming.sinks import epoch_path, folders, query_id
 
 
 def state_writer(
@@ -30,15 +29,6 @@ def state_writer(
     return write
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(where):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory())
-
-
 def _complete(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
@@ -46,7 +36,7 @@ def _complete(spark: SparkSession, path: str) -> bool:
 
 def _base(spark: SparkSession, root: str) -> tuple[str | None, dict[str, int]]:
     """The newest complete base and the last epoch of each generation it covers."""
-    versions = sorted((int(v.split("=")[1]), v) for v in _folders(spark, f"{root}/level=base"))
+    versions = sorted((int(v.split("=")[1]), v) for v in folders(spark, f"{root}/level=base"))
     for _, name in reversed(versions):
         path = f"{root}/level=base/{name}"
         if _complete(spark, f"{path}/state") and _complete(spark, f"{path}/covers"):
@@ -58,10 +48,10 @@ def _base(spark: SparkSession, root: str) -> tuple[str | None, dict[str, int]]:
 def _deltas(spark: SparkSession, root: str, covers: dict[str, int]) -> dict[str, list[int]]:
     """Epochs written after the base, by generation."""
     found = {}
-    for folder in _folders(spark, f"{root}/level=delta"):
+    for folder in folders(spark, f"{root}/level=delta"):
         generation = folder.split("=", 1)[1]
         path = f"{root}/level=delta/{folder}"
-        epochs = [int(b.split("=")[1]) for b in _folders(spark, path)]
+        epochs = [int(b.split("=")[1]) for b in folders(spark, path)]
         found[generation] = sorted(
             e
             for e in epochs
@@ -97,7 +87,3 @@ def compact_state(spark: SparkSession, root: str, keys: list[str]) -> str:
     rows.coalesce(1).write.mode("overwrite").parquet(f"{target}/covers")
     return target
 
-
-def stamped(events: DataFrame, event_time: str) -> DataFrame:
-    """Order columns of a parsed feed: event time, then broker coordinates."""
-    return events.withColumn("change_at", F.try_to_timestamp(event_time))
