@@ -16,12 +16,12 @@ from pyspark.sql import types as T
 
 from tidemark.functions.parse import CORRUPT, LINEAGE_FIELDS
 from tidemark.operators import quality
-from tidemark.session import build_session
+from tidemark.session import build_session, scratch_path
 from tidemark.sources import kafka
 from tidemark.sources.files import raw_schema, scan_raw, stream_records
 from tidemark.spec import CONFIG_DIR, TableSpec, load_specs
 from tidemark.streaming.ingest import ingest_tables
-from tidemark.streaming.sinks import compact, replace_days
+from tidemark.streaming.sinks import compact, remove, replace_days
 
 def landed(spark: SparkSession, spec: TableSpec, root: str, first=None, last=None) -> DataFrame:
     """The raw zone of a table as ``ingest`` writes it."""
@@ -46,24 +46,31 @@ def ingest(spark: SparkSession, specs: list[TableSpec], args) -> None:
 
 def check(spark: SparkSession, specs: list[TableSpec], args) -> None:
     """Raw to trusted and quarantine, with a scorecard; abort above the allowed share."""
-    by_name = {s.table: s for s in specs} | load_specs(args.config)
+    by_name = load_specs(args.config)
     for spec in specs:
         parents = {
             p: landed(spark, by_name[p], args.root).select(*by_name[p].primary_key)
             for p in set(spec.parents.values())
         }
         raw = landed(spark, spec, args.root, args.first, args.last)
-        checked = quality.evaluate(raw, list(spec.rules), parents)
-        if args.max_share < 1:
-            totals = checked.groupBy(quality.REJECTED).count().collect()
-            counts = {r[quality.REJECTED]: r["count"] for r in totals}
-            quality.enforce(sum(counts.values()), counts.get(True, 0), args.max_share)
-        replace_days(quality.trusted(checked), f"{args.root}/trusted/{spec.table}", args.first, args.last)
-        replace_days(
-            quality.quarantined(checked), f"{args.root}/quarantine/{spec.table}", args.first, args.last
-        )
-        card = quality.scorecard(checked, list(spec.rules))
-        card.coalesce(1).write.mode("overwrite").parquet(f"{args.root}/scorecards/{spec.table}")
+        # Rules across rows shuffle the table; what they find is kept for the readers below.
+        staged = scratch_path(spark, f"checked-{spec.table}")
+        try:
+            found = quality.evaluate(raw, list(spec.rules), parents)
+            found.write.partitionBy(quality.REJECTED).parquet(staged)
+            publish_checked(spark.read.schema(found.schema).parquet(staged), spec, args)
+        finally:
+            remove(spark, staged)
+
+
+def publish_checked(checked: DataFrame, spec: TableSpec, args) -> None:
+    totals = checked.groupBy(quality.REJECTED).count().collect()  # two rows
+    counts = {r[quality.REJECTED]: r["count"] for r in totals}
+    quality.enforce(sum(counts.values()), counts.get(True, 0), args.max_share)
+    replace_days(quality.trusted(checked), f"{args.root}/trusted/{spec.table}", args.first, args.last)
+    replace_days(quality.quarantined(checked), f"{args.root}/quarantine/{spec.table}", args.first, args.last)
+    card = quality.scorecard(checked, list(spec.rules))
+    card.coalesce(1).write.mode("overwrite").parquet(f"{args.root}/scorecards/{spec.table}")
 
 
 def compact_raw(spark: SparkSession, specs: list[TableSpec], args) -> None:

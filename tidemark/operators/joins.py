@@ -63,6 +63,9 @@ def with_parent(
         if small is not None or child.isStreaming:
             return child.join(parent if small is None else small, on, how)
         skew = profile(child, on, small_bytes=small_bytes)
+    if how in ("left_semi", "left_anti"):
+        # only existence matters: repeated keys are reduced before they are shuffled
+        parent = parent.select(*on).distinct()
     if not skew:
         return child.join(parent, on, how)
     salted = spread(child, on, skew).join(replicate(parent, on, skew), [*on, "_salt"], how)

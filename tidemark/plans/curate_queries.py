@@ -42,7 +42,8 @@ def enrich_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products with each of their suppliers; lines tell who supplies what."""
     m = Retail(spark, sf_dir)
     supplied = m.order_items.select("product_id", "supplier_id").distinct()
-    offers = supplied.join(m.products.select("product_id", "name", "category"), "product_id")
+    products = m.products.select("product_id", "name", "category")
+    offers = joins.with_parent(supplied, products, ["product_id"])
     return enrich.products_with_suppliers(offers, m.suppliers, ["name", "country"])
 
 

@@ -63,6 +63,11 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory())
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def replace_days(df: DataFrame, path: str, first: dt.date | None, last: dt.date | None) -> None:
     """Rewrite the days from ``first`` to ``last`` of a zone, or all of it.
 
@@ -75,8 +80,7 @@ def replace_days(df: DataFrame, path: str, first: dt.date | None, last: dt.date
     for name in folders(spark, path):
         day = name.removeprefix("partition_date=")
         if name != day and (first is None or day >= str(first)) and (last is None or day <= str(last)):
-            where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            remove(spark, f"{path}/{name}")
     spread_files(df, ["partition_date"]).write.mode("append").partitionBy("partition_date").parquet(path)
 
 
