@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.fold import fold_result, latest_rows
 from tidemark.operators.joins import with_parent
@@ -206,6 +207,7 @@ def stream_state_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    written = spark.read.schema(upserts.schema.add("batch_id", "bigint")).parquet(f"{root}/out")
+    schema = T.StructType([*upserts.schema.fields, T.StructField("batch_id", T.LongType())])
+    written = spark.read.schema(schema).parquet(f"{root}/out")
     # a late event changes the row but not the position, hence the batch
     return latest_rows(written, keys, ["position", "batch_id"]).select("user_id", *columns)
