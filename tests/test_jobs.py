@@ -53,6 +53,20 @@ def test_compact(spark, lake):
     assert spark.read.parquet(f"{lake}/compacted/orders").count() == 8
 
 
+def test_check_reads_the_compacted_zone(spark, lake):
+    jobs.main(["compact", "--root", str(lake), "--tables", "orders", "customers"], spark)
+    jobs.main(["check", "--root", str(lake), "--tables", "orders", "--zone", "compacted"], spark)
+    assert spark.read.parquet(f"{lake}/trusted/orders").count() == 6
+
+
+def test_register(spark, lake):
+    jobs.main(["check", "--root", str(lake), "--tables", "orders"], spark)
+    for _ in range(2):
+        jobs.main(["register", "--root", str(lake), "--tables", "orders"], spark)
+    assert spark.sql("SELECT count(*) FROM trusted_orders WHERE partition_date >= '2025-01-02'").first()[0] == 4
+    spark.sql("DROP TABLE trusted_orders")
+
+
 def test_unknown_table(spark, tmp_path):
     with pytest.raises(SystemExit, match="no config for nothing"):
         jobs.main(["ingest", "--root", str(tmp_path), "--tables", "nothing"], spark)

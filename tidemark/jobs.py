@@ -3,6 +3,7 @@
     spark-submit -m tidemark.jobs ingest --root hdfs:///lake --tables orders customers
     spark-submit -m tidemark.jobs check --root hdfs:///lake --tables orders --first 2025-01-01
     spark-submit -m tidemark.jobs compact --root hdfs:///lake --tables orders --last 2025-01-31
+    spark-submit -m tidemark.jobs register --root hdfs:///lake --tables orders
 """
 
 from __future__ import annotations
@@ -21,12 +22,14 @@ from tidemark.sources import kafka
 from tidemark.sources.files import raw_schema, scan_raw, stream_records
 from tidemark.spec import CONFIG_DIR, TableSpec, load_specs
 from tidemark.streaming.ingest import ingest_tables
-from tidemark.streaming.sinks import compact, remove, replace_days
+from tidemark.streaming.sinks import compact, register_table, remove, replace_days
 
-def landed(spark: SparkSession, spec: TableSpec, root: str, first=None, last=None) -> DataFrame:
-    """The raw zone of a table as ``ingest`` writes it."""
+def landed(
+    spark: SparkSession, spec: TableSpec, root: str, first=None, last=None, zone: str = "raw"
+) -> DataFrame:
+    """A table as ``ingest`` writes it, or ``compact`` rewrites it."""
     extra = [T.StructField(CORRUPT, T.StringType()), *LINEAGE_FIELDS]
-    return scan_raw(spark, f"{root}/raw/{spec.table}", raw_schema(spec, extra), first, last)
+    return scan_raw(spark, f"{root}/{zone}/{spec.table}", raw_schema(spec, extra), first, last)
 
 
 def ingest(spark: SparkSession, specs: list[TableSpec], args) -> None:
@@ -49,10 +52,10 @@ def check(spark: SparkSession, specs: list[TableSpec], args) -> None:
     by_name = load_specs(args.config)
     for spec in specs:
         parents = {
-            p: landed(spark, by_name[p], args.root).select(*by_name[p].primary_key)
+            p: landed(spark, by_name[p], args.root, zone=args.zone).select(*by_name[p].primary_key)
             for p in set(spec.parents.values())
         }
-        raw = landed(spark, spec, args.root, args.first, args.last)
+        raw = landed(spark, spec, args.root, args.first, args.last, args.zone)
         # Rules across rows shuffle the table; what they find is kept for the readers below.
         staged = scratch_path(spark, f"checked-{spec.table}")
         try:
@@ -79,7 +82,14 @@ def compact_raw(spark: SparkSession, specs: list[TableSpec], args) -> None:
         compact(rows, f"{args.root}/compacted/{spec.table}")
 
 
-JOBS = {"ingest": ingest, "check": check, "compact": compact_raw}
+def register(spark: SparkSession, specs: list[TableSpec], args) -> None:
+    """Trusted zones as external tables; run again to pick up new days."""
+    for spec in specs:
+        path = f"{args.root}/trusted/{spec.table}"
+        register_table(spark, f"trusted_{spec.table}", spark.read.parquet(path), path, ["partition_date"])
+
+
+JOBS = {"ingest": ingest, "check": check, "compact": compact_raw, "register": register}
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -95,6 +105,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--once", action="store_true", help="take what is available and stop")
     parser.add_argument("--first", type=dt.date.fromisoformat)
     parser.add_argument("--last", type=dt.date.fromisoformat)
+    parser.add_argument("--zone", default="raw", choices=["raw", "compacted"], help="what check reads")
     parser.add_argument("--max-share", type=float, default=1.0, help="abort if more rows are rejected")
     return parser.parse_args(argv)
 

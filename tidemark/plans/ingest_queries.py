@@ -238,13 +238,12 @@ def _landed_with_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id AS kafka_offset, CAST(event_id % 3 AS INTEGER) AS kafka_partition,
        CAST(user_id AS VARCHAR) AS user_id, event_type, value AS amount
 FROM events
-WHERE (event_id % 3 = 0 AND event_id >= 300 AND event_id < 6000)
-   OR (event_id % 3 = 1 AND event_id >= 0 AND event_id < 900)
-   OR (event_id % 3 = 2 AND event_id >= 100)
+WHERE event_id >= CASE event_id % 3 WHEN 0 THEN 300 WHEN 1 THEN 0 ELSE 100 END
 """)
 def replay_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read the landed feed again from given offsets."""
-    ranges = {0: (300, 6000), 1: (0, 900), 2: (100, 2**62)}
+    """Read the landed feed again from a given offset of each partition to its end."""
+    end = 2**62
+    ranges = {0: (300, end), 1: (0, end), 2: (100, end)}
     rows = replay.by_offset(_landed_with_lineage(spark, sf_dir), ranges)
     return rows.select("kafka_offset", "kafka_partition", "user_id", "event_type", "amount")
 
