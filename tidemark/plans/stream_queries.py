@@ -12,7 +12,7 @@ from tidemark.operators.skew import profile
 from tidemark.plans.feeds import COLUMNS, EVENTS, ORDER, as_records, event_op, plain_time, Retail, table
 from tidemark.plans.registry import FEED_SQL, query
 from tidemark.plans.state_queries import PATCH_STATE_SQL
-from tidemark.session import scratch_path, use_utc
+from tidemark.session import scratch_path, settings, state_partitions, use_utc
 from tidemark.sources.files import raw_schema, scan_raw, stream_table
 from tidemark.streaming import operators as ops
 from tidemark.streaming.ingest import start_ingest
@@ -36,13 +36,14 @@ def _finish(stream: DataFrame, name: str) -> DataFrame:
     """Run an append query to the end of its input; its rows as a table."""
     spark = stream.sparkSession
     root = scratch_path(spark, name)
-    run = (
-        stream.writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(**ONCE)
-        .start(f"{root}/out")
-    )
-    run.awaitTermination()
+    with settings(spark, state_partitions(spark)):
+        run = (
+            stream.writeStream.format("parquet")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(**ONCE)
+            .start(f"{root}/out")
+        )
+        run.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
@@ -192,10 +193,7 @@ def stream_state_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={epoch}")
 
-    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
-    for k, v in STATE_STORE.items():
-        spark.conf.set(k, v)
-    try:
+    with settings(spark, STATE_STORE | state_partitions(spark)):
         run = (
             upserts.writeStream.outputMode("update")
             .foreachBatch(write)
@@ -204,9 +202,6 @@ def stream_state_store(spark: SparkSession, sf_dir: str) -> DataFrame:
             .start()
         )
         run.awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     schema = T.StructType([*upserts.schema.fields, T.StructField("batch_id", T.LongType())])
     written = spark.read.schema(schema).parquet(f"{root}/out")
     # a late event changes the row but not the position, hence the batch

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +36,33 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the duration of a block."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def state_partitions(spark: SparkSession) -> dict[str, str]:
+    """Settings for a stateful stream: in local mode, no more state stores than cores.
+
+    A stream keeps one store per shuffle partition and operator, and AQE cannot
+    merge them. On a cluster the session's own setting stands.
+    """
+    name = "spark.sql.shuffle.partitions"
+    asked, cores = int(spark.conf.get(name)), spark.sparkContext.defaultParallelism
+    return {name: str(min(asked, cores) if spark.sparkContext.master.startswith("local") else asked)}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
 

@@ -7,8 +7,10 @@ pre-aggregates, is the choice for feeds with hot keys.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.operators.fold import DELETE
 
+# Executors need not have this package installed: the processor travels whole.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # transformWithState needs this store; set it before the query starts.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
