@@ -13,7 +13,6 @@ from tidemark.sources.files import RECORD_SCHEMA, raw_schema, read_records, scan
 from tidemark.spec import load_spec
 from tidemark.streaming import operators as ops
 from tidemark.streaming.ingest import ingest_tables, start_ingest
-from tidemark.streaming.metrics import BatchMetrics
 from tidemark.streaming.sinks import epoch_path, write_batch
 
 ONCE = {"availableNow": True}

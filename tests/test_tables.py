@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.parse import decode
-from tidemark.operators import conform, enrich, evolution, fold, joins, publish, replay
+from tidemark.operators import conform, enrich, evolution, joins, publish, replay
 from tidemark.sources import kafka
-from tidemark.sources.files import RECORD_SCHEMA, read_master, read_master_ids, read_records, scan_raw
+from tidemark.sources.files import read_master, read_master_ids, read_records, scan_raw
 from tidemark.spec import load_spec
 from tidemark.streaming.sinks import compact, replace_partitions
 
