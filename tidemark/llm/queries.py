@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.common import table
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.simhash import simhash_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +27,24 @@ def query(sql: str | None = None):
     return add
 
 
+@query()
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and their decoding, as digests."""
+    coded = bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
+
+
 @query()
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of documents by SimHash."""
