@@ -12,6 +12,8 @@ from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.common import table
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.simhash import simhash_groups
+from tidemark.llm.url_sql import URL_SQL
+from tidemark.llm.urls import Rule, url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +28,21 @@ def query(sql: str | None = None):
 
     return add
 
+# The rules that the url filter is given.
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
+
+@query(URL_SQL)
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url."""
+    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, order=4)
+
 
 @query()
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
