@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.common import table
+from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.simhash import simhash_groups
 from tidemark.llm.url_sql import URL_SQL
@@ -44,6 +46,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, order=4)
 
 
+@query()
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of embeddings by cosine."""
+    return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 @query()
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and their decoding, as digests."""
@@ -66,3 +74,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of documents by SimHash."""
     return simhash_groups(table(spark, sf_dir, "documents"), width=3, radius=2)
+
+
+@query()
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every embedding whose id is divisible by 20."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, tables=8, probes=40)
