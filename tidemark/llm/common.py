@@ -59,3 +59,26 @@ def components(edges: DataFrame) -> DataFrame:
         raise RuntimeError("components did not settle")
     roots = links.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return links.select(F.col("u").cast(kind).alias("node"), F.col("v").cast(kind).alias("root")).unionByName(roots)
+
+
+def fold(modulus: int):
+    """crc32 of doc_id as text modulo ``modulus``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[DataFrame, float]:
+    """(doc_id, text, label) of at most about ``limit`` documents a class, and the share of label 1.
+
+    Documents are taken by a hash of doc_id. The ids, of bounded number, meet the documents by a
+    broadcast; a repeated document is used once.
+    """
+    known = labels.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
+    count = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
+    parts = 1 << 30
+    bound = F.lit(0)
+    for label, n in count.items():
+        bound = F.when(F.col("label") == label, int(min(1.0, limit / n) * parts)).otherwise(bound)
+    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(parts)) < bound)
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    total = sum(count.values())
+    return sample, count.get(1, 0) / total if total else 0.5

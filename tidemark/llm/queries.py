@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import bpe_round_trip
-from tidemark.llm.common import table
+from tidemark.llm.common import fold, table
 from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.quality import quality_scores
 from tidemark.llm.simhash import simhash_groups
 from tidemark.llm.url_sql import URL_SQL
 from tidemark.llm.urls import Rule, url_verdicts
@@ -70,6 +71,19 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
+def judged(spark: SparkSession, sf_dir: str, docs: DataFrame, column: str, modulus: int, held: int, score) -> DataFrame:
+    """Scores of ``docs`` by a classifier that learns ``column`` of labels outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels").where(fold(modulus) != held).select("doc_id", F.col(column).alias("label"))
+    held_out = F.coalesce(fold(modulus) == held, F.lit(False))
+    return score(docs, labels).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by compressed sizes."""
+    return judged(spark, sf_dir, table(spark, sf_dir, "documents"), "quality", 5, 0, quality_scores)
+
+
 @query()
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of documents by SimHash."""
