@@ -15,6 +15,7 @@ from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.simhash import simhash_groups
+from tidemark.llm.toxicity import toxicity_scores
 from tidemark.llm.url_sql import URL_SQL
 from tidemark.llm.urls import Rule, url_verdicts
 
@@ -84,6 +85,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(spark, sf_dir, table(spark, sf_dir, "documents"), "quality", 5, 0, quality_scores)
 
 
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a recurrent network over windows."""
+    return judged(spark, sf_dir, table(spark, sf_dir, "documents"), "toxic", 4, 2, toxicity_scores)
+
+
 @query()
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of documents by SimHash."""
