@@ -12,6 +12,7 @@ from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.common import fold, table
 from tidemark.llm.embedding_dedup import embedding_groups
+from tidemark.llm.lm import lm_scores
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.simhash import simhash_groups
@@ -97,6 +98,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), width=3, radius=2)
 
 
+@query()
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document by a Kneser-Ney model."""
+    scored = lm_scores(table(spark, sf_dir, "documents"), fold(7) != 2)
+    return scored.select("doc_id", F.coalesce(fold(7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query()
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every embedding whose id is divisible by 20."""
