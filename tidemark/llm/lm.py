@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,8 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.arrays import blob, gathered, joined, mapped, put, shared_folder, summed
 from tidemark.llm.bpe import slices
-from tidemark.session import scratch_path
 
 END = 0x454E44  # stands for the end of a text; words are their XXH64
 BEGIN = (1 << 32) - 1  # the context of a text's first word
@@ -24,66 +23,11 @@ WORDS = 1 << 20  # words of a shard of the word tables
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shared_folder(df: DataFrame, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which workers map into memory: it must be mounted."""
-    path = scratch_path(df.sparkSession, name)
-    if path.startswith("file:"):
-        path = "/" + path[5:].lstrip("/")
-    if "://" in path:
-        raise ValueError(f"memory-mapped arrays need a mounted shared folder, not {path}")
-    return path
-
-
-def put(folder: str, name: str, rows: np.ndarray) -> None:
-    """Write whole or not at all, so that a repeated task does no harm."""
-    os.makedirs(folder, exist_ok=True)
-    part = f"{folder}/.{name}-{uuid.uuid4().hex}"
-    with open(part, "wb") as file:
-        np.save(file, rows)
-    os.replace(part, f"{folder}/{name}.npy")
-
-
-def mapped(folder: str, name: str) -> np.ndarray:
-    return np.load(f"{folder}/{name}.npy", mmap_mode="r")
-
-
 def scattered(numbers: np.ndarray) -> np.ndarray:
     x = numbers.astype(np.uint64) * MIX
     return (x ^ (x >> np.uint64(29))) * MIX >> np.uint64(32)
 
 
-def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys with the sums of their counts."""
-    if not len(keys):
-        return keys, counts
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.concatenate(([True], keys[1:] != keys[:-1]))
-    return keys[first], np.add.reduceat(counts[order], np.flatnonzero(first))
-
-
-def folder_sums(df: DataFrame, shards: int, write: Callable, schema: str) -> DataFrame:
-    """Rows that ``write(shard, blobs)`` gives for the dealt blobs of each shard, one task for a few."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                held.setdefault(row["shard"], []).append(row)
-        for shard in sorted(held):
-            yield from write(shard, held.pop(shard))
-
-    return df.repartition(shards, "shard").mapInArrow(run, schema)
-
-
-def blob(rows: np.ndarray, kind: str) -> bytes:
-    return np.ascontiguousarray(rows, kind).tobytes()
-
-
-def joined(blobs: list, name: str, kind: str) -> np.ndarray:
-    return np.frombuffer(b"".join(b[name] for b in blobs), kind)
-
-
 class Words:
     """Texts as rows of a table of their distinct words, remembered across texts."""
 
@@ -201,7 +145,7 @@ def count_words(texts: DataFrame, folder: str, bits: int) -> tuple[Vocabulary, i
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (shard, len(keys), int(counts.sum()), ends)], names=["shard", "n", "tokens", "ends"])
 
     dealt = texts.select("text").mapInArrow(deal, "shard int, keys binary, counts binary")
-    found = folder_sums(dealt, 1 << bits, write, "shard long, n long, tokens long, ends long").collect()  # a row a shard
+    found = gathered(dealt, 1 << bits, write, "shard long, n long, tokens long, ends long").collect()  # a row a shard
     sizes = [0] * (1 << bits)
     for r in found:
         sizes[r.shard] = r.n
@@ -302,9 +246,9 @@ def count_bigrams(texts: DataFrame, folder: str, words: Vocabulary, tokens: int,
         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([total.tolist()], pa.list_(pa.int64()))], names=["shard", "total"])
 
     dealt = texts.select("text").mapInArrow(deal, "shard int, left binary, right binary, counts binary")
-    written = folder_sums(dealt, shards, write, schema)
+    written = gathered(dealt, shards, write, schema)
     pieces = -(-words.total // WORDS) + 2
-    found = {r.shard: np.array(r.total) for r in folder_sums(written, pieces, tables, "shard long, total array<long>").collect()}  # a row a shard
+    found = {r.shard: np.array(r.total) for r in gathered(written, pieces, tables, "shard long, total array<long>").collect()}  # a row a shard
     over = sum((v for s, v in found.items() if s >= 0), np.zeros(8, np.int64))
     return {
         "pairs": discounts(found.get(-1, np.zeros(8)).tolist()),

@@ -16,6 +16,7 @@ from tidemark.llm.lm import lm_scores
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.simhash import simhash_groups
+from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.toxicity import toxicity_scores
 from tidemark.llm.url_sql import URL_SQL
 from tidemark.llm.urls import Rule, url_verdicts
@@ -43,6 +44,14 @@ URL_RULES = [
 ]
 
 
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that occur elsewhere too."""
+    cleaned = remove_repeats(table(spark, sf_dir, "documents"), width=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    return cleaned.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query(URL_SQL)
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's url."""
