@@ -2,28 +2,72 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import fold, stored, table
+from tidemark.llm.packing import pack_documents
+from tidemark.llm.quality import quality_scores
 from tidemark.llm.simhash import simhash_groups
+from tidemark.llm.suffix_dedup import remove_repeats
+from tidemark.llm.toxicity import toxicity_scores
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+THRESHOLD = 0.3
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go."""
+    labels = table(spark, sf_dir, "labels").where(fold(4) != 2).select("doc_id", F.col("toxic").alias("label"))
+    return toxicity_scores(docs, labels, COLUMNS).where(F.col("score") < THRESHOLD).select(*COLUMNS)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    labels = table(spark, sf_dir, "labels").where(fold(5) != 0).select("doc_id", F.col("quality").alias("label"))
+    return quality_scores(docs, labels, COLUMNS).where(F.col("score") >= THRESHOLD).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the group's smallest id."""
+    """One document of each SimHash group stays: the one with the group's smallest id.
+
+    Rows that repeat an id are one document; rows without an id cannot be named and stay.
+    """
     groups = simhash_groups(docs, width=3, radius=2)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null").select(*COLUMNS)).select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose the byte strings that occur elsewhere too; what a cut leaves of a character goes with it."""
+    cleaned = remove_repeats(docs, 400, COLUMNS)
+    whole = F.size("spans") == 0
+    # a cut may leave part of a character, which becomes U+FFFD and is taken out of texts that were cut
+    text = F.when(whole, F.col("text")).otherwise(F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", ""))
+    cleaned = cleaned.withColumn("text", text)
+    return cleaned.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left as pieces of sequences of at most 1024 tokens."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
-STAGES = [("simhash_near_dedup", near_duplicates)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("quality", quality),
+    ("simhash_near_dedup", near_duplicates),
+    ("suffix_array_dedup", repeated_passages),
+    ("best_fit_packing", packing),
+]
 
-ORACLE_SQL = None  # hashing of shingles and trained models have no SQL form
+ORACLE_SQL = None  # trained models, shingle hashes and token merges have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")

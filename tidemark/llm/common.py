@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.session import scratch_path
 
@@ -29,6 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def beside_text(docs: DataFrame, columns: tuple[str, ...], more: str) -> tuple[DataFrame, int, StructType]:
+    """``columns`` of ``docs`` and its text, the text's place, and the schema of ``columns`` with ``more``."""
+    names = [*columns, *({"text"} - set(columns))]
+    schema = StructType([*docs.select(*columns).schema.fields, *StructType.fromDDL(more).fields])
+    return docs.select(*names), names.index("text"), schema
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v): the smallest node it is connected with.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.calibration import fit_logistic, logistic
-from tidemark.llm.common import labelled_sample, stored
+from tidemark.llm.common import beside_text, labelled_sample, stored
 
 BLOCK = 512  # bytes compressed at once: long texts would otherwise teach the compressor themselves
 LEVEL = 3
@@ -50,8 +50,8 @@ class Compressors:
         return gain, (bad - good) / (bad + good), ratio, ratio * ratio, raw**-0.5, gain * good / raw
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, score) per row of ``docs`` (doc_id, text): how likely its label is 1.
+def quality_scores(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``columns`` and score per row of ``docs`` (doc_id, text): how likely its label is 1.
 
     ``labels`` (doc_id, label) are the rows to learn from, 0 or 1; others and nulls are ignored, a
     document labelled both ways counts as 0. At most about ``DOCUMENTS`` of a class are used, by a
@@ -84,17 +84,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
             weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
             model = fit_logistic(np.array([r.x for r in rows]), y, weight)
 
+    frame, place, schema = beside_text(docs, columns, "score double")
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Compressors(dictionaries[1], dictionaries[0]) if model else None
         for batch in batches:
             if model:
-                x = np.array([sizes.features(t.as_py() or "") for t in batch.column(1)]).reshape(-1, FEATURES)
+                x = np.array([sizes.features(t.as_py() or "") for t in batch.column(place)]).reshape(-1, FEATURES)
                 found = logistic(model, x)
             else:
                 found = np.full(batch.num_rows, share)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(found, pa.float64())], names=[*columns, "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
+    return frame.mapInArrow(score, schema)
 
 
 def featurizer(dictionaries: dict[int, bytes]):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.arrays import blob, gathered, joined, mapped, put, shared_folder, summed
-from tidemark.llm.common import stored
+from tidemark.llm.common import beside_text, stored
 from tidemark.llm.suffix_sort import repeated_starts
 
 CHUNK = 1 << 17  # window starts of a text worked on at once
@@ -325,8 +325,8 @@ def write_spans(found: DataFrame, width: int, folder: str, bits: int) -> Spans:
     return Spans(folder, bits, {r.shard for r in gathered(sharded, 1 << bits, write, "shard long").collect()})
 
 
-def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
-    """One row (doc_id, n_bytes, spans, kept) per row of ``docs`` (doc_id, text).
+def remove_repeats(docs: DataFrame, width: int = 400, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row (``columns``, n_bytes, spans, kept) per row of ``docs`` (doc_id, text).
 
     Every byte covered by ``width`` bytes that also start anywhere else, in the same or another
     row, is removed; windows lie within one text, overlaps count, and the input decides, not what
@@ -358,21 +358,23 @@ def remove_repeats(docs: DataFrame, width: int = 400) -> DataFrame:
     covered = placed.select("hi", "lo", "start", "string").distinct().join(found, "string").select("hi", "lo", "start", "first", "last")
     spans = write_spans(covered, width, f"{folder}/spans", bits)
 
+    frame, place, schema = beside_text(docs, columns, "n_bytes long, spans array<struct<first:long,last:long>>, kept binary")
+    span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, size, done = [], 0, 0
-            for i, raw in enumerate(batch.column(1)):
-                text = raw.as_py() or b""
+            for i, value in enumerate(batch.column(place)):
+                text = (value.as_py() or "").encode("utf-8", "surrogatepass")
                 gone = spans.of(text) if len(text) >= width else []
-                ends = [0, *[x for span in gone for x in span], len(text)]
+                ends = [0, *[x for pair in gone for x in pair], len(text)]
                 rows.append((len(text), [{"first": a, "last": b} for a, b in gone], b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))))
                 size += len(text)
                 if size > 1 << 23 or i + 1 == batch.num_rows:
                     n, s, k = zip(*rows, strict=True)
-                    span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(rows)), pa.array(n, pa.int64()), pa.array(s, span), pa.array(k, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+                    kept = [c.slice(done, len(rows)) for c in batch.columns[: len(columns)]]
+                    yield pa.RecordBatch.from_arrays([*kept, pa.array(n, pa.int64()), pa.array(s, span), pa.array(k, pa.binary())], names=[*columns, "n_bytes", "spans", "kept"])
                     done += len(rows)
                     rows, size = [], 0
 
-    schema = "doc_id long, n_bytes long, spans array<struct<first:long,last:long>>, kept binary"
-    return docs.select("doc_id", F.col("text").cast("binary").alias("raw")).mapInArrow(run, schema)
+    return frame.mapInArrow(run, schema)

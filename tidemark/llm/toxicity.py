@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import slices
 from tidemark.llm.calibration import fit_logistic, logistic
-from tidemark.llm.common import labelled_sample, stored
+from tidemark.llm.common import beside_text, labelled_sample, stored
 
 WINDOW, STRIDE = 16, 8  # words of a window; neighbours overlap by half
 DOCUMENTS = 1_500  # labelled documents of a class, at most about; three quarters to train on, the rest for calibration
@@ -344,8 +344,8 @@ def fit(sample: DataFrame) -> tuple[Network, Lexicon]:
     return net, lexicon
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, score) per row of ``docs`` (doc_id, text): how likely its label is 1.
+def toxicity_scores(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``columns`` and score per row of ``docs`` (doc_id, text): how likely its label is 1.
 
     ``labels`` (doc_id, label) are the rows to learn from, 0 or 1; others and nulls are ignored, a
     document labelled both ways counts as 0. At most about ``DOCUMENTS`` of a class are used, by a
@@ -373,17 +373,20 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
         weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
         model = fit_logistic(np.array([r.x for r in rows]), y, weight)
 
+    frame, place, schema = beside_text(docs, columns, "score double")
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(net, lexicon) if model else None
         for batch in batches:
             done = 0
-            for some in slices([t.as_py() or "" for t in batch.column(1)]):
+            for some in slices([t.as_py() or "" for t in batch.column(place)]):
                 if model:
                     words = [words_of(t) for t in some]
                     found = np.where([bool(w) for w in words], logistic(model, scorer.features(words)), 0.0)
                 else:
                     found = np.full(len(some), share)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(some)), pa.array(found, pa.float64())], names=["doc_id", "score"])
+                kept = [c.slice(done, len(some)) for c in batch.columns[: len(columns)]]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.float64())], names=[*columns, "score"])
                 done += len(some)
 
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
+    return frame.mapInArrow(score, schema)
