@@ -11,25 +11,59 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import logging
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.parse import CORRUPT, LINEAGE_FIELDS
+from tidemark.functions.parse import CORRUPT, LINEAGE_FIELDS, instant
 from tidemark.operators import quality
+from tidemark.operators.fold import DELETE
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import kafka
 from tidemark.sources.files import raw_schema, scan_raw, stream_records
 from tidemark.spec import CONFIG_DIR, TableSpec, load_specs
 from tidemark.streaming.ingest import ingest_tables
-from tidemark.streaming.sinks import compact, register_table, remove, replace_days
+from tidemark.streaming.sinks import compact, folders, register_table, remove, replace_days
+
+
+log = logging.getLogger("tidemark")
+
+
+def landed_schema(spec: TableSpec) -> T.StructType:
+    return raw_schema(spec, [T.StructField(CORRUPT, T.StringType()), *LINEAGE_FIELDS])
+
+
+def trusted_schema(spec: TableSpec) -> T.StructType:
+    data = [f for f in landed_schema(spec).fields if f.name != "partition_date"]
+    failed = T.StructField(quality.FAILED, T.ArrayType(T.StringType()))
+    return T.StructType([*data, failed, T.StructField("partition_date", T.DateType())])
+
 
 def landed(
     spark: SparkSession, spec: TableSpec, root: str, first=None, last=None, zone: str = "raw"
 ) -> DataFrame:
     """A table as ``ingest`` writes it, or ``compact`` rewrites it."""
-    extra = [T.StructField(CORRUPT, T.StringType()), *LINEAGE_FIELDS]
-    return scan_raw(spark, f"{root}/{zone}/{spec.table}", raw_schema(spec, extra), first, last)
+    return scan_raw(spark, f"{root}/{zone}/{spec.table}", landed_schema(spec), first, last)
+
+
+def living(spark: SparkSession, spec: TableSpec, args) -> DataFrame:
+    """Keys of a parent table that are not deleted, from its trusted zone or, unchecked, from ``--zone``.
+
+    A table that was never landed has no keys, so every reference to it dangles.
+    """
+    keys = list(spec.primary_key)
+    zones = [z for z in ("trusted", args.zone) if folders(spark, f"{args.root}/{z}/{spec.table}")]
+    if not zones:
+        log.warning("parent table %s is not landed: treated as empty", spec.table)
+        return spark.createDataFrame([], T.StructType([f for f in spec.schema.fields if f.name in keys]))
+    events = landed(spark, spec, args.root, zone=zones[0])
+    usable = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    at = F.struct(instant(spec.event_time).alias("at"), "kafka_partition", "kafka_offset")
+    last = events.filter(usable).groupBy(*keys).agg(F.max_by("op", at).alias("op"))
+    return last.filter(~F.col("op").eqNullSafe(DELETE)).select(*keys)
 
 
 def ingest(spark: SparkSession, specs: list[TableSpec], args) -> None:
@@ -51,10 +85,8 @@ def check(spark: SparkSession, specs: list[TableSpec], args) -> None:
     """Raw to trusted and quarantine, with a scorecard; abort above the allowed share."""
     by_name = load_specs(args.config)
     for spec in specs:
-        parents = {
-            p: landed(spark, by_name[p], args.root, zone=args.zone).select(*by_name[p].primary_key)
-            for p in set(spec.parents.values())
-        }
+        needed = {r["parent"] for r in spec.rules if r["type"] == "referential"}
+        parents = {p: living(spark, by_name[p], args) for p in sorted(needed)}
         raw = landed(spark, spec, args.root, args.first, args.last, args.zone)
         # Rules across rows shuffle the table; what they find is kept for the readers below.
         staged = scratch_path(spark, f"checked-{spec.table}")
@@ -69,11 +101,13 @@ def check(spark: SparkSession, specs: list[TableSpec], args) -> None:
 def publish_checked(checked: DataFrame, spec: TableSpec, args) -> None:
     totals = checked.groupBy(quality.REJECTED).count().collect()  # two rows
     counts = {r[quality.REJECTED]: r["count"] for r in totals}
-    quality.enforce(sum(counts.values()), counts.get(True, 0), args.max_share)
+    limit = spec.max_share if args.max_share is None else args.max_share
+    quality.enforce(sum(counts.values()), counts.get(True, 0), limit)
     replace_days(quality.trusted(checked), f"{args.root}/trusted/{spec.table}", args.first, args.last)
     replace_days(quality.quarantined(checked), f"{args.root}/quarantine/{spec.table}", args.first, args.last)
     card = quality.scorecard(checked, list(spec.rules))
-    card.coalesce(1).write.mode("overwrite").parquet(f"{args.root}/scorecards/{spec.table}")
+    days = f"first={args.first or 'begin'}/last={args.last or 'end'}"  # a card for each range that was checked
+    card.coalesce(1).write.mode("overwrite").parquet(f"{args.root}/scorecards/{spec.table}/{days}")
 
 
 def compact_raw(spark: SparkSession, specs: list[TableSpec], args) -> None:
@@ -86,7 +120,7 @@ def register(spark: SparkSession, specs: list[TableSpec], args) -> None:
     """Trusted zones as external tables; run again to pick up new days."""
     for spec in specs:
         path = f"{args.root}/trusted/{spec.table}"
-        register_table(spark, f"trusted_{spec.table}", spark.read.parquet(path), path, ["partition_date"])
+        register_table(spark, f"trusted_{spec.table}", trusted_schema(spec), path, ["partition_date"])
 
 
 JOBS = {"ingest": ingest, "check": check, "compact": compact_raw, "register": register}
@@ -106,7 +140,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--first", type=dt.date.fromisoformat)
     parser.add_argument("--last", type=dt.date.fromisoformat)
     parser.add_argument("--zone", default="raw", choices=["raw", "compacted"], help="what check reads")
-    parser.add_argument("--max-share", type=float, default=1.0, help="abort if more rows are rejected")
+    parser.add_argument("--max-share", type=float, help="abort if more rows are rejected; default by table config")
     return parser.parse_args(argv)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.dedup import first_of
 
 DELETE = "D"
+CLEARED = "cleared"  # optional column of a patch feed: names of the columns it sets to null
 
 
 def latest_rows(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -27,6 +28,14 @@ def _position(order: list[str]) -> Column:
     return F.struct(*order)
 
 
+def carries(events: DataFrame, column: str) -> Column:
+    """Whether a patch says something of ``column``: a value, or that it is cleared."""
+    said = F.col(column).isNotNull()
+    if CLEARED in events.columns:
+        said = said | F.coalesce(F.array_contains(CLEARED, column), F.lit(False))
+    return said
+
+
 def fold_partial(events: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
     """Fold events to one mergeable state row per key."""
     at = _position(order)
@@ -36,7 +45,7 @@ def fold_partial(events: DataFrame, keys: list[str], order: list[str], columns:
     ]
     for c in columns:
         value = F.struct(at.alias("at"), F.col(c).alias("value"))
-        sums.append(F.max(F.when(F.col(c).isNotNull(), value)).alias(f"s_{c}"))
+        sums.append(F.max(F.when(carries(events, c), value)).alias(f"s_{c}"))
     return events.groupBy(*keys).agg(*sums)
 
 

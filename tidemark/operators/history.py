@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.fold import DELETE
+from tidemark.operators.fold import DELETE, carries
 from tidemark.operators.ordered import Along, along
 from tidemark.operators.skew import Skew
 
@@ -54,7 +54,7 @@ def images(
         return rows.withColumns(shown).drop("_op", *columns)
 
     at = F.struct(*order)
-    kept = {f"_v_{c}": _stamped(c, at) for c in columns}
+    kept = {f"_v_{c}": _stamped(events, c, at) for c in columns}
     want = Along(
         latest={f"_new{n}": v for n, v in kept.items()} | {"_new_gone": F.when(deleted, at)},
         before={f"_old{n}": v for n, v in kept.items()} | {"_old_gone": F.when(deleted, at)},
@@ -71,6 +71,6 @@ def images(
     return rows.withColumns(shown).drop(*helpers, *columns)
 
 
-def _stamped(column: str, at: Column) -> Column:
+def _stamped(events: DataFrame, column: str, at: Column) -> Column:
     value = F.struct(at.alias("at"), F.col(column).alias("value"))
-    return F.when(F.col(column).isNotNull(), value)
+    return F.when(carries(events, column), value)

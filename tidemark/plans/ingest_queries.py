@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import key_id, key_op, padded_id
-from tidemark.functions.parse import CORRUPT, LINEAGE_FIELDS, decode, is_fallback
+from tidemark.functions.parse import CORRUPT, LINEAGE_FIELDS, decode
 from tidemark.operators import conform as cf
 from tidemark.operators import evolution, replay, rollup
 from tidemark.operators.ingest import batch_metrics, to_raw
@@ -25,7 +26,7 @@ from tidemark.plans.feeds import (
 from tidemark.plans.registry import FEED_SQL, query
 from tidemark.session import scratch_path
 from tidemark.sources.files import raw_schema, scan_raw
-from tidemark.streaming.sinks import land_batch, register_table, write_batch
+from tidemark.streaming.sinks import compact, land_batch, register_table
 
 
 @query(f"""
@@ -54,6 +55,21 @@ def ingest_orders_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_raw(order_variant_records(spark, sf_dir), ORDERS_V2).drop("ingestion_ts")
 
 
+@query(f"""
+WITH {FEED_SQL}
+SELECT user_id, event_type, op, CASE WHEN change_ts IS NOT NULL THEN CAST(ts AS DATE) END AS change_day, true AS stamped
+FROM parsed
+""")
+def compact_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived columns of the raw zone are still there after it is compacted."""
+    root = scratch_path(spark, "compact")
+    spec = dataclasses.replace(EVENTS, parsed_date="change_day", stamp="ingested_at")
+    land_batch(records(spark, sf_dir, dirty=True), spec, f"{root}/raw")
+    compact(scan_raw(spark, f"{root}/raw", raw_schema(spec)), f"{root}/compacted")
+    rows = scan_raw(spark, f"{root}/compacted", raw_schema(spec))
+    return rows.select("user_id", "event_type", "op", "change_day", F.col("ingested_at").isNotNull().alias("stamped"))
+
+
 @query(f"""
 WITH {FEED_SQL}
 SELECT partition_date, op, count(*) AS events FROM parsed
@@ -282,17 +298,14 @@ def publish_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {FEED_SQL}
 SELECT partition_date, event_type, count(*) AS events, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS amount
-FROM parsed WHERE op = 'U' AND NOT (partition_date = DATE '1900-01-01') GROUP BY partition_date, event_type
+FROM parsed WHERE op = 'U' GROUP BY partition_date, event_type
 """)
 def curated_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch ingestion into an external table, queried by SQL."""
     path = scratch_path(spark, "curated")
-    rows = to_raw(records(spark, sf_dir, dirty=True), EVENTS)
-    trusted = rows.filter(~is_fallback())
-    write_batch(trusted, path)
+    land_batch(records(spark, sf_dir, dirty=True), EVENTS, path)
     name = "curated_" + path.rsplit("-", 1)[1]
-    ordered = trusted.select(*[f.name for f in raw_schema(EVENTS).fields])
-    register_table(spark, name, ordered, path)
+    register_table(spark, name, raw_schema(EVENTS), path)
     return spark.sql(
         f"SELECT partition_date, event_type, count(*) AS events, sum(cast(amount AS decimal(18,2))) AS amount "
         f"FROM {name} WHERE op = 'U' GROUP BY partition_date, event_type"

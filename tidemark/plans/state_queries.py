@@ -159,6 +159,14 @@ def _states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return fold.latest_rows(past, KEY, ORDER), fold.latest_rows(events, KEY, ORDER)
 
 
+_CUR_WITH_NULLS = "(SELECT * REPLACE (CASE WHEN event_type <> 'view' THEN amount END AS amount) FROM cur)"
+
+
+def _states_with_nulls(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    old, new = _states(spark, sf_dir)
+    return old, new.withColumn("amount", F.when(F.col("event_type") != "view", F.col("amount")))
+
+
 @query(f"""
 {_STATES_SQL}
 SELECT CASE WHEN old.user_id IS NULL THEN 'I' WHEN cur.user_id IS NULL THEN 'D' ELSE 'U' END AS op,
@@ -178,14 +186,30 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CASE WHEN old.user_id IS NULL THEN 'I' WHEN cur.user_id IS NULL THEN 'D' ELSE 'U' END AS op,
        coalesce(old.user_id, cur.user_id) AS user_id,
        CASE WHEN old.user_id IS NULL OR old.event_type IS DISTINCT FROM cur.event_type THEN cur.event_type END AS event_type,
-       CASE WHEN old.user_id IS NULL OR old.amount IS DISTINCT FROM cur.amount THEN cur.amount END AS amount
-FROM old FULL JOIN cur ON old.user_id = cur.user_id
+       CASE WHEN old.user_id IS NULL OR old.amount IS DISTINCT FROM cur.amount THEN cur.amount END AS amount,
+       CASE WHEN old.amount IS NOT NULL AND cur.user_id IS NOT NULL AND cur.amount IS NULL THEN 'amount' END AS cleared
+FROM old FULL JOIN {_CUR_WITH_NULLS} cur ON old.user_id = cur.user_id
 WHERE old.user_id IS NULL OR cur.user_id IS NULL
    OR old.event_type IS DISTINCT FROM cur.event_type OR old.amount IS DISTINCT FROM cur.amount
 """)
 def snapshot_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old, new = _states(spark, sf_dir)
-    return diff.snapshot_diff(old, new, KEY, ["event_type", "amount"], patch=True)
+    """Partial updates between both states; the later one has no amount beside a view."""
+    old, new = _states_with_nulls(spark, sf_dir)
+    patches = diff.snapshot_diff(old, new, KEY, ["event_type", "amount"], patch=True)
+    return patches.withColumn("cleared", F.array_join("cleared", ","))
+
+
+@query(f"""
+{_STATES_SQL}
+SELECT user_id, event_type, amount FROM {_CUR_WITH_NULLS}
+""")
+def patch_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patches between two states, folded onto the first, give the second, nulls included."""
+    old, new = _states_with_nulls(spark, sf_dir)
+    columns = ["event_type", "amount"]
+    first = old.select(*KEY, *columns, F.lit("I").alias("op"), F.lit(0).alias("at"))
+    patches = diff.snapshot_diff(old, new, KEY, columns, patch=True).withColumn("at", F.lit(1))
+    return fold.fold_patches(first.unionByName(patches, allowMissingColumns=True), KEY, ["at"], columns)
 
 
 @query("""

@@ -16,7 +16,7 @@ from tidemark.session import scratch_path, settings, state_partitions, use_utc
 from tidemark.sources.files import raw_schema, scan_raw, stream_table
 from tidemark.streaming import operators as ops
 from tidemark.streaming.ingest import start_ingest
-from tidemark.streaming.metrics import METRICS_SCHEMA, progress_row
+from tidemark.streaming.metrics import BatchMetrics, read_metrics, settle
 from tidemark.streaming.state import compact_state, read_state, state_writer
 from tidemark.streaming.stateful import STATE_STORE, live_state
 
@@ -70,11 +70,10 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures observed while the stream was landed, without another pass."""
     root = scratch_path(spark, "stream-metrics")
     feed = as_records(_stream(spark, sf_dir, "events"), dirty=True)
-    run = start_ingest(feed, EVENTS, f"{root}/raw", f"{root}/checkpoint", ONCE, corrupt=True)
-    run.awaitTermination()
-    seen = [progress_row(p, EVENTS.table) for p in run.recentProgress]
-    batches = spark.createDataFrame([r for r in seen if r], METRICS_SCHEMA)
-    return batches.groupBy("table").agg(
+    spark.streams.addListener(BatchMetrics(spark, EVENTS.table, f"{root}/metrics"))
+    start_ingest(feed, EVENTS, f"{root}/raw", f"{root}/checkpoint", ONCE, corrupt=True).awaitTermination()
+    settle(spark)
+    return read_metrics(spark, f"{root}/metrics").groupBy("table").agg(
         F.sum("rows").alias("rows"),
         F.sum("fallback_rows").alias("fallback_rows"),
         F.sum("malformed_rows").alias("malformed_rows"),

@@ -48,8 +48,12 @@ def stream_table(
 
 
 def raw_schema(spec: TableSpec, extra: list[T.StructField] = ()) -> T.StructType:
-    """Raw-zone columns: data columns, then the partition columns."""
+    """Raw-zone columns: data and derived columns, then the partition columns."""
     data = [f for f in spec.schema.fields if f.name != "op"]
+    if spec.parsed_date:
+        data.append(T.StructField(spec.parsed_date, T.DateType()))
+    if spec.stamp:
+        data.append(T.StructField(spec.stamp, T.TimestampType()))
     parts = [T.StructField("partition_date", T.DateType()), T.StructField("op", T.StringType())]
     return T.StructType([*data, *extra, *parts])
 

@@ -66,6 +66,7 @@ class TableSpec:
     ids: dict[str, dict] = field(default_factory=dict)
     parents: dict[str, str] = field(default_factory=dict)
     rules: tuple[dict, ...] = ()
+    max_share: float = 0.5  # of checked rows that may be rejected before a check aborts
 
     @property
     def columns(self) -> list[str]:
@@ -99,6 +100,7 @@ def spec_from(config: dict | list, table: str) -> TableSpec:
         ids=config.get("ids", {}),
         parents=config.get("parents", {}),
         rules=tuple(config.get("rules", ())),
+        max_share=config.get("max_share", 0.5),
     )
 
 

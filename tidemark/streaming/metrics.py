@@ -12,6 +12,7 @@ from tidemark.operators.ingest import batch_metrics
 
 log = logging.getLogger("tidemark")
 
+FLUSH = 100  # batches
 METRICS_SCHEMA = (
     "table string, query_id string, batch_id bigint, rows bigint, fallback_rows bigint, "
     "malformed_rows bigint, min_change_us bigint, max_change_us bigint, "
@@ -55,28 +56,58 @@ def log_batch(row: tuple) -> None:
 
 
 class BatchMetrics(StreamingQueryListener):
-    """Logs every batch and appends its figures to a Parquet table."""
+    """Logs every batch of one query and appends the figures to a Parquet table, many at a time.
 
-    def __init__(self, spark: SparkSession, name: str, path: str | None = None) -> None:
+    Rows wait until ``FLUSH`` of them are there or the query ends; the listener
+    then takes itself off. Started before its query, it knows it by its name
+    and from then on by its id.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, path: str | None = None, query: str | None = None) -> None:
         self.spark = spark
         self.name = name
         self.path = path
+        self.query = query or f"ingest_{name}"
+        self.id: str | None = None
+        self.waiting: list[tuple] = []
+
+    def flush(self) -> None:
+        rows, self.waiting = self.waiting, []
+        if self.path and rows:
+            frame = self.spark.createDataFrame(rows, METRICS_SCHEMA)
+            frame.coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryStarted(self, event) -> None:
-        log.info("[%s] query %s started", self.name, event.id)
+        if event.name == self.query and self.id is None:
+            self.id = str(event.id)
+            log.info("[%s] query %s started", self.name, self.id)
 
     def onQueryProgress(self, event) -> None:
-        row = progress_row(event.progress, self.name)
+        row = progress_row(event.progress, self.name) if str(event.progress.id) == self.id else None
         if row is None:
             return
         log_batch(row)
-        if self.path:
-            frame = self.spark.createDataFrame([row], METRICS_SCHEMA)
-            frame.coalesce(1).write.mode("append").parquet(self.path)
+        self.waiting.append(row)
+        if len(self.waiting) >= FLUSH:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
+        if str(event.id) != self.id:
+            return
         if event.exception:
             log.error("[%s] query stopped: %s", self.name, event.exception)
+        self.flush()
+        self.spark.streams.removeListener(self)
+
+
+def settle(spark: SparkSession) -> None:
+    """Wait until listeners have seen everything that has happened."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Figures of all batches; a batch that ran again counts once."""
+    return spark.read.schema(METRICS_SCHEMA).parquet(path).dropDuplicates(["query_id", "batch_id"])

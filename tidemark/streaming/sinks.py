@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.operators.ingest import PARTITIONS, to_raw
 from tidemark.spec import TableSpec
@@ -71,17 +72,21 @@ def remove(spark: SparkSession, path: str) -> None:
 def replace_days(df: DataFrame, path: str, first: dt.date | None, last: dt.date | None) -> None:
     """Rewrite the days from ``first`` to ``last`` of a zone, or all of it.
 
-    Days without rows are emptied too, which a dynamic overwrite would leave.
+    New files are written aside and moved in day by day when all of them are
+    done. Days without rows are emptied after that, which a dynamic overwrite
+    would leave.
     """
     if first is None and last is None:
         write_batch(df, path, ["partition_date"])
         return
     spark = df.sparkSession
+    filled = {str(r[0]) for r in df.select("partition_date").distinct().collect()}  # days of the range
+    replace_partitions(df, path, ["partition_date"])
     for name in folders(spark, path):
         day = name.removeprefix("partition_date=")
-        if name != day and (first is None or day >= str(first)) and (last is None or day <= str(last)):
+        inside = (first is None or day >= str(first)) and (last is None or day <= str(last))
+        if name != day and inside and day not in filled:
             remove(spark, f"{path}/{name}")
-    spread_files(df, ["partition_date"]).write.mode("append").partitionBy("partition_date").parquet(path)
 
 
 def compact(source: DataFrame, target: str, by: list[str] = PARTITIONS) -> None:
@@ -90,9 +95,13 @@ def compact(source: DataFrame, target: str, by: list[str] = PARTITIONS) -> None:
     replace_partitions(source.select(*kept), target, by)
 
 
-def register_table(spark: SparkSession, name: str, df: DataFrame, path: str, by: list[str] = PARTITIONS) -> None:
-    """An external partitioned table over files written with the schema of ``df``."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+def register_table(
+    spark: SparkSession, name: str, schema: T.StructType, path: str, by: list[str] = PARTITIONS
+) -> None:
+    """An external partitioned table over files written with ``schema``; there may be none yet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
         f"PARTITIONED BY ({', '.join(by)}) LOCATION '{path}'"
