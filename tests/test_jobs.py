@@ -43,6 +43,54 @@ def test_check_of_some_days_leaves_the_others(spark, lake):
     assert spark.read.parquet(f"{lake}/trusted/orders").count() == 6
 
 
+def test_scorecards_of_ranges_stand_side_by_side(spark, lake):
+    jobs.main(["check", "--root", str(lake), "--tables", "orders"], spark)
+    jobs.main(["check", "--root", str(lake), "--tables", "orders", "--first", "2025-01-02", "--last", "2025-01-02"], spark)
+    cards = spark.read.parquet(f"{lake}/scorecards/orders").filter("rule_id = 'currency_known'")
+    assert {(r["first"], r["last"]): r["checked"] for r in cards.collect()}[("begin", "end")] == 8
+    assert cards.count() == 2
+
+
+def test_parents_are_alive(spark, tmp_path):
+    """A deleted customer dangles, and so does everybody where none was landed."""
+    order = message(1, customer_id="CUST00001", order_date="2025-01-01", currency="INR", payment_type="CARD", status="PLACED")
+    put(spark, tmp_path / "topics" / "orders_cdc", [json.dumps(order), json.dumps({**order, "order_id": "0000002A", "customer_id": "CUST00002"})])
+    put(spark, tmp_path / "topics" / "orders_cdc_v2", [json.dumps({"op": "I", "order_id": "a", "order_date": "2025-01-01"})])
+    steps = [{"customer_id": "CUST00001", "change_ts": "2025-01-01", "op": "I"}, {"customer_id": "CUST00002", "change_ts": "2025-01-01", "op": "I"}, {"customer_id": "CUST00002", "change_ts": "2025-01-03", "op": "D"}]
+    put(spark, tmp_path / "topics" / "customers_cdc", [json.dumps(s) for s in steps])
+    read = ["--root", str(tmp_path), "--files", f"{tmp_path}/topics", "--once"]
+    check = ["check", "--root", str(tmp_path), "--max-share", "1"]
+    jobs.main(["ingest", *read, "--tables", "orders", "orders_v2"], spark)
+    jobs.main([*check, "--tables", "orders", "orders_v2"], spark)
+    found = lambda: {r["rule_id"]: r["failed"] for r in spark.read.parquet(f"{tmp_path}/scorecards/orders").collect()}
+    assert found()["customer_exists"] == 2
+    jobs.main(["ingest", *read, "--tables", "customers"], spark)
+    jobs.main([*check, "--tables", "orders"], spark)
+    assert found()["customer_exists"] == 1
+
+
+def test_derived_columns_survive(spark, tmp_path):
+    """Compacted, trusted and registered tables hold what raw rows hold."""
+    put(spark, tmp_path / "topics" / "orders_cdc_v2", [json.dumps({"op": "I", "order_id": "a", "order_date": "2025-01-01"})])
+    place = ["--root", str(tmp_path), "--tables", "orders_v2"]
+    jobs.main(["ingest", *place, "--files", f"{tmp_path}/topics", "--once"], spark)
+    jobs.main(["compact", *place], spark)
+    raw = spark.read.parquet(f"{tmp_path}/raw/orders_v2")
+    packed = spark.read.parquet(f"{tmp_path}/compacted/orders_v2")
+    assert set(packed.columns) == set(raw.columns) - {"generation", "batch_id"}
+    assert packed.filter("order_date_parsed is not null and ingestion_ts is not null").count() == 1
+    jobs.main(["check", *place, "--zone", "compacted", "--max-share", "1"], spark)
+    jobs.main(["register", *place], spark)
+    assert {"order_date_parsed", "ingestion_ts", "failed_rules"} <= set(spark.table("trusted_orders_v2").columns)
+    spark.sql("DROP TABLE trusted_orders_v2")
+
+
+def test_register_before_any_row(spark, tmp_path):
+    jobs.main(["register", "--root", str(tmp_path), "--tables", "orders"], spark)
+    assert spark.table("trusted_orders").isEmpty()
+    spark.sql("DROP TABLE trusted_orders")
+
+
 def test_check_aborts_above_the_threshold(spark, lake):
     with pytest.raises(QualityThresholdExceeded):
         jobs.main(["check", "--root", str(lake), "--tables", "orders", "--max-share", "0.1"], spark)

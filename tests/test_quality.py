@@ -57,7 +57,7 @@ def test_rules_across_rows(spark, skewed):
         {"id": "unique", "type": "unique", "columns": ["k"], "severity": "warn"},
         {"id": "exists", "type": "referential", "column": "parent", "parent": "parents", "parent_column": "id"},
     ]
-    skew = profile(df, ["k"], small_bytes=-1) if skewed else None
+    skew = profile(df, ["k"]) if skewed else None
     got = failures(df, rules, parents={"parents": parent}, skew=skew)
     assert len(got) == 61
     assert got == [({"unique"} if i < 40 else set()) | (set() if i % 2 or i == 60 else {"exists"}) for i in range(61)]

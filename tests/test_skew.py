@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.joins import as_of, with_parent
 from tidemark.operators.ordered import Along, along
-from tidemark.operators.skew import NO_SKEW, SHARE, profile, replicate, spread, with_slice
+from tidemark.operators.skew import MOST, NO_SKEW, SHARE, TASK_BYTES, parts_of, profile, replicate, spread, with_slice
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +22,7 @@ def events(spark):
 
 @pytest.fixture(scope="module")
 def skew(events):
-    return profile(events, ["k"], "at", small_bytes=-1)
+    return profile(events, ["k"], "at")
 
 
 def test_hot_keys_are_found_and_bounded(events, skew):
@@ -32,8 +32,43 @@ def test_hot_keys_are_found_and_bounded(events, skew):
     assert len(skew.hot) < 10
 
 
-def test_small_inputs_skip_the_pass(events):
-    assert profile(events, ["k"], "at") == NO_SKEW
+def test_parts_follow_the_input():
+    """The largest slice or salt stays a task's share as the input grows."""
+    assert parts_of(0) == SHARE
+    sizes = [1 << 36, 1 << 38, 1 << 39]
+    assert [size / parts_of(size) for size in sizes] == [TASK_BYTES] * 3
+    assert parts_of(1 << 60) == MOST
+
+
+def test_order_column_without_values(spark):
+    """Nothing to cut by: hot keys are found all the same."""
+    rows = spark.range(100).select(F.lit(1).alias("k"), F.lit(None).cast("timestamp").alias("at"))
+    skew = profile(rows, ["k"], "at")
+    assert len(skew.hot) == 1 and skew.splits == ()
+    assert along(rows, ["k"], ["at"], Along(number="n"), skew).agg(F.max("n")).first()[0] == 100
+
+
+def test_rows_of_a_key_alone_are_spread(spark):
+    """Child rows that hold only their key take many salts."""
+    rows = spark.range(1000, numPartitions=16).select(F.lit(1).alias("k"))
+    salts = spread(rows, ["k"], profile(rows, ["k"])).select("_salt").distinct().count()
+    assert salts > 8
+
+
+def test_scans_of_a_sliced_window(events, skew):
+    """Two reads beyond the profile: all rows for the window, hot keys for the edges."""
+    plan = along(events, ["k"], ["at", "seq"], Along(number="n"), skew)._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    assert leaves.size() == 2
+
+
+def test_versions_at_one_instant(spark):
+    facts = spark.createDataFrame([(1, 5)], "k long, t long")
+    versions = [(1, 5, "a", 0, 7), (1, 5, "b", 1, 2), (1, 5, "c", 0, 9)]
+    for rows in (versions, versions[::-1]):
+        v = spark.createDataFrame(rows, "k long, t long, name string, part int, off int")
+        got = as_of(facts, v, ["k"], "t", "t", {"name": "name"}, tie=["part", "off"])
+        assert got.first()["name"] == "b"
 
 
 def test_slices_are_even(events, skew):
@@ -95,7 +130,7 @@ def test_large_parent_takes_the_salted_way(spark, events):
     parent = spark.range(0, 700).select(F.col("id").alias("k"), F.lit(1).alias("w"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = with_parent(events, parent, ["k"], small_bytes=-1)
+        got = with_parent(events, parent, ["k"])
         assert "_salt" in got._jdf.queryExecution().optimizedPlan().toString()
         assert got.count() == events.join(parent, "k").count()
     finally:
@@ -113,6 +148,6 @@ def test_as_of_against_brute_force(spark, skewed):
         best = max(((vt, n, op) for vk, vt, n, op in versions if vk == k and vt <= t), default=None)
         return None if best is None or best[2] == "D" else best[1]
 
-    skew = profile(f, ["k"], "t", small_bytes=-1) if skewed else NO_SKEW
+    skew = profile(f, ["k"], "t") if skewed else NO_SKEW
     got = as_of(f, v, ["k"], "t", "t", {"name": "name"}, skew)
     assert {r["i"]: r["name"] for r in got.collect()} == {i: expected(k, t) for k, t, i in facts}

@@ -13,6 +13,7 @@ from tidemark.sources.files import RECORD_SCHEMA, raw_schema, read_records, scan
 from tidemark.spec import load_spec
 from tidemark.streaming import operators as ops
 from tidemark.streaming.ingest import ingest_tables, start_ingest
+from tidemark.streaming.metrics import BatchMetrics, read_metrics, settle
 from tidemark.streaming.sinks import epoch_path, write_batch
 
 ONCE = {"availableNow": True}
@@ -170,7 +171,7 @@ def test_orders_meet_shipments(spark, rows, tmp_path, skewed):
         timed(spark, [("o1", 1, "2025-01-03T00:00:00"), ("o1", 2, "2025-01-20T00:00:00")], "order_id string, line int, at string"),
         timed(spark, [("o2", 3, "2025-01-03T00:00:00"), ("o9", 4, "2025-01-03T00:00:00")], "order_id string, line int, at string"),
     ]
-    kw = {"skew": profile(shipments[0], ["order_id"], small_bytes=-1)} if skewed else {}
+    kw = {"skew": profile(shipments[0], ["order_id"])} if skewed else {}
     left = stream(spark, tmp_path, "o", orders).withColumnRenamed("at", "ordered")
     right = stream(spark, tmp_path, "s", shipments).withColumnRenamed("at", "shipped")
     got = ops.join_within(left, right, "order_id", "ordered", "shipped", "10 days", "1 day", "7 days", **kw)
@@ -202,3 +203,20 @@ def test_state_store_over_batches(spark, rows, tmp_path):
     # late events keep the position but change the row, hence the epoch
     last = latest_rows(spark.read.parquet(out), KEYS, ["position", "epoch"])
     assert rows(last, *KEYS, *COLUMNS) == replayed(events)
+
+
+def test_metrics_beyond_what_progress_keeps(spark, tmp_path):
+    """Every batch is in the table, however few reports the query itself keeps."""
+    for i in range(5):
+        put(spark, tmp_path / "topic", [json.dumps(message(10 * i + k)) for k in range(4)])
+    path = str(tmp_path / "metrics")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        spark.streams.addListener(BatchMetrics(spark, SPEC.table, path))
+        feed = stream_records(spark, str(tmp_path / "topic"), files_per_batch=1)
+        start_ingest(feed, SPEC, str(tmp_path / "raw"), str(tmp_path / "ck"), {"availableNow": True}).awaitTermination()
+        settle(spark)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    seen = read_metrics(spark, path)
+    assert seen.count() >= 5 and seen.agg({"rows": "sum"}).first()[0] == 20

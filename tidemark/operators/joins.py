@@ -7,16 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.fold import DELETE
 from tidemark.operators.ordered import Along, along
-from tidemark.operators.skew import (
-    BROADCAST_ROWS,
-    SMALL_BYTES,
-    Skew,
-    estimated_bytes,
-    profile,
-    replicate,
-    scanned_bytes,
-    spread,
-)
+from tidemark.operators.skew import Skew, estimated_bytes, profile, replicate, spread
 
 
 def _broadcast_limit(df: DataFrame) -> int:
@@ -27,19 +18,9 @@ def _broadcast_limit(df: DataFrame) -> int:
     return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
 
 
-def small_side(df: DataFrame) -> DataFrame | None:
-    """``df`` as it can be broadcast, or None if it is not shown to be small.
-
-    Catalyst's own check decides where its estimate is low. The estimate of a
-    joined table is a product, so where the files behind it are small its rows
-    are counted, up to ``BROADCAST_ROWS``.
-    """
-    limit = _broadcast_limit(df)
-    if estimated_bytes(df) <= limit:
-        return df
-    if scanned_bytes(df) <= limit and df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return F.broadcast(df)
-    return None
+def will_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst's own size check lets ``df`` be broadcast."""
+    return estimated_bytes(df) <= _broadcast_limit(df)
 
 
 def with_parent(
@@ -48,21 +29,19 @@ def with_parent(
     on: list[str],
     how: str = "inner",
     skew: Skew | None = None,
-    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Equi-join a child with its parent; ``how``: inner, left, left_semi or left_anti.
 
-    A parent shown to be small is broadcast: no shuffle, no salting. Otherwise
-    child rows of hot keys are salted over many tasks and only the
+    A parent that Catalyst broadcasts by its size needs no shuffle and no salt.
+    Otherwise child rows of hot keys are salted over many tasks and only the
     few parent rows of those keys are replicated.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a parent join cannot be {how!r}")
     if skew is None:
-        small = small_side(parent)
-        if small is not None or child.isStreaming:
-            return child.join(parent if small is None else small, on, how)
-        skew = profile(child, on, small_bytes=small_bytes)
+        if child.isStreaming or will_broadcast(parent):
+            return child.join(parent, on, how)
+        skew = profile(child, on)
     if how in ("left_semi", "left_anti"):
         # only existence matters: repeated keys are reduced before they are shuffled
         parent = parent.select(*on).distinct()
@@ -89,9 +68,13 @@ def as_of(
     version_time: str,
     columns: dict[str, str],
     skew: Skew | None = None,
+    tie: list[str] = (),
 ) -> DataFrame:
     """Each fact with the version in force at its time, null where there is none.
 
+    Of versions that begin at one instant the one with the greatest ``tie``
+    columns is in force, such as its broker partition and offset.
+
     ``columns`` maps history columns to their names in the result. Versions and
     facts are laid into one ordered sequence per key, where a fact takes the
     latest version before it: every row is handled once, where an interval join
@@ -99,13 +82,14 @@ def as_of(
     an ``op`` column, a delete leaves no version in force.
     """
     marks = facts.withColumns({"_at": F.col(fact_time), "_side": F.lit(1)})
+    later = F.struct(*tie).alias("_tie") if tie else F.lit(0).alias("_tie")
     gone = F.col("op") == DELETE if "op" in history.columns else F.lit(False)
     version = F.struct(gone.alias("gone"), *[F.col(c).alias(n) for c, n in columns.items()])
     steps = history.select(
-        *keys, F.col(version_time).alias("_at"), F.lit(0).alias("_side"), version.alias("_version")
+        *keys, F.col(version_time).alias("_at"), F.lit(0).alias("_side"), later, version.alias("_version")
     )
     merged = marks.unionByName(steps, allowMissingColumns=True)
-    filled = along(merged, keys, ["_at", "_side"], Along(latest={"_inforce": F.col("_version")}), skew)
+    filled = along(merged, keys, ["_at", "_side", "_tie"], Along(latest={"_inforce": F.col("_version")}), skew)
     taken = {
         n: F.when(~F.col("_inforce.gone"), F.col(f"_inforce.{n}")) for n in columns.values()
     }

@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import BROADCAST_ROWS, SHARE, Skew, is_hot, profile, with_slice
+from tidemark.operators.skew import Skew, is_hot, profile, with_slice
 
 
 @dataclass(frozen=True)
@@ -82,20 +82,22 @@ def _unpack(df: DataFrame, want: Along) -> DataFrame:
 
 
 def _sliced(df: DataFrame, keys: list[str], order: list[str], want: Along, skew: Skew) -> DataFrame:
+    """One window for all rows, keys that are not hot in slice 0; what crosses a cut is joined to it.
+
+    The input is read twice: for the window, and its hot keys for the edges.
+    """
     rows = with_slice(df, keys, order[0], skew)
-    edges = _edges(rows, keys, order, want)
+    edges = _edges(rows.filter(is_hot(keys, skew)), keys, order, want)
     inside = _in_window(rows, [*keys, "_slice"], order, want)
 
     place = [*keys, "_slice"]
     renamed = edges.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(place)})
-    if len(skew.hot) * SHARE <= BROADCAST_ROWS:  # one row per hot key and slice at most
-        renamed = F.broadcast(renamed)
     match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(place)])
     joined = inside.join(renamed, match, "left")
 
     patched = {}
     if want.number:
-        patched[want.number] = F.col(want.number) + F.col("_base")
+        patched[want.number] = F.col(want.number) + F.coalesce("_base", F.lit(0))
     if want.following:
         patched["_following"] = F.coalesce("_following", "_next_head")
     if want.preceding:
@@ -117,8 +119,5 @@ def along(
         skew = profile(df, keys, order[0])
     if not skew:
         return _unpack(_in_window(df, keys, order, want), want)
-    hot = is_hot(keys, skew)
-    cold_rows = _in_window(df.filter(~hot), keys, order, want)
-    hot_rows = _sliced(df.filter(hot), keys, order, want, skew)
-    return _unpack(cold_rows.unionByName(hot_rows), want)
+    return _unpack(_sliced(df, keys, order, want, skew), want)
 

@@ -11,12 +11,12 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.parse import CORRUPT
 from tidemark.operators.joins import with_parent
-from tidemark.operators.skew import Skew, is_hot, profile
+from tidemark.operators.skew import Skew
 
 FAILED = "failed_rules"
 REJECTED = "rejected"
@@ -74,27 +74,21 @@ def row_rules(rules: list[dict]) -> list[dict]:
     return [r for r in rules if r["type"] in _BROKEN]
 
 
-def _repeated(df: DataFrame, rule: dict, flag: str, skew: Skew | None) -> DataFrame:
+def _repeated(df: DataFrame, rule: dict, flag: str) -> DataFrame:
     """Flag rows whose key occurs more than once.
 
-    A window counts the copies, in one shuffle. Groups with many copies are
-    counted by a pre-aggregating group-by instead; there are few of them.
+    Copies are counted by a pre-aggregating group-by over the key columns alone, so a key with
+    many copies is no burden. Only repeated keys meet the rows again; AQE broadcasts them where
+    they are few and splits hot ones where they are not.
     """
     keys = rule["columns"]
-    if skew is None:
-        skew = profile(df, keys)
-    hot = is_hot(keys, skew)
     whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    repeated = whole & (F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1)
-    if not skew:
-        return df.withColumn(flag, repeated)
-    cold_rows = df.filter(~hot).withColumn(flag, repeated)
-    hot_rows = df.filter(hot)
-    copies = hot_rows.groupBy(*keys).agg((whole & (F.count(F.lit(1)) > 1)).alias(flag))
-    copies = copies.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    marked = hot_rows.join(F.broadcast(copies), same).select(*df.columns, flag)
-    return cold_rows.unionByName(marked)
+    copies = df.select(*keys).filter(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    names = {k: f"_key_{k}" for k in keys}
+    again = copies.filter(F.col("_copies") > 1).select(*[F.col(k).alias(n) for k, n in names.items()])
+    same = reduce(and_, [F.col(k) == F.col(n) for k, n in names.items()])
+    marked = df.join(again, same, "left").withColumn(flag, F.col(names[keys[0]]).isNotNull())
+    return marked.drop(*names.values())
 
 
 def _dangling(df: DataFrame, rule: dict, parent: DataFrame, flag: str, skew: Skew | None) -> DataFrame:
@@ -123,7 +117,7 @@ def evaluate(
     for i, rule in enumerate(rules):
         flag = f"_broken_{i}"
         if rule["type"] == "unique":
-            df = _repeated(df, rule, flag, skew)
+            df = _repeated(df, rule, flag)
             broken.append((rule, F.col(flag)))
         elif rule["type"] == "referential":
             parent = (parents or {}).get(rule["parent"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
@@ -27,26 +27,25 @@ def totals_with_subtotals(df: DataFrame, levels: list[str], amount: Column) -> D
 def freshness(df: DataFrame, by: list[str], changed: str, arrived: str) -> DataFrame:
     """Newest change per group and exact percentiles of the delay in whole seconds.
 
-    Delays are counted before they are ranked: the ranking sees one row per
-    distinct second instead of one per event.
+    Delays are counted before they are ranked. A running sum over one row per
+    distinct second, which spills if it must, tells which delays stand at a
+    percentile's two neighbouring ranks.
     """
     delay = F.floor((F.unix_micros(arrived) - F.unix_micros(changed)) / F.lit(1000000))
     counted = df.groupBy(*by, delay.alias("delay")).agg(
         F.max(changed).alias("newest"), F.count(F.lit(1)).alias("n")
     )
-    ranked = F.percentile("delay", [0.5, 0.95, 0.99], F.col("n"))
-    return (
-        counted.groupBy(*by)
-        .agg(F.max("newest").alias("newest_change"), F.sum("n").alias("events"), ranked.alias("p"))
-        .select(
-            *by,
-            "newest_change",
-            "events",
-            F.col("p")[0].alias("delay_p50"),
-            F.col("p")[1].alias("delay_p95"),
-            F.col("p")[2].alias("delay_p99"),
-        )
+    group = Window.partitionBy(*by)
+    known = F.when(F.col("delay").isNotNull(), F.col("n")).otherwise(0)
+    ranked = counted.withColumns(
+        {"upto": F.sum(known).over(group.orderBy("delay")), "known": F.sum(known).over(group)}
     )
+    out = {"newest_change": F.max("newest"), "events": F.sum("n")}
+    for name, share in (("delay_p50", 0.5), ("delay_p95", 0.95), ("delay_p99", 0.99)):
+        place = (F.col("known") - 1) * F.lit(share)
+        low, high = (F.min(F.when(F.col("upto") > r, F.col("delay"))) for r in (F.floor(place), F.ceil(place)))
+        out[name] = low + (high - low) * F.max(place - F.floor(place))
+    return ranked.groupBy(*by).agg(*[c.alias(n) for n, c in out.items()])
 
 
 def event_rates(df: DataFrame, at: str, width: str, by: list[str]) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.operators import quality
 from tidemark.operators.enrich import items_with_products, shipments_with_orders
 from tidemark.operators.ingest import to_raw
-from tidemark.plans.feeds import EVENTS, records, Retail
+from tidemark.operators.publish import iso_text
+from tidemark.plans.feeds import EVENTS, records, Retail, table
 from tidemark.plans.registry import FEED_SQL, query
 from tidemark.session import scratch_path
 from tidemark.streaming.sinks import replace_partitions
@@ -156,3 +157,45 @@ def ship_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_id", "line", "product_id", "supplier_id",
         F.datediff("shipped", "order_order_date").cast("bigint").alias("days"),
     )
+
+
+_ALL_RULES = [
+    {"id": "known_type", "type": "domain", "column": "event_type", "values": ["view", "click", "purchase", "signup"]},
+    {"id": "short_user", "type": "pattern", "column": "user", "regex": "^[0-9]{1,2}$", "severity": "warn"},
+    {"id": "once", "type": "unique", "columns": ["user", "event_type", "day"], "severity": "warn"},
+    {"id": "time", "type": "parseable", "column": "change_ts"},
+    {"id": "insert_whole", "type": "required_on", "op": "I", "columns": ["amount"]},
+]
+
+
+@query("""
+WITH rows AS (
+  SELECT event_id, event_type, CAST(user_id AS VARCHAR) AS "user", CAST(ts AS DATE) AS day,
+         CASE WHEN event_id % 7 = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS change_ts,
+         CASE WHEN event_type = 'signup' THEN 'I' ELSE 'U' END AS op,
+         CASE WHEN event_id % 5 > 0 THEN value END AS amount
+  FROM events
+)
+SELECT event_id, concat_ws(',',
+    CASE WHEN event_type NOT IN ('view', 'click', 'purchase', 'signup') THEN 'known_type' END,
+    CASE WHEN NOT regexp_matches("user", '^[0-9]{1,2}$') THEN 'short_user' END,
+    CASE WHEN "user" IS NOT NULL AND day IS NOT NULL AND count(*) OVER (PARTITION BY "user", event_type, day) > 1 THEN 'once' END,
+    CASE WHEN change_ts = 'soon' THEN 'time' END,
+    CASE WHEN op = 'I' AND amount IS NULL THEN 'insert_whole' END) AS failed_rules
+FROM rows
+""")
+def dq_each_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain, pattern, unique, parseable and required-on-insert rules, each broken by some rows."""
+    events = table(spark, sf_dir, "events")
+    late = F.pmod("event_id", F.lit(7)) == 0
+    rows = events.select(
+        "event_id",
+        "event_type",
+        F.col("user_id").cast("string").alias("user"),
+        F.col("ts").cast("date").alias("day"),
+        F.when(late, "soon").otherwise(iso_text(F.col("ts"))).alias("change_ts"),
+        F.when(F.col("event_type") == "signup", "I").otherwise("U").alias("op"),
+        F.when(F.pmod("event_id", F.lit(5)) > 0, F.col("value")).alias("amount"),
+    )
+    checked = quality.evaluate(rows, _ALL_RULES)
+    return checked.select("event_id", F.array_join(quality.FAILED, ",").alias("failed_rules"))

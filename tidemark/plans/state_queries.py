@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import dedup, diff, fold, history, joins
+from tidemark.operators.ordered import Along, along
 from tidemark.plans.feeds import ORDER, table, typed_events
 from tidemark.plans.registry import TYPED_SQL, query
 
@@ -224,3 +225,41 @@ def asof_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = events.filter(F.col("event_type") == "purchase").select("user_id", "event_id", "ts", "value")
     views = events.filter(F.col("event_type") == "view").select("user_id", "ts", "value")
     return joins.as_of(facts, views, KEY, "ts", "ts", {"value": "view_value"})
+
+
+@query("""
+WITH versions AS (
+  SELECT user_id, ts, value AS view_value FROM (
+    SELECT user_id, date_trunc('day', ts) AS ts, value,
+           row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY event_id % 3 DESC, event_id DESC) AS n
+    FROM events WHERE event_type = 'view')
+  WHERE n = 1
+),
+facts AS (SELECT user_id, event_id, ts, value FROM events WHERE event_type = 'purchase')
+SELECT f.user_id, f.event_id, f.ts, f.value, v.view_value
+FROM facts f ASOF LEFT JOIN versions v ON f.user_id = v.user_id AND f.ts >= v.ts
+""")
+def asof_tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every purchase with the version in force, where a day's versions all begin at its midnight."""
+    events = table(spark, sf_dir, "events")
+    facts = events.filter(F.col("event_type") == "purchase").select("user_id", "event_id", "ts", "value")
+    views = events.filter(F.col("event_type") == "view").select(
+        "user_id",
+        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("ts"),
+        "value",
+        F.pmod(F.col("event_id"), F.lit(3)).alias("part"),
+        F.col("event_id").alias("position"),
+    )
+    return joins.as_of(facts, views, KEY, "ts", "ts", {"value": "view_value"}, tie=["part", "position"])
+
+
+@query("""
+SELECT event_id, event_type, row_number() OVER w AS version, lead(ts) OVER w AS next_at,
+       lag(value) OVER w AS last_value
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)
+""")
+def hot_key_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position and neighbours within a handful of keys that hold the whole table: every one is cut in slices."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    want = Along(number="version", following={"next_at": F.col("ts")}, preceding={"last_value": F.col("value")})
+    return along(events, ["event_type"], ["ts", "event_id"], want).drop("ts", "value")

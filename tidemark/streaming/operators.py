@@ -8,21 +8,19 @@ from pyspark.sql import functions as F
 from tidemark.operators.rollup import event_rates
 from tidemark.operators.skew import NO_SKEW, Skew, replicate, spread
 
-COPY_SALTS = 16
-
-
 def drop_duplicates(
     events: DataFrame, keys: list[str], event_time: str, delay: str, spread_by: list[str] | None = None
 ) -> DataFrame:
     """Drop copies that arrive within ``delay`` of each other.
 
     With ``spread_by`` (columns that differ between copies, such as the offset)
-    copies are first reduced in ``COPY_SALTS`` parts of each group, so that a
-    group holding much of the stream is not reduced by one task.
+    copies are first reduced in as many parts of each group as the stream has
+    tasks, so that a group holding much of the stream is not reduced by one.
     """
     marked = events.withWatermark(event_time, delay)
     if spread_by:
-        salt = F.pmod(F.xxhash64(*spread_by), F.lit(COPY_SALTS))
+        tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salt = F.pmod(F.xxhash64(*spread_by), F.lit(tasks))
         marked = marked.withColumn("_salt", salt)
         marked = marked.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     return marked.dropDuplicatesWithinWatermark(keys)
