@@ -16,6 +16,7 @@ from tidemark.llm.lm import lm_scores
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.simhash import simhash_groups
+from tidemark.llm.sql import LINKS_SQL, REPEATS_SQL
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.toxicity import toxicity_scores
 from tidemark.llm.url_sql import URL_SQL
@@ -44,7 +45,7 @@ URL_RULES = [
 ]
 
 
-@query()
+@query(REPEATS_SQL)
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without byte strings that occur elsewhere too."""
     cleaned = remove_repeats(table(spark, sf_dir, "documents"), width=400)
@@ -58,7 +59,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, order=4)
 
 
-@query()
+@query(LINKS_SQL)
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of embeddings by cosine."""
     return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.95)
@@ -114,7 +115,7 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(fold(7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-@query()
+@query(REPEATS_SQL)
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every embedding whose id is divisible by 20."""
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, tables=8, probes=40)
