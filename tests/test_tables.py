@@ -14,6 +14,14 @@ from tidemark.spec import load_spec
 from tidemark.streaming.sinks import compact, replace_partitions
 
 
+def test_stream_of_a_topic_pattern():
+    """One query for every feed of a table, from a point in time on."""
+    spec = load_spec("orders_v2")
+    options = kafka.stream_options(spec, pattern=spec.topic_pattern, start_ms=1000)
+    assert options["subscribePattern"] == "orders_cdc_v[23]" and "subscribe" not in options
+    assert options["startingTimestamp"] == "1000" and "startingOffsets" not in options
+
+
 def test_stream_options():
     spec = load_spec("suppliers")
     assert kafka.stream_options(spec) == {

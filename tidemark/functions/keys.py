@@ -22,6 +22,16 @@ def conform_id(source: Column, prefix: str, width: int) -> Column:
     return F.when(F.length(digits) > 0, padded_id(prefix, digits, width)).otherwise(source)
 
 
+def id_prefix(source: Column, length: int = 8) -> Column:
+    """The first characters of an identifier, upper-cased: a short id cut from a longer one."""
+    return F.upper(F.substring(source, 1, length))
+
+
+def title_name(prefix: str, number: Column) -> Column:
+    """A display name such as ``Product 7``, its words capitalised."""
+    return F.initcap(F.concat_ws(" ", F.lit(prefix), number.cast("string")))
+
+
 def message_key(op: Column, *ids: Column) -> Column:
     return F.concat_ws("_", op, *[i.cast("string") for i in ids])
 

@@ -70,7 +70,9 @@ def ingest(spark: SparkSession, specs: list[TableSpec], args) -> None:
     def source(spec: TableSpec) -> DataFrame:
         if args.files:
             return stream_records(spark, f"{args.files}/{spec.topic}")
-        return kafka.read_stream(spark, spec, servers=args.servers, max_offsets=args.max_offsets)
+        return kafka.read_stream(
+            spark, spec, servers=args.servers, max_offsets=args.max_offsets, pattern=spec.topic_pattern or None
+        )
 
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
     queries = ingest_tables(spark, specs, source, args.root, trigger, lineage=True, corrupt=True)
@@ -140,6 +142,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--first", type=dt.date.fromisoformat)
     parser.add_argument("--last", type=dt.date.fromisoformat)
     parser.add_argument("--zone", default="raw", choices=["raw", "compacted"], help="what check reads")
+    parser.add_argument("--width", type=int, default=4096, help="shuffle partitions before small ones are joined")
     parser.add_argument("--max-share", type=float, help="abort if more rows are rejected; default by table config")
     return parser.parse_args(argv)
 
@@ -152,7 +155,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     unknown = set(wanted) - set(specs)
     if unknown:
         raise SystemExit(f"no config for {', '.join(sorted(unknown))}")
-    JOBS[args.job](spark or build_session(f"tidemark-{args.job}"), [specs[t] for t in wanted], args)
+    if spark is None:
+        # AQE joins small partitions but cannot split those of windows and aggregates: begin with many
+        width = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(args.width)}
+        spark = build_session(f"tidemark-{args.job}", **width)
+    JOBS[args.job](spark, [specs[t] for t in wanted], args)
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.keys import key_id, key_op, padded_id
+from tidemark.functions.keys import id_prefix, key_id, key_op, padded_id, title_name
 from tidemark.functions.parse import CORRUPT, LINEAGE_FIELDS, decode
 from tidemark.operators import conform as cf
 from tidemark.operators import evolution, replay, rollup
@@ -25,6 +25,7 @@ from tidemark.plans.feeds import (
 )
 from tidemark.plans.registry import FEED_SQL, query
 from tidemark.session import scratch_path
+from tidemark.sources import kafka
 from tidemark.sources.files import raw_schema, scan_raw
 from tidemark.streaming.sinks import compact, land_batch, register_table
 
@@ -310,3 +311,37 @@ def curated_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"SELECT partition_date, event_type, count(*) AS events, sum(cast(amount AS decimal(18,2))) AS amount "
         f"FROM {name} WHERE op = 'U' GROUP BY partition_date, event_type"
     )
+
+
+@query("""
+SELECT event_id % 3 AS partition, min(event_id) AS first_offset, max(event_id) AS last_offset,
+       count(*) AS landed, max(event_id) - min(event_id) + 1 - count(*) AS lost
+FROM events WHERE event_type <> 'click' GROUP BY event_id % 3
+""")
+def lost_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets missing between those landed; the feed without its clicks, twice delivered."""
+    events = table(spark, sf_dir, "events").filter(F.col("event_type") != "click")
+    landed = events.select(
+        F.lit("events_cdc").alias("topic"),
+        F.pmod("event_id", F.lit(3)).alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+    return kafka.lost_offsets(landed.unionByName(landed)).drop("topic")
+
+
+@query("""
+SELECT o_orderkey AS order_id, upper(substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 10)) AS shipment_id,
+       'Order ' || CAST(o_orderkey AS VARCHAR) AS title,
+       CAST(o_orderdate AS DATE) + CAST(1 + o_orderkey % 7 AS INTEGER) AS expected_delivery
+FROM orders
+""")
+def shipment_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived columns of a shipment: short id, title, and delivery one to seven days after the order."""
+    orders = table(spark, sf_dir, "orders")
+    days = (F.lit(1) + F.pmod("o_orderkey", F.lit(7))).cast("int")
+    return orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        id_prefix(F.md5(F.col("o_orderkey").cast("string")), 10).alias("shipment_id"),
+        title_name("order", F.col("o_orderkey")).alias("title"),
+        F.date_add(F.col("o_orderdate").cast("date"), days).alias("expected_delivery"),
+    )

@@ -55,6 +55,7 @@ class TableSpec:
     schema: T.StructType
     topic: str
     primary_key: tuple[str, ...] = ()
+    topic_pattern: str = ""  # subscribe to every topic of this name instead
     event_time: str = "change_ts"
     partition_source: str = "change_ts"
     parsed_date: str = ""  # keep the parsed partition source under this name
@@ -89,6 +90,7 @@ def spec_from(config: dict | list, table: str) -> TableSpec:
         schema=schema_of(config["columns"]),
         topic=config.get("topic", f"{table}_cdc"),
         primary_key=tuple(config.get("primary_key", ())),
+        topic_pattern=config.get("topic_pattern", ""),
         event_time=event_time,
         partition_source=config.get("partition_source", event_time),
         parsed_date=config.get("parsed_date", ""),
