@@ -4,6 +4,9 @@
     spark-submit -m tidemark.jobs check --root hdfs:///lake --tables orders --first 2025-01-01
     spark-submit -m tidemark.jobs compact --root hdfs:///lake --tables orders --last 2025-01-31
     spark-submit -m tidemark.jobs register --root hdfs:///lake --tables orders
+    spark-submit -m tidemark.jobs curate --root hdfs:///lake --tables orders
+    spark-submit -m tidemark.jobs publish --root hdfs:///lake --tables orders --servers broker:9092
+    spark-submit -m tidemark.jobs replay --root hdfs:///lake --tables orders --since 2025-01-01 --until 2025-01-02
 """
 
 from __future__ import annotations
@@ -19,14 +22,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.parse import CORRUPT, LINEAGE_FIELDS, instant
-from tidemark.operators import quality
+from tidemark.operators import conform, dedup, fold, history, quality, replay
 from tidemark.operators.fold import DELETE
+from tidemark.operators.publish import iso_text, publish, stamp_events, to_records
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import kafka
-from tidemark.sources.files import raw_schema, scan_raw, stream_records
+from tidemark.sources.files import raw_schema, read_records, scan_raw, stream_records
 from tidemark.spec import CONFIG_DIR, TableSpec, load_specs
 from tidemark.streaming.ingest import ingest_tables
-from tidemark.streaming.sinks import compact, folders, register_table, remove, replace_days
+from tidemark.streaming.sinks import (
+    compact,
+    epoch_path,
+    folders,
+    land_batch,
+    register_table,
+    remove,
+    replace_days,
+    replace_table,
+)
 
 
 log = logging.getLogger("tidemark")
@@ -125,7 +138,83 @@ def register(spark: SparkSession, specs: list[TableSpec], args) -> None:
         register_table(spark, f"trusted_{spec.table}", trusted_schema(spec), path, ["partition_date"])
 
 
-JOBS = {"ingest": ingest, "check": check, "compact": compact_raw, "register": register}
+def trusted_events(spark: SparkSession, canonical: TableSpec, args) -> tuple[DataFrame | None, bool]:
+    """Trusted rows of every feed of a table in its own columns, each event once, and whether they are patches."""
+    feeds = [s for s in load_specs(args.config).values() if (s.feeds or s.table) == canonical.table]
+    feeds = [s for s in feeds if folders(spark, f"{args.root}/trusted/{s.table}")]
+    if not feeds:
+        return None, False
+    place = ["kafka_partition", "kafka_offset"]
+    rows = []
+    for feed in feeds:
+        landed_rows = landed(spark, feed, args.root, zone="trusted").select(*feed.columns, *place)
+        rows.append(conform.conform(landed_rows, feed, canonical).select(*canonical.columns, *place))
+    events = conform.union_feeds(rows)
+    once = dedup.drop_redelivered(events, list(canonical.primary_key), place, canonical.event_time)
+    return once.withColumn("change_at", instant(canonical.event_time)), any(f.mode == "patch" for f in feeds)
+
+
+def next_run(spark: SparkSession, path: str) -> str:
+    """A folder for new files; of the earlier ones only the last stays, for those who still read it."""
+    runs = sorted(int(n.split("=")[1]) for n in folders(spark, path) if n.startswith("run="))
+    for old in runs[:-1]:
+        remove(spark, f"{path}/run={old}")
+    return f"{path}/run={runs[-1] + 1 if runs else 0}"
+
+
+def curate(spark: SparkSession, specs: list[TableSpec], args) -> None:
+    """Trusted events of all feeds of a table to its current rows and its history, as SQL tables."""
+    order = ["change_at", "kafka_partition", "kafka_offset"]
+    for spec in specs:
+        if (spec.feeds or spec.table) != spec.table:
+            continue  # a variant is folded with the table that it feeds
+        events, patches = trusted_events(spark, spec, args)
+        if events is None:
+            log.warning("no trusted rows of %s", spec.table)
+            continue
+        keys = list(spec.primary_key)
+        events = events.drop(spec.event_time)
+        if patches:
+            tables = {"current": fold.fold_patches(events, keys, order, spec.payload, keep=["change_at"])}
+        else:
+            tables = {"current": fold.latest_rows(events, keys, order), "history": history.versions(events, keys, order)}
+        for kind, rows in tables.items():
+            path = next_run(spark, f"{args.root}/curated/{kind}_{spec.table}")
+            rows.write.parquet(path)
+            replace_table(spark, f"{kind}_{spec.table}", rows.schema, path)
+
+
+def publish_current(spark: SparkSession, specs: list[TableSpec], args) -> None:
+    """Current rows as change events, to Kafka or below ``--out``."""
+    for spec in specs:
+        rows = spark.table(f"current_{spec.table}")
+        values = rows.select(*spec.primary_key, *[c for c in spec.payload if c in rows.columns], "change_at")
+        events = stamp_events(values.drop("change_at"), F.lit("U"), iso_text(F.current_timestamp()))
+        path = f"{args.out}/{spec.topic}" if args.out else None
+        publish(to_records(events, list(spec.primary_key), spec.topic), None if path else args.servers, path)
+
+
+def replay_range(spark: SparkSession, specs: list[TableSpec], args) -> None:
+    """Records between two broker times, read again as a table and landed beside the stream's epochs."""
+    for spec in specs:
+        if args.files:
+            records = replay.by_time(read_records(spark, f"{args.files}/{spec.topic}"), args.since, args.until, "timestamp")
+        else:
+            bounds = [int(dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc).timestamp() * 1000) for t in (args.since, args.until)]
+            records = kafka.read_range(spark, kafka.time_range_options(spec.topic, args.servers, args.partitions, *bounds))
+        generation = f"replay-{args.since}-{args.until}".replace(":", "").replace(" ", "T")
+        land_batch(records, spec, epoch_path(f"{args.root}/raw/{spec.table}", generation, 0), lineage=True, corrupt=True)
+
+
+JOBS = {
+    "ingest": ingest,
+    "replay": replay_range,
+    "check": check,
+    "compact": compact_raw,
+    "register": register,
+    "curate": curate,
+    "publish": publish_current,
+}
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -142,6 +231,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--first", type=dt.date.fromisoformat)
     parser.add_argument("--last", type=dt.date.fromisoformat)
     parser.add_argument("--zone", default="raw", choices=["raw", "compacted"], help="what check reads")
+    parser.add_argument("--since", help="replay: first broker time, UTC")
+    parser.add_argument("--until", help="replay: broker time after the last one, UTC")
+    parser.add_argument("--partitions", type=int, default=3, help="replay: partitions of a topic")
+    parser.add_argument("--out", help="publish as Parquet below this folder instead of Kafka")
     parser.add_argument("--width", type=int, default=4096, help="shuffle partitions before small ones are joined")
     parser.add_argument("--max-share", type=float, help="abort if more rows are rejected; default by table config")
     return parser.parse_args(argv)

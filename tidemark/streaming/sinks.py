@@ -109,6 +109,13 @@ def register_table(
     spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def replace_table(spark: SparkSession, name: str, schema: T.StructType, path: str) -> None:
+    """An external table over the files of ``path``, instead of those that it stood for."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
+
+
 def land_batch(records: DataFrame, spec: TableSpec, path: str, **options) -> None:
     """Batch ingestion: the streaming transform on a table of records."""
     write_batch(to_raw(records, spec, **options), path)
