@@ -115,7 +115,7 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(fold(7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-@query(REPEATS_SQL)
+@query()
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every embedding whose id is divisible by 20."""
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, tables=8, probes=40)
