@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-import os
+import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import slices
+from tidemark.llm.bpe import byte_letters, slices
 from tidemark.llm.common import stored
 
 CACHE = 400_000  # distinct pieces of text whose tokens a worker remembers
 GROUP = 16_384  # pieces that are packed together
+# Fixed value: the pattern that cuts text before byte-level merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_DOUBLED = re.compile(r" \s|\s |^\s|\s$|\0").search
 ROUNDS = 4  # exchanges at most; every one keeps the better packing
 
 
@@ -28,23 +33,39 @@ class ChunkEncoder(dict):
 
     def __init__(self, path: str):
         super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        letters = {c: b for b, c in enumerate(byte_letters())}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+        self.library = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.special = tuple(special)
+        self.size = np.zeros(max([*ranks.values(), *special.values()]) + 1, np.int64)
+        for token, i in ranks.items():
+            self.size[i] = len(token)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.library.encode(text, allowed_special="all"), "<u4").tobytes()
+
+    def learn(self, chunks: list[str]) -> None:
+        """Encode chunks as one text, in which no token reaches from one to the next."""
+        first = [c for c in chunks if not c.startswith(" ")]
+        for some, mark in ((first, "\n"), ([c for c in chunks if c.startswith(" ")], "")):
+            ids = np.array(self.library.encode_ordinary("".join([mark + c for c in some])), np.int64)
+            ends = np.concatenate(([0], np.cumsum(self.size[ids])))
+            until = np.cumsum([len(mark) + len(c.encode("utf-8", "surrogatepass")) for c in some], dtype=np.int64)
+            at = np.searchsorted(ends, np.concatenate(([0], until))).tolist()
+            raw = ids.astype("<u4").tobytes()
+            skip = len(mark)
+            for chunk, a, b in zip(some, at[:-1], at[1:], strict=True):
+                self[chunk] = raw[4 * (a + skip) : 4 * b]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers, special tokens recognised."""
         if len(self) > CACHE:
             self.clear()
         split = [self.chunks(text) for text in texts]
-        new = list({c for chunks in split if chunks for c in chunks}.difference(self))
-        for chunk, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self[chunk] = np.array(found.ids, "<u4").tobytes()
+        self.learn(list({c for chunks in split if chunks for c in chunks}.difference(self)))
         of = self.__getitem__
         for text, chunks in zip(texts, split, strict=True):
             yield self.whole(text) if chunks is None else b"".join(map(of, chunks))
@@ -53,10 +74,9 @@ class ChunkEncoder(dict):
         """The text cut before its spaces; None where chunks would not be independent."""
         if any(s in text for s in self.special):
             return None
-        parts = text.split(" ")
-        chunks = [parts[0], *[" " + p for p in parts[1:]]] if parts[0] else None
-        if chunks is None or any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
+        if _DOUBLED(text):
             return None
+        chunks = text.replace(" ", "\0 ").split("\0")
         return chunks
 
 
