@@ -15,8 +15,9 @@ from tidemark.llm.common import stored
 from tidemark.llm.vectors import dimension, matrix, packed, unpack, usable
 
 TURNS = 3  # rounds of random signs and Hadamard transform
-SHARD = 16_384  # table entries compared in one group
+SHARD = 65_536  # table entries compared in one group: a query gets k rows from each
 TILE = 2_048  # rows of a product's side
+SPARE = 12  # candidates beyond k whose scores are computed once more, as products round differently by place
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -85,6 +86,12 @@ def entries(size: int, largest: float, tables: int, probes: int, query: bool) ->
     return run
 
 
+def in_row(row: np.ndarray) -> np.ndarray:
+    """Each entry's place among those of its row, which stand together."""
+    first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))[: len(row)]
+    return np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+
+
 def search_group(size: int, k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """The best ``k`` of one group for each query in it, by exact inner products.
 
@@ -107,7 +114,7 @@ def search_group(size: int, k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
             for code in codes:
                 if int(code) in of_code:
                     by_code.setdefault(int(code), []).append(i)
-        rows, cols = [], []
+        rows, cols, scores = [], [], []
         for code, some in by_code.items():
             there = np.array(of_code[code])
             there = there[np.argsort(ids[there], kind="stable")]
@@ -118,20 +125,25 @@ def search_group(size: int, k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                     score = np.round(q[ask] @ x[part].T, 12)
                     score[own[ask][:, None] == ids[part][None, :]] = -np.inf
                     best = np.argsort(-score, axis=1, kind="stable")[:, :k] if len(part) > k else np.broadcast_to(np.arange(len(part)), score.shape)
-                    keep = np.take_along_axis(score, best, 1) > -np.inf
-                    rows.append(np.repeat(ask, best.shape[1])[keep.ravel()])
-                    cols.append(part[best].ravel()[keep.ravel()])
-        if not rows:
+                    value = np.take_along_axis(score, best, 1).ravel()
+                    keep = value > -np.inf
+                    rows.append(np.repeat(ask, best.shape[1])[keep].astype(np.int32))
+                    cols.append(part[best].ravel()[keep].astype(np.int32))
+                    scores.append(value[keep])
+        if not sum(map(len, rows)):
             return nothing
-        row, col = np.concatenate(rows), np.concatenate(cols)
-        both = np.unique(row.astype(np.int64) * len(x) + col)
-        row, col = both // len(x), both % len(x)
-        score = np.einsum("ij,ij->i", q[row], x[col])
+        row, col, score = np.concatenate(rows), np.concatenate(cols), np.concatenate(scores)
+        order = np.lexsort((col, row))
+        once = order[np.concatenate(([True], (np.diff(row[order]) != 0) | (np.diff(col[order]) != 0)))]
+        row, col, score = row[once], col[once], score[once]
+        order = np.lexsort((ids[col], -score, row))
+        row, col = row[order], col[order]
+        near = in_row(row) < k + SPARE
+        row, col = row[near], col[near]
+        score = np.einsum("ij,ij->i", q[row], x[col])  # alike wherever a pair is met
         order = np.lexsort((ids[col], -score, row))
         row, col, score = row[order], col[order], score[order]
-        first = np.concatenate(([0], np.flatnonzero(np.diff(row)) + 1)) if len(row) else np.zeros(0, np.int64)
-        rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
-        keep = rank < k
+        keep = in_row(row) < k
         return pd.DataFrame({"query_id": own[row[keep]], "vec_id": ids[col[keep]], "score": score[keep]})
 
     return run
