@@ -192,20 +192,19 @@ def intervals(starts: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def sorter(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Repeated starts of strings that come ordered by anchor; all strings of an anchor are sorted together."""
+    """Repeated starts of strings that come ordered by anchor; all strings of an anchor are sorted together.
+
+    Equal strings are sorted once, with the number of their copies.
+    """
 
     def solve(held: list[dict]) -> pa.RecordBatch | None:
-        texts, owned, of = [], [], []
-        for k, row in enumerate(held):
-            for _ in range(min(2, row["copies"])):  # copies repeat each other
-                texts.append(row["text"])
-                owned.append(row["owned"])
-                of.append(k)
-        rows, last = [], -1
-        for k, starts in zip(of, repeated_starts(texts, owned, width), strict=True):
-            if k != last and len(starts):
-                rows.append((held[k]["string"], *intervals(starts)))
-            last = k
+        found = repeated_starts([row["text"] for row in held], [row["owned"] for row in held], width)
+        rows = []
+        for row, starts in zip(held, found, strict=True):
+            if row["copies"] > 1:  # a string with copies repeats whole
+                starts = np.arange(row["owned"])
+            if len(starts):
+                rows.append((row["string"], *intervals(starts)))
         return batch_of(rows, FOUND) if rows else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +218,7 @@ def sorter(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                         yield out
                     held, size = [], 0
                 held.append(row)
-                size += len(row["text"]) * min(2, row["copies"])
+                size += len(row["text"])
         out = solve(held) if held else None
         if out:
             yield out
