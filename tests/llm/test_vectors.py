@@ -87,3 +87,20 @@ def test_nearest_of_few(spark, clusters):
     assert places[8] + 1 == places[9]
     assert nearest(frame(spark, []), F.col("vec_id") == 20).isEmpty()
     assert nearest(frame(spark, rows[:1]), F.col("vec_id") == 20).isEmpty()
+
+
+@pytest.mark.parametrize("norms", ["equal", "one long", "two kinds", "spread"])
+def test_nearest_of_unequal_norms(spark, norms):
+    """Recall with fewer probes than axes, whatever the norms."""
+    rng = np.random.default_rng(3)
+    rows = rng.standard_normal((3_000, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    length = {"equal": np.ones(3_000), "one long": np.where(np.arange(3_000) == 7, 10.0, 1.0), "two kinds": np.where(np.arange(3_000) % 16 == 7, 5.0, 1.0), "spread": np.exp(rng.standard_normal(3_000))}[norms]
+    rows = (rows * length[:, None]).astype(np.float32)
+    got = {}
+    for r in nearest(frame(spark, rows_of(rows, range(3_000))), F.col("vec_id") % 20 == 0, 20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    score = rows[::20].astype(np.float64) @ rows.T.astype(np.float64)
+    score[np.arange(150), np.arange(0, 3_000, 20)] = -np.inf
+    hits = [len(got[20 * i] & set(best.tolist())) / 20 for i, best in enumerate(np.argsort(-score, axis=1)[:, :20])]
+    assert np.mean(hits) >= 0.95 and min(hits) >= 0.5

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import stored
-from tidemark.llm.vectors import dimension, matrix, packed, unpack, usable
+from tidemark.llm.vectors import dimension, matrix, packed, unit, unpack, usable
 
 TURNS = 3  # rounds of random signs and Hadamard transform
 SHARD = 65_536  # table entries compared in one group: a query gets k rows from each
 TILE = 2_048  # rows of a product's side
+LONG = 0.95  # share of the norms above which a candidate meets every query ..
+LONGER = 1.05  # .. if it is so much longer than the median
 SPARE = 12  # candidates beyond k whose scores are computed once more, as products round differently by place
 
 
@@ -38,27 +40,20 @@ def axis_values(rows: np.ndarray, table: int) -> np.ndarray:
     return np.concatenate([rows, -rows], axis=1)
 
 
-def lifted(rows: np.ndarray, largest: float, query: bool) -> np.ndarray:
-    """Unit vectors whose cosine orders by inner product, padded to a power of two.
-
-    Candidates get what their norm lacks to the largest as a further component, queries zero.
-    """
+def directions(rows: np.ndarray) -> np.ndarray:
+    """Unit vectors padded to a power of two."""
     n, size = rows.shape
-    width = 1 << size.bit_length()
-    out = np.zeros((n, width))
-    if query:
-        out[:, :size] = rows / np.linalg.norm(rows, axis=1, keepdims=True)
-    else:
-        out[:, :size] = rows / largest
-        out[:, size] = np.sqrt(np.maximum(0, 1 - np.square(out[:, :size]).sum(1)))
+    out = np.zeros((n, 1 << size.bit_length()))
+    out[:, :size] = unit(rows)
     return out
 
 
-def entries(size: int, largest: float, tables: int, probes: int, query: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def entries(size: int, long: float, tables: int, probes: int, query: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A row per vector: its packed components and the codes (table and signed axis) it belongs to.
 
     A candidate has one code a table, a query its ``probes`` best; 0 probes stand for every code of
-    the first table, which is every candidate.
+    the first table. Candidates of a norm above ``long`` have the code after all tables instead,
+    which every query has too.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,7 +61,7 @@ def entries(size: int, largest: float, tables: int, probes: int, query: bool) ->
             rows = matrix(batch.column(1), size)
             codes = []
             if len(rows):
-                high = lifted(rows, largest, query)
+                high = directions(rows)
                 for table in range(tables if probes or not query else 1):
                     value = axis_values(high, table)
                     width = value.shape[1]
@@ -77,9 +72,15 @@ def entries(size: int, largest: float, tables: int, probes: int, query: bool) ->
                     else:
                         best = np.broadcast_to(np.arange(width), value.shape)
                     codes.append(best + table * width)
-                codes = np.concatenate(codes, axis=1)
+                codes = np.concatenate(codes, axis=1).astype(np.int32)
+                every = np.int32(tables * width)
+                if query:
+                    codes = np.concatenate([codes, np.full((len(rows), 1), every)], axis=1)
+                else:
+                    top = np.linalg.norm(rows, axis=1) > long
+                    codes = [np.array([every]) if t else c for t, c in zip(top, codes, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(packed(rows) if len(rows) else [], pa.binary()), pa.array([c.astype(np.int32) for c in codes], pa.list_(pa.int32()))],
+                [batch.column(0), pa.array(packed(rows) if len(rows) else [], pa.binary()), pa.array(list(codes), pa.list_(pa.int32()))],
                 names=["id", "v", "codes"],
             )
 
@@ -159,15 +160,19 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probes:
     among all candidates, so a short answer means that there are no more. An empty table gives no
     rows. Every row is indexed; scores are exact, only the candidates are found by hashing.
 
+    Hashing is by direction, whatever the norms. The longest candidates, a twentieth at most, can
+    be near with a small cosine that probes would miss: every query is compared with them.
+
     Codes are dealt to groups of bounded size, a hot code over several of them.
     """
     size = dimension(vectors)
     valid = vectors.where(F.col("vec_id").isNotNull() & usable("embedding", size)).select("vec_id", "embedding").dropDuplicates(["vec_id"])
     valid = stored(valid, "valid")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    count, largest = valid.agg(F.count("*"), F.max(norm)).first()
+    count, norms = valid.agg(F.count("*"), F.percentile_approx(norm, [0.5, LONG])).first()
+    long = max(norms[0] * LONGER, norms[1]) if count else 1.0
     schema = "id long, v binary, codes array<int>"
-    base = stored(valid.mapInArrow(entries(size, largest or 1.0, tables, probes, False), schema), "index")
+    base = stored(valid.mapInArrow(entries(size, long, tables, probes, False), schema), "index")
     coded = base.select("id", "v", F.explode("codes").alias("code"))
     per_code = coded.groupBy("code").count()  # at most tables x signed axes rows
     groups = max(1, -(-count * tables // SHARD))
@@ -177,7 +182,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probes:
     held = held.groupBy("shard", "id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(False).alias("query"))
 
     def found(asked: DataFrame, probes: int) -> DataFrame:
-        asks = asked.mapInArrow(entries(size, largest or 1.0, tables, probes, True), schema)
+        asks = asked.mapInArrow(entries(size, long, tables, probes, True), schema)
         asks = asks.select("id", "v", F.explode("codes").alias("code")).join(F.broadcast(parts), "code")
         asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", "v", "code", shard(F.col("part")))
         asks = asks.groupBy("shard", "id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(True).alias("query"))
