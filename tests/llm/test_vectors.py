@@ -104,3 +104,14 @@ def test_nearest_of_unequal_norms(spark, norms):
     score[np.arange(150), np.arange(0, 3_000, 20)] = -np.inf
     hits = [len(got[20 * i] & set(best.tolist())) / 20 for i, best in enumerate(np.argsort(-score, axis=1)[:, :20])]
     assert np.mean(hits) >= 0.95 and min(hits) >= 0.5
+
+
+def test_nearest_within_each_length(spark, clusters):
+    """Vectors of another length are neighbours of each other and silence nobody."""
+    rows = rows_of(clusters[:30], range(30)) + [(40, [1.0] * 9), (41, [2.0] * 9), (60, [3.0] * 12)]
+    got = {}
+    for r in nearest(frame(spark, rows), F.col("vec_id") % 20 == 0, 5).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    score = clusters[:30].astype(np.float64) @ clusters[:30].T.astype(np.float64)
+    np.fill_diagonal(score, -np.inf)
+    assert got == {q: set(np.argsort(-score[q])[:5].tolist()) for q in (0, 20)} | {40: {41}}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import stored
-from tidemark.llm.vectors import dimension, matrix, packed, unit, unpack, usable
+from tidemark.llm.vectors import matrix, packed, unit, unpack, usable
 
 TURNS = 3  # rounds of random signs and Hadamard transform
 SHARD = 65_536  # table entries compared in one group: a query gets k rows from each
@@ -48,41 +48,43 @@ def directions(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def entries(size: int, long: float, tables: int, probes: int, query: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row per vector: its packed components and the codes (table and signed axis) it belongs to.
+def entries(long: dict[int, float], tables: int, probes: int, query: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row per vector: its number of components, them packed and the codes (table and signed axis) it belongs to.
 
     A candidate has one code a table, a query its ``probes`` best; 0 probes stand for every code of
-    the first table. Candidates of a norm above ``long`` have the code after all tables instead,
-    which every query has too.
+    the first table. Candidates of a norm above the one ``long`` has for their number of components
+    have the code after all tables instead, which every query has too.
     """
 
+    def of_size(rows: np.ndarray, size: int) -> list[np.ndarray]:
+        high, codes = directions(rows), []
+        for table in range(tables if probes or not query else 1):
+            value = axis_values(high, table)
+            width = value.shape[1]
+            if not query:
+                best = value.argmax(1)[:, None]
+            elif probes:
+                best = np.argpartition(-value, min(probes, width) - 1, axis=1)[:, :probes]
+            else:
+                best = np.broadcast_to(np.arange(width), value.shape)
+            codes.append(best + table * width)
+        codes = np.concatenate(codes, axis=1).astype(np.int32)
+        every = np.int32(tables * width)
+        if query:
+            return list(np.concatenate([codes, np.full((len(rows), 1), every)], axis=1))
+        top = np.linalg.norm(rows, axis=1) > long[size]
+        return [np.array([every]) if t else c for t, c in zip(top, codes, strict=True)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = matrix(batch.column(1), size)
-            codes = []
-            if len(rows):
-                high = directions(rows)
-                for table in range(tables if probes or not query else 1):
-                    value = axis_values(high, table)
-                    width = value.shape[1]
-                    if not query:
-                        best = value.argmax(1)[:, None]
-                    elif probes:
-                        best = np.argpartition(-value, min(probes, width) - 1, axis=1)[:, :probes]
-                    else:
-                        best = np.broadcast_to(np.arange(width), value.shape)
-                    codes.append(best + table * width)
-                codes = np.concatenate(codes, axis=1).astype(np.int32)
-                every = np.int32(tables * width)
-                if query:
-                    codes = np.concatenate([codes, np.full((len(rows), 1), every)], axis=1)
-                else:
-                    top = np.linalg.norm(rows, axis=1) > long
-                    codes = [np.array([every]) if t else c for t, c in zip(top, codes, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(packed(rows) if len(rows) else [], pa.binary()), pa.array(list(codes), pa.list_(pa.int32()))],
-                names=["id", "v", "codes"],
-            )
+            sizes = np.diff(batch.column(1).offsets.to_numpy())
+            for size in np.unique(sizes).tolist():
+                part = batch.filter(pa.array(sizes == size))
+                rows = matrix(part.column(1), size)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(np.full(len(rows), size, np.int32)), pa.array(packed(rows), pa.binary()), pa.array(of_size(rows, size), pa.list_(pa.int32()))],
+                    names=["id", "size", "v", "codes"],
+                )
 
     return run
 
@@ -93,7 +95,7 @@ def in_row(row: np.ndarray) -> np.ndarray:
     return np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
 
 
-def search_group(size: int, k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def search_group(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """The best ``k`` of one group for each query in it, by exact inner products.
 
     Queries meet only candidates that share a code; a pair that meets in several counts once.
@@ -104,6 +106,7 @@ def search_group(size: int, k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         nothing = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
         if not len(asks) or not len(has):
             return nothing
+        size = int(frame["size"].iloc[0])
         q, x = unpack(asks["v"], size), unpack(has["v"], size)
         ids, own = has["id"].to_numpy(), asks["id"].to_numpy()
         of_code: dict[int, list[int]] = {}
@@ -154,9 +157,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probes:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found by inner product.
 
     ``vectors`` has (vec_id, embedding), ``is_query`` is a condition on vec_id; every other row is a
-    candidate. Ties go to the smaller vec_id. Vectors that are null, zero, of another length or
-    hold null or non-finite components take no part, nor do rows with a null vec_id; rows that
-    repeat a vec_id count once. A query that its probes give fewer than ``k`` is searched again
+    candidate of the queries of its length. Ties go to the smaller vec_id. Vectors that are null,
+    zero or hold null or non-finite components take no part, nor do rows with a null vec_id; rows
+    that repeat a vec_id count once. A query that its probes give fewer than ``k`` is searched again
     among all candidates, so a short answer means that there are no more. An empty table gives no
     rows. Every row is indexed; scores are exact, only the candidates are found by hashing.
 
@@ -165,37 +168,40 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probes:
 
     Codes are dealt to groups of bounded size, a hot code over several of them.
     """
-    size = dimension(vectors)
-    valid = vectors.where(F.col("vec_id").isNotNull() & usable("embedding", size)).select("vec_id", "embedding").dropDuplicates(["vec_id"])
+    valid = vectors.where(F.col("vec_id").isNotNull() & usable("embedding", F.size("embedding"))).select("vec_id", "embedding").dropDuplicates(["vec_id"])
     valid = stored(valid, "valid")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    count, norms = valid.agg(F.count("*"), F.percentile_approx(norm, [0.5, LONG])).first()
-    long = max(norms[0] * LONGER, norms[1]) if count else 1.0
-    schema = "id long, v binary, codes array<int>"
-    base = stored(valid.mapInArrow(entries(size, long, tables, probes, False), schema), "index")
-    coded = base.select("id", "v", F.explode("codes").alias("code"))
-    per_code = coded.groupBy("code").count()  # at most tables x signed axes rows
+    lengths = valid.groupBy(F.size("embedding").alias("size")).agg(F.count("*").alias("count"), F.percentile_approx(norm, [0.5, LONG]).alias("norms"))
+    lengths = lengths.collect()  # at most as many as the longest vector has components
+    long = {r["size"]: max(r["norms"][0] * LONGER, r["norms"][1]) for r in lengths}
+    count = sum(r["count"] for r in lengths)
+    wanted = vectors.sparkSession.createDataFrame([(r["size"], min(k, r["count"] - 1)) for r in lengths], "size int, wanted int")
+    schema = "id long, size int, v binary, codes array<int>"
+    base = stored(valid.mapInArrow(entries(long, tables, probes, False), schema), "index")
+    coded = base.select("id", "size", "v", F.explode("codes").alias("code"))
+    per_code = coded.groupBy("size", "code").count()  # at most tables x signed axes rows a length
     groups = max(1, -(-count * tables // SHARD))
-    parts = stored(per_code.select("code", F.ceil(F.col("count") / SHARD).cast("int").alias("parts")), "codes")
+    parts = stored(per_code.select("size", "code", F.ceil(F.col("count") / SHARD).cast("int").alias("parts")), "codes")
     shard = lambda part: F.pmod(F.xxhash64("code", part), F.lit(groups)).cast("int").alias("shard")
-    held = coded.join(F.broadcast(parts), "code").select("id", "v", "code", shard(F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int")))
-    held = held.groupBy("shard", "id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(False).alias("query"))
+    held = coded.join(F.broadcast(parts), ["size", "code"]).select("id", "size", "v", "code", shard(F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int")))
+    held = held.groupBy("shard", "size", "id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(False).alias("query"))
 
     def found(asked: DataFrame, probes: int) -> DataFrame:
-        asks = asked.mapInArrow(entries(size, long, tables, probes, True), schema)
-        asks = asks.select("id", "v", F.explode("codes").alias("code")).join(F.broadcast(parts), "code")
-        asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", "v", "code", shard(F.col("part")))
-        asks = asks.groupBy("shard", "id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(True).alias("query"))
-        pairs = held.unionByName(asks).groupBy("shard").applyInPandas(search_group(size, k), "query_id long, vec_id long, score double")
+        asks = asked.mapInArrow(entries(long, tables, probes, True), schema)
+        asks = asks.select("id", "size", "v", F.explode("codes").alias("code")).join(F.broadcast(parts), ["size", "code"])
+        asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", "size", "v", "code", shard(F.col("part")))
+        asks = asks.groupBy("shard", "size", "id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(True).alias("query"))
+        pairs = held.unionByName(asks).groupBy("shard", "size").applyInPandas(search_group(k), "query_id long, vec_id long, score double")
         best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         return pairs.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
     queries = valid.where(is_query)
     first = stored(found(queries, probes), "nearest")
-    full = first.where((F.col("rank") == min(k, max(0, count - 1)))).select(F.col("query_id").alias("vec_id"))
-    short = stored(queries.join(full, "vec_id", "left_anti"), "short")
+    had = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("had"))
+    short = queries.join(had, "vec_id", "left").join(F.broadcast(wanted), F.size("embedding") == wanted["size"])
+    short = stored(short.where(F.coalesce("had", F.lit(0)) < F.col("wanted")).select("vec_id", "embedding"), "short")
     if short.isEmpty():
         return first.select("query_id", "rank", "vec_id", "score")
     again = found(short, 0)
-    done = first.join(full.select(F.col("vec_id").alias("query_id")), "query_id", "left_semi")
+    done = first.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti")
     return done.unionByName(again).select("query_id", "rank", "vec_id", "score")

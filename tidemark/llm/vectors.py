@@ -12,8 +12,8 @@ def dimension(vectors: DataFrame, column: str = "embedding") -> int:
     return vectors.agg(F.max(F.size(column))).first()[0] or 0
 
 
-def usable(column: str, size: int):
-    """Whether a vector has ``size`` finite components, not all zero."""
+def usable(column: str, size):
+    """Whether a vector has ``size`` (a number or column) finite components, not all zero."""
     one = F.col(column)
     finite = F.forall(one, lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     return F.coalesce((F.size(one) == size) & finite & F.exists(one, lambda x: x != 0), F.lit(False))
