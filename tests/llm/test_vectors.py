@@ -1,6 +1,9 @@
 """Operators on embeddings against brute force."""
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +118,40 @@ def test_nearest_within_each_length(spark, clusters):
     score = clusters[:30].astype(np.float64) @ clusters[:30].T.astype(np.float64)
     np.fill_diagonal(score, -np.inf)
     assert got == {q: set(np.argsort(-score[q])[:5].tolist()) for q in (0, 20)} | {40: {41}}
+
+
+def test_nearest_in_bounded_groups(spark, clusters, monkeypatch):
+    """Queries of a group are split too, and the answers stay."""
+    vectors, ask = frame(spark, rows_of(clusters, range(len(clusters)))), F.col("vec_id") % 3 == 0
+    want = sorted(map(tuple, nearest(vectors, ask, 20).collect()))
+    search = ann.search_group
+
+    def guarded(*args):
+        run = search(*args)
+
+        def counted(part):
+            assert part["query"].sum() <= 70, "too many queries in a group"
+            return run(part)
+
+        return counted
+
+    monkeypatch.setattr(ann, "search_group", guarded)
+    monkeypatch.setattr(ann, "ASKS", 30, raising=False)
+    assert sorted(map(tuple, nearest(vectors, ask, 20).collect())) == want
+
+
+def test_group_keeps_little_of_each_tile(monkeypatch):
+    """What a group holds does not grow with its tiles."""
+    monkeypatch.setattr(ann, "TILE", 32)
+    rng = np.random.default_rng(5)
+    x, q = rng.standard_normal((3_200, 8)), rng.standard_normal((300, 8))
+    packs = [v.tobytes() for v in np.concatenate([x, q])]
+    group = pd.DataFrame({"id": np.arange(3_500), "size": 8, "v": packs, "codes": [[0]] * 3_500, "query": np.arange(3_500) >= 3_200})
+    run = ann.search_group(20)
+    tracemalloc.start()
+    got = run(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    best = np.argsort(-(q @ x.T), axis=1)[:, :20]
+    assert got.groupby("query_id")["vec_id"].apply(list).tolist() == best.tolist()
+    assert peak < 8e6, peak

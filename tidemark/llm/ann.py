@@ -16,6 +16,7 @@ from tidemark.llm.vectors import matrix, packed, unit, unpack, usable
 
 TURNS = 3  # rounds of random signs and Hadamard transform
 SHARD = 65_536  # table entries compared in one group: a query gets k rows from each
+ASKS = 65_536  # queries, at about most, of one group
 TILE = 2_048  # rows of a product's side
 LONG = 0.95  # share of the norms above which a candidate meets every query ..
 LONGER = 1.05  # .. if it is so much longer than the median
@@ -95,6 +96,18 @@ def in_row(row: np.ndarray) -> np.ndarray:
     return np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
 
 
+def nearest_kept(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best ``k`` and some spare of each row's distinct (row, col, score)."""
+    row, col, score = (np.concatenate(one) for one in zip(*found, strict=True))
+    order = np.lexsort((col, row))
+    once = order[np.concatenate(([True], (np.diff(row[order]) != 0) | (np.diff(col[order]) != 0)))[: len(order)]]
+    row, col, score = row[once], col[once], score[once]
+    order = np.lexsort((ids[col], -score, row))
+    row, col, score = row[order], col[order], score[order]
+    near = in_row(row) < k + SPARE
+    return row[near], col[near], score[near]
+
+
 def search_group(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """The best ``k`` of one group for each query in it, by exact inner products.
 
@@ -118,7 +131,8 @@ def search_group(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
             for code in codes:
                 if int(code) in of_code:
                     by_code.setdefault(int(code), []).append(i)
-        rows, cols, scores = [], [], []
+        kept = (np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0))
+        found, pending = [], 0
         for code, some in by_code.items():
             there = np.array(of_code[code])
             there = there[np.argsort(ids[there], kind="stable")]
@@ -131,19 +145,13 @@ def search_group(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                     best = np.argsort(-score, axis=1, kind="stable")[:, :k] if len(part) > k else np.broadcast_to(np.arange(len(part)), score.shape)
                     value = np.take_along_axis(score, best, 1).ravel()
                     keep = value > -np.inf
-                    rows.append(np.repeat(ask, best.shape[1])[keep].astype(np.int32))
-                    cols.append(part[best].ravel()[keep].astype(np.int32))
-                    scores.append(value[keep])
-        if not sum(map(len, rows)):
+                    found.append((np.repeat(ask, best.shape[1])[keep].astype(np.int32), part[best].ravel()[keep].astype(np.int32), value[keep]))
+                    pending += len(found[-1][0])
+                    if pending > max(len(asks), TILE) * (k + SPARE):  # no more than what stays for all queries
+                        kept, found, pending = nearest_kept([kept, *found], ids, k), [], 0
+        row, col, _ = nearest_kept([kept, *found], ids, k)
+        if not len(row):
             return nothing
-        row, col, score = np.concatenate(rows), np.concatenate(cols), np.concatenate(scores)
-        order = np.lexsort((col, row))
-        once = order[np.concatenate(([True], (np.diff(row[order]) != 0) | (np.diff(col[order]) != 0)))]
-        row, col, score = row[once], col[once], score[once]
-        order = np.lexsort((ids[col], -score, row))
-        row, col = row[order], col[order]
-        near = in_row(row) < k + SPARE
-        row, col = row[near], col[near]
         score = np.einsum("ij,ij->i", q[row], x[col])  # alike wherever a pair is met
         order = np.lexsort((ids[col], -score, row))
         row, col, score = row[order], col[order], score[order]
@@ -166,7 +174,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probes:
     Hashing is by direction, whatever the norms. The longest candidates, a twentieth at most, can
     be near with a small cosine that probes would miss: every query is compared with them.
 
-    Codes are dealt to groups of bounded size, a hot code over several of them.
+    Codes are dealt to groups of bounded size, a hot code over several of them; a group with many
+    queries is copied, so that each copy has about ``ASKS`` of them at most.
     """
     valid = vectors.where(F.col("vec_id").isNotNull() & usable("embedding", F.size("embedding"))).select("vec_id", "embedding").dropDuplicates(["vec_id"])
     valid = stored(valid, "valid")
@@ -190,8 +199,12 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probes:
         asks = asked.mapInArrow(entries(long, tables, probes, True), schema)
         asks = asks.select("id", "size", "v", F.explode("codes").alias("code")).join(F.broadcast(parts), ["size", "code"])
         asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", "size", "v", "code", shard(F.col("part")))
+        asked_by = asks.groupBy("shard", "size").agg(F.ceil(F.approx_count_distinct("id") / ASKS).cast("int").alias("sides"))
+        sides = F.broadcast(stored(asked_by, "sides"))  # a row a group; groups without queries go
         asks = asks.groupBy("shard", "size", "id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(True).alias("query"))
-        pairs = held.unionByName(asks).groupBy("shard", "size").applyInPandas(search_group(k), "query_id long, vec_id long, score double")
+        asks = asks.join(sides, ["shard", "size"]).withColumn("side", F.pmod(F.xxhash64("id", F.lit("side")), F.col("sides").cast("long")).cast("int"))
+        has = held.join(sides, ["shard", "size"]).withColumn("side", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+        pairs = has.unionByName(asks).groupBy("shard", "size", "side").applyInPandas(search_group(k), "query_id long, vec_id long, score double")
         best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         return pairs.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
