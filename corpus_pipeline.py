@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import fold, stored, table
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import quality_scores
-from tidemark.llm.simhash import simhash_groups
+from tidemark.llm.simhash import simhash_survivors
 from tidemark.llm.suffix_dedup import remove_repeats
 from tidemark.llm.toxicity import toxicity_scores
 
@@ -30,14 +30,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the group's smallest id.
-
-    Rows that repeat an id are one document; rows without an id cannot be named and stay.
-    """
-    groups = simhash_groups(docs, width=3, radius=2)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null").select(*COLUMNS)).select(*COLUMNS)
+    """One row of each SimHash group stays: the one with the smallest id, whatever other rows have that id."""
+    return simhash_survivors(docs, COLUMNS, width=3, radius=2)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -131,3 +131,17 @@ def test_pipeline(spark):
     assert now.join(labels.where("quality = 1 and toxic = 0"), "doc_id").count() > 0.5 * clean
     pieces = cp.STAGES[-1][1](spark, now, sf_dir)
     assert pieces.select("doc_id").distinct().count() == now.select("doc_id").distinct().count()
+
+
+def test_one_row_of_each_near_group(spark):
+    """Rows of one id in two groups, rows without an id, and copies of rows: one row a group, always the same."""
+    import corpus_pipeline as cp
+
+    first, second, third, fourth = sentences(5, 4, "river house garden morning letter window music paper street winter".split())
+    rows = [(5, first), (5, second), (3, second), (None, second), (7, third), (None, fourth), (None, fourth), (None, fourth), (7, third), (5, first)]
+    rows = [(i, t, lang, "s", len(t)) for i, t in rows for lang in ("fr", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [cp.near_duplicates(spark, some, "").collect() for some in (docs.repartition(1), docs.repartition(5))]
+    assert sorted(kept[0], key=repr) == sorted(kept[1], key=repr)
+    assert sorted(((r.doc_id, r.text) for r in kept[0]), key=repr) == sorted([(5, first), (3, second), (7, third), (None, fourth)], key=repr)
+    assert cp.near_duplicates(spark, docs.limit(0), "").isEmpty()

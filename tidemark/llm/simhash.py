@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, stored
+from tidemark.llm.common import beside_text, components, stored
 
 SEED = 42
 BLOCK = 65_536  # shingles whose bits are counted at once
@@ -38,15 +38,16 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(2 * ones > len(firsts)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp) of each row of ``docs`` (doc_id, text); null text counts as empty."""
+def fingerprints(docs: DataFrame, width: int = 3, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``columns`` and fp of each row of ``docs`` (doc_id, text); null text counts as empty."""
+    frame, place, schema = beside_text(docs, columns, "fp long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(text.as_py(), width) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(text.as_py(), width) for text in batch.column(place)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(fps, pa.int64())], names=[*columns, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return frame.mapInArrow(run, schema)
 
 
 def near_pairs(fps: DataFrame, radius: int = 2) -> DataFrame:
@@ -69,6 +70,13 @@ def near_pairs(fps: DataFrame, radius: int = 2) -> DataFrame:
     return pairs.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius)
 
 
+def rooted(fps: DataFrame, radius: int = 2) -> DataFrame:
+    """(fp, root, first_id): of each fingerprint in ``fps`` (doc_id, fp) its component's name and its smallest doc_id."""
+    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
+    roots = components(near_pairs(nodes, radius)).withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_groups(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """One row (doc_id, fingerprint, component_id) per row of ``docs`` (doc_id, text).
 
@@ -78,9 +86,23 @@ def simhash_groups(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFram
     Repeated rows stay repeated; an empty table gives no rows; further columns are ignored.
     """
     fps = stored(fingerprints(docs, width), "simhash")
-    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
-    roots = components(near_pairs(nodes, radius)).withColumnRenamed("node", "fp")
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    nodes = rooted(fps, radius)
+    least = nodes.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = nodes.join(least, "root").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def simhash_survivors(docs: DataFrame, columns: tuple[str, ...], width: int = 3, radius: int = 2) -> DataFrame:
+    """One whole row of each component: that of the smallest doc_id, then of the least digest of the row.
+
+    Rows without an id come last; rows alike in all ``columns`` are one. Ids need not be unique.
+    """
+    mark = F.md5(F.to_json(F.struct(*[F.md5("text").alias("text") if c == "text" else F.col(c) for c in columns])))
+    marked = docs.select(*columns, mark.alias("mark"))
+    fps = stored(fingerprints(marked, width, ("doc_id", "mark")), "simhash")
+    least = fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"))
+    first = least.join(rooted(fps, radius).select("fp", "root"), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    first = first.select("first.mark")
+    # rows without an id may be copies of each other in any number: these are merged before they are shuffled
+    nameless = marked.where("doc_id is null").dropDuplicates(["mark"])
+    return marked.where("doc_id is not null").unionByName(nameless).join(first, "mark", "left_semi").dropDuplicates(["mark"]).select(*columns)
