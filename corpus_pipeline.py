@@ -18,15 +18,15 @@ THRESHOLD = 0.3
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier rejects go."""
+    """Documents that the toxicity classifier rejects go; none where it cannot be fitted."""
     labels = table(spark, sf_dir, "labels").where(fold(4) != 2).select("doc_id", F.col("toxic").alias("label"))
-    return toxicity_scores(docs, labels, COLUMNS).where(F.col("score") < THRESHOLD).select(*COLUMNS)
+    return toxicity_scores(docs, labels, COLUMNS, null_unfitted=True).where(F.col("score").isNull() | (F.col("score") < THRESHOLD)).select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go; none where it cannot be fitted."""
     labels = table(spark, sf_dir, "labels").where(fold(5) != 0).select("doc_id", F.col("quality").alias("label"))
-    return quality_scores(docs, labels, COLUMNS).where(F.col("score") >= THRESHOLD).select(*COLUMNS)
+    return quality_scores(docs, labels, COLUMNS, null_unfitted=True).where(F.col("score").isNull() | (F.col("score") >= THRESHOLD)).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -145,3 +145,16 @@ def test_one_row_of_each_near_group(spark):
     assert sorted(kept[0], key=repr) == sorted(kept[1], key=repr)
     assert sorted(((r.doc_id, r.text) for r in kept[0]), key=repr) == sorted([(5, first), (3, second), (7, third), (None, fourth)], key=repr)
     assert cp.near_duplicates(spark, docs.limit(0), "").isEmpty()
+
+
+@pytest.mark.parametrize("toxic, quality", [(None, None), (1, 0)])
+def test_stages_without_a_model_keep_all(spark, tmp_path, toxic, quality):
+    """No labels, or labels of one class, reject no document."""
+    import corpus_pipeline as cp
+
+    texts = sentences(6, 40, "river house garden morning letter window music paper".split())
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = [] if toxic is None else [(i, quality, toxic) for i in range(40)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for stage in (cp.toxicity, cp.quality):
+        assert sorted(stage(spark, docs, str(tmp_path)).collect()) == sorted(docs.collect())

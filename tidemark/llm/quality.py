@@ -50,7 +50,7 @@ class Compressors:
         return gain, (bad - good) / (bad + good), ratio, ratio * ratio, raw**-0.5, gain * good / raw
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("doc_id",), null_unfitted: bool = False) -> DataFrame:
     """``columns`` and score per row of ``docs`` (doc_id, text): how likely its label is 1.
 
     ``labels`` (doc_id, label) are the rows to learn from, 0 or 1; others and nulls are ignored, a
@@ -58,8 +58,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...]
     hash of doc_id. Half of them give a dictionary for each class; on the rest a logistic
     regression calibrates the difference of the compressed sizes, weighted to the classes' shares
     of all labels. Every whole text is scored block by block, null as empty; rows stay as they are,
-    repeated or with a null id. If a class has no labelled text, every score is the share of
-    label 1 among the labels, 0.5 without any.
+    repeated or with a null id. If no model can be fitted because a part of the sample lacks a class,
+    every score is the share of label 1 among the labels, 0.5 without any, or null with
+    ``null_unfitted``.
     """
     sample, share = labelled_sample(docs, labels, DOCUMENTS)
     sample = stored(sample, "labelled")
@@ -93,7 +94,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...]
                 x = np.array([sizes.features(t.as_py() or "") for t in batch.column(place)]).reshape(-1, FEATURES)
                 found = logistic(model, x)
             else:
-                found = np.full(batch.num_rows, share)
+                found = [None if null_unfitted else share] * batch.num_rows
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], pa.array(found, pa.float64())], names=[*columns, "score"])
 
     return frame.mapInArrow(score, schema)

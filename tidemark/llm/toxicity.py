@@ -344,7 +344,7 @@ def fit(sample: DataFrame) -> tuple[Network, Lexicon]:
     return net, lexicon
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("doc_id",), null_unfitted: bool = False) -> DataFrame:
     """``columns`` and score per row of ``docs`` (doc_id, text): how likely its label is 1.
 
     ``labels`` (doc_id, label) are the rows to learn from, 0 or 1; others and nulls are ignored, a
@@ -352,8 +352,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...]
     hash of doc_id: three quarters train the network, the rest calibrates a logistic regression over a document's
     highest logit, weighted to the classes' shares of all labels. Every overlapping window of every
     whole text is scored; a text without words gets score 0. Rows stay as they are, repeated or
-    with a null id. If a class has no labelled text, every score is the share of label 1 among the
-    labels, 0.5 without any.
+    with a null id. If no model can be fitted because a part of the sample lacks a class, every
+    score is the share of label 1 among the labels, 0.5 without any, or null with ``null_unfitted``.
     """
     sample, share = labelled_sample(docs, labels, DOCUMENTS)
     sample = stored(sample, "labelled")
@@ -384,7 +384,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...]
                     words = [words_of(t) for t in some]
                     found = np.where([bool(w) for w in words], logistic(model, scorer.features(words)), 0.0)
                 else:
-                    found = np.full(len(some), share)
+                    found = [None if null_unfitted else share] * len(some)
                 kept = [c.slice(done, len(some)) for c in batch.columns[: len(columns)]]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.float64())], names=[*columns, "score"])
                 done += len(some)
