@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.alignment import alignment_scores
 from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.common import fold, table
@@ -119,3 +120,10 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every embedding whose id is divisible by 20."""
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, tables=8, probes=40)
+
+
+@query()
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, linked by the bytes they share."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment_scores(table(spark, sf_dir, "documents"), *paths)
