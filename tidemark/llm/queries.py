@@ -13,6 +13,7 @@ from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import bpe_round_trip
 from tidemark.llm.common import fold, table
 from tidemark.llm.embedding_dedup import embedding_groups
+from tidemark.llm.licenses import license_labels, license_sql
 from tidemark.llm.lm import lm_scores
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality import quality_scores
@@ -122,6 +123,12 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, tables=8, probes=40)
 
 
+@query(license_sql())
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence passages in every document."""
+    return license_labels(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens by two tokenizers, linked by the bytes they share."""
