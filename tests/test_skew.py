@@ -151,3 +151,9 @@ def test_as_of_against_brute_force(spark, skewed):
     skew = profile(f, ["k"], "t") if skewed else NO_SKEW
     got = as_of(f, v, ["k"], "t", "t", {"name": "name"}, skew)
     assert {r["i"]: r["name"] for r in got.collect()} == {i: expected(k, t) for k, t, i in facts}
+
+
+def test_empty_table_has_no_skew(spark):
+    empty = spark.createDataFrame([], "k long, t long")
+    assert not profile(empty, ["k"], "t")
+    assert along(empty, ["k"], ["t"], Along(number="n")).isEmpty()

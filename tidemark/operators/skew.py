@@ -84,7 +84,7 @@ def profile(df: DataFrame, keys: list[str], order: str | None = None) -> Skew:
         F.count(F.lit(1)).alias("n"),
         F.count("o").alias("ordered"),
     )
-    merged = parts.agg(
+    merged = parts.groupBy(F.lit(True)).agg(  # no row, rather than a combination of nothing, for an empty table
         F.expr("approx_top_k_combine(top)").alias("top"),
         F.kll_merge_agg_bigint("ranks").alias("ranks"),
         F.sum("n").alias("n"),
