@@ -16,6 +16,7 @@ from tidemark.llm.embedding_dedup import embedding_groups
 from tidemark.llm.licenses import license_labels, license_sql
 from tidemark.llm.lm import lm_scores
 from tidemark.llm.packing import pack_documents
+from tidemark.llm.prefix_trie import prefix_trie, rebuilt
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.simhash import simhash_groups
 from tidemark.llm.sql import LINKS_SQL, REPEATS_SQL
@@ -123,6 +124,12 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, tables=8, probes=40)
 
 
+@query()
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    return prefix_trie(*rebuilt(table(spark, sf_dir, "conversations"), donor_every=20, heads=4))
+
+
 @query(license_sql())
 def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence passages in every document."""
