@@ -26,14 +26,13 @@ FROM d LEFT JOIN gone USING (r)
 
 LINKS_SQL = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, CASE WHEN len(embedding) = (SELECT max(len(embedding)) FROM embeddings)
-    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+  SELECT vec_id, CASE WHEN len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS e
   FROM embeddings
 ),
 link AS (
   SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.vec_id <> b.vec_id
-  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.95 END
 ),
 reach(u, w) AS (SELECT u, w FROM link UNION SELECT r.u, l.w FROM reach r JOIN link l ON r.w = l.u)
 SELECT vec_id, (SELECT count(*) FROM link WHERE u = vec_id) AS n_links,

@@ -3,15 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dimension(vectors: DataFrame, column: str = "embedding") -> int:
-    """The largest number of components; vectors of another length take no part."""
-    return vectors.agg(F.max(F.size(column))).first()[0] or 0
-
-
 def usable(column: str, size):
     """Whether a vector has ``size`` (a number or column) finite components, not all zero."""
     one = F.col(column)
