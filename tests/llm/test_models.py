@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import queries
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.toxicity import Network, indexed, toxicity_scores
+from tidemark.llm.suffix_dedup import whole_words
 from tidemark.llm.urls import url_verdicts
 
 EXTRA = "doc_id long, text string, score double, label int, part string, odds double, x int"
@@ -112,6 +113,40 @@ def test_urls_against_sql(spark):
     assert url_verdicts(pages.where("url is null"), queries.URL_RULES).first().verdict == "allow"
 
 
+def test_urls_of_different_digits(spark):
+    """A rule about a digit teaches the models about the digit."""
+    rows = [(i, f"http://{h}.example.org/en/{i % 9 + 1}") for i, h in enumerate("abcdefghijklmnopqrstuvwxyz" * 8)]
+    rows += [(1001, "http://a.example.net/en/1"), (1002, "http://a.example.net/en/2")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r for r in url_verdicts(pages, queries.URL_RULES).where("page_id > 1000").collect()}
+    assert got[1001].score < got[1002].score
+    assert (got[1001].verdict, got[1002].verdict) == ("block", "allow")
+
+
+def test_repeated_passages_go_and_clean_texts_stay(spark):
+    """Passages of 51 words and more, short in bytes, repeated words and all; shorter ones stay."""
+    import corpus_pipeline as cp
+
+    rng = np.random.default_rng(9)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+
+    def some(n):
+        return " ".join("".join(rng.choice(letters, rng.integers(2, 8))) for _ in range(n))
+
+    long, short, line = some(51), " ".join("".join(rng.choice(letters, 3)) for _ in range(51)), some(40)
+    texts = [f"{some(60)} {p} {some(60)}" for p in (long, long, short, short, line, line)] + [some(200), "", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id: r.text for r in cp.repeated_passages(spark, docs, "").collect()}
+    assert all(long not in left[i] and short not in left[i] for i in range(4))
+    assert all(left[i] is not None and len(left[i].split()) >= 118 for i in range(4))
+    assert {i: left[i] for i in range(4, 9)} == {i: texts[i] for i in range(4, 9)}
+
+
+def test_whole_words():
+    text = b"one two three four"
+    assert [whole_words(text, *x) for x in ((0, 18), (1, 18), (4, 13), (3, 14), (5, 12), (5, 6), (0, 0))] == [4, 3, 2, 2, 0, 0, 0]
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
 

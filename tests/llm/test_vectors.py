@@ -2,6 +2,7 @@
 
 import tracemalloc
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import ann, embedding_dedup
 from tidemark.llm.ann import nearest
 from tidemark.llm.embedding_dedup import embedding_groups
+from tidemark.llm.sql import LINKS_SQL
 
 SCHEMA = "vec_id long, embedding array<float>, label int, d long, cell int, code int, weight double"
 BAD = [(9001, None), (9002, [0.0] * 8), (9003, [1.0, None, *[0.0] * 6]), (9004, [float("nan")] * 8), (9005, [float("inf"), *[0.0] * 7]), (9006, [1.0, 2.0])]
@@ -59,6 +61,18 @@ def test_embedding_edge_tables(spark, clusters):
     assert sorted((r.n_links, r.component_id, r.kept) for r in embedding_groups(frame(spark, twice)).collect()) == [(2, 5, False), (2, 5, True), (2, 5, True)]
 
 
+def test_embedding_links_within_each_length(spark, clusters):
+    """Vectors of one length do not silence those of another, nor link with them."""
+    rows = [(i, [1.0, 2.0, 3.0]) for i in (4, 5, 6)] + [(7, [1.0, 2.0, 3.0, 0.0])] + rows_of(clusters[:40], range(100, 140))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_groups(frame(spark, rows)).collect()}
+    alone = {r.vec_id: (r.n_links, r.component_id) for r in embedding_groups(frame(spark, rows[4:])).collect()}
+    assert got == {4: (2, 4), 5: (2, 4), 6: (2, 4), 7: (0, 7)} | alone
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    assert {r[0]: r[1:3] for r in con.execute(LINKS_SQL).fetchall()} == got
+
+
 @pytest.mark.parametrize("shard", [65_536, 200])
 def test_nearest_by_inner_product(spark, clusters, monkeypatch, shard):
     monkeypatch.setattr(ann, "SHARD", shard)

@@ -324,13 +324,23 @@ def write_spans(found: DataFrame, width: int, folder: str, bits: int) -> Spans:
     return Spans(folder, bits, {r.shard for r in gathered(sharded, 1 << bits, write, "shard long").collect()})
 
 
-def remove_repeats(docs: DataFrame, width: int = 400, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def whole_words(text: bytes, first: int, last: int) -> int:
+    """Words of a stretch of a text, between ASCII white space; those that it cuts do not count."""
+    words = len(text[first:last].split())
+    if first and words and not text[first - 1 : first].isspace() and not text[first : first + 1].isspace():
+        words -= 1
+    if last < len(text) and words and not text[last - 1 : last].isspace() and not text[last : last + 1].isspace():
+        words -= 1
+    return words
+
+
+def remove_repeats(docs: DataFrame, width: int = 400, columns: tuple[str, ...] = ("doc_id",), least_words: int = 0) -> DataFrame:
     """One row (``columns``, n_bytes, spans, kept) per row of ``docs`` (doc_id, text).
 
     Every byte covered by ``width`` bytes that also start anywhere else, in the same or another
     row, is removed; windows lie within one text, overlaps count, and the input decides, not what
     is left. ``spans`` are the maximal removed runs (first, last; last not included), ``kept`` the
-    remaining bytes of the UTF-8 text. Null text is empty. All copies are removed, none is kept.
+    remaining bytes of the UTF-8 text. A run of fewer than ``least_words`` whole words stays. Null text is empty. All copies are removed, none is kept.
     Repeated rows are copies of each other; null ids are kept; an empty table gives no rows.
 
     Only strings around anchors that stand in two places can repeat. They are gathered by anchor,
@@ -366,6 +376,8 @@ def remove_repeats(docs: DataFrame, width: int = 400, columns: tuple[str, ...] =
             for i, value in enumerate(batch.column(place)):
                 text = (value.as_py() or "").encode("utf-8", "surrogatepass")
                 gone = spans.of(text) if len(text) >= width else []
+                if least_words:
+                    gone = [(a, b) for a, b in gone if whole_words(text, a, b) >= least_words]
                 ends = [0, *[x for pair in gone for x in pair], len(text)]
                 rows.append((len(text), [{"first": a, "last": b} for a, b in gone], b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))))
                 size += len(text)
