@@ -15,6 +15,8 @@ from tidemark.llm.toxicity import toxicity_scores
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 THRESHOLD = 0.3
+PASSAGE_WORDS = 51  # a repeated run of so many whole words is a passage ..
+PASSAGE_BYTES = 160  # .. and has strings of so many bytes that repeat: 51 words of at least two letters
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +37,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose the byte strings that occur elsewhere too; what a cut leaves of a character goes with it."""
-    cleaned = remove_repeats(docs, 400, COLUMNS)
+    """Texts lose passages of over 50 words that occur elsewhere too; what a cut leaves of a character goes with it.
+
+    Null and empty texts stay as they are; copies of a row lose all they share; a text that is nothing
+    but repeated passages stays as an empty one, of which packing makes its end token.
+    """
+    cleaned = remove_repeats(docs, PASSAGE_BYTES, COLUMNS, least_words=PASSAGE_WORDS)
     whole = F.size("spans") == 0
     # a cut may leave part of a character, which becomes U+FFFD and is taken out of texts that were cut
     text = F.when(whole, F.col("text")).otherwise(F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", ""))
