@@ -5,6 +5,7 @@ from test_streaming import message, put
 
 from tidemark import jobs
 from tidemark.operators.quality import QualityThresholdExceeded
+from tidemark.spec import load_spec
 
 
 @pytest.fixture(scope="module")
@@ -149,7 +150,31 @@ def test_chain_of_two_order_feeds(spark, rows, tmp_path):
         spark.sql(f"DROP TABLE {kind}")
 
 
-def test_replay_lands_a_range_again(spark, lake):
-    before = spark.read.parquet(f"{lake}/raw/orders").count()
-    jobs.main(["replay", "--root", str(lake), "--tables", "orders", "--files", f"{lake}/topics", "--since", "2025-01-01", "--until", "2025-01-02"], spark)
-    assert spark.read.parquet(f"{lake}/raw/orders").count() == 2 * before
+@pytest.mark.parametrize("replace", [[], ["--replace"]])
+def test_replay_of_a_landed_range_changes_nothing(spark, rows, lake, replace):
+    def zones():
+        raw = jobs.landed(spark, load_spec("orders"), str(lake))
+        return rows(raw.drop("kafka_key")), rows(spark.read.parquet(f"{lake}/trusted/orders").select("order_id", "kafka_offset"))
+
+    jobs.main(["check", "--root", str(lake), "--tables", "orders"], spark)
+    before = zones()
+    place = ["--root", str(lake), "--tables", "orders"]
+    jobs.main(["replay", *place, *replace, "--files", f"{lake}/topics", "--since", "2025-01-01", "--until", "2025-01-02"], spark)
+    jobs.main(["check", *place], spark)
+    assert zones() == before and len(before[0]) == 8
+
+
+def test_merge_keeps_rows_and_lets_epochs_go(spark, rows, lake):
+    put(spark, lake / "topics" / "orders_cdc", [json.dumps(message(i)) for i in range(20, 24)], start=100)
+    place = ["--root", str(lake), "--tables", "orders"]
+    jobs.main(["ingest", *place, "--files", f"{lake}/topics", "--once"], spark)
+    spec = load_spec("orders")
+    before = jobs.landed(spark, spec, str(lake))
+    seen, files = rows(before.drop("kafka_key")), set(before.inputFiles())
+    jobs.main(["merge", *place], spark)
+    assert rows(before.drop("kafka_key")) == seen  # a reader from before the merge goes on
+    after = jobs.landed(spark, spec, str(lake))
+    assert rows(after.drop("kafka_key")) == seen and len(after.inputFiles()) < len(files)
+    jobs.main(["merge", *place], spark)  # nothing to merge: what the first one covered is deleted
+    left = spark.read.parquet(f"{lake}/raw/orders")
+    assert left.count() == len(seen) and "merged" in {r[0] for r in left.select("generation").distinct().collect()}

@@ -7,6 +7,7 @@
     spark-submit -m tidemark.jobs curate --root hdfs:///lake --tables orders
     spark-submit -m tidemark.jobs publish --root hdfs:///lake --tables orders --servers broker:9092
     spark-submit -m tidemark.jobs replay --root hdfs:///lake --tables orders --since 2025-01-01 --until 2025-01-02
+    spark-submit -m tidemark.jobs merge --root hdfs:///lake --tables orders --last 2025-01-31
 """
 
 from __future__ import annotations
@@ -30,11 +31,10 @@ from tidemark.sources import kafka
 from tidemark.sources.files import raw_schema, read_records, scan_raw, stream_records
 from tidemark.spec import CONFIG_DIR, TableSpec, load_specs
 from tidemark.streaming.ingest import ingest_tables
+from tidemark.streaming.manifest import Manifest, replay_once
 from tidemark.streaming.sinks import (
     compact,
-    epoch_path,
     folders,
-    land_batch,
     register_table,
     remove,
     replace_days,
@@ -58,7 +58,11 @@ def trusted_schema(spec: TableSpec) -> T.StructType:
 def landed(
     spark: SparkSession, spec: TableSpec, root: str, first=None, last=None, zone: str = "raw"
 ) -> DataFrame:
-    """A table as ``ingest`` writes it, or ``compact`` rewrites it."""
+    """A table as ``ingest`` writes it, or ``compact`` rewrites it; of a zone with a manifest its live folders."""
+    if zone == "raw":
+        manifest = Manifest(spark, f"{root}/raw/{spec.table}")
+        if manifest.exists():
+            return manifest.scan(landed_schema(spec), first, last)
     return scan_raw(spark, f"{root}/{zone}/{spec.table}", landed_schema(spec), first, last)
 
 
@@ -195,15 +199,28 @@ def publish_current(spark: SparkSession, specs: list[TableSpec], args) -> None:
 
 
 def replay_range(spark: SparkSession, specs: list[TableSpec], args) -> None:
-    """Records between two broker times, read again as a table and landed beside the stream's epochs."""
+    """Records between two broker times, read again as a table: what is landed already is skipped or replaced."""
     for spec in specs:
         if args.files:
             records = replay.by_time(read_records(spark, f"{args.files}/{spec.topic}"), args.since, args.until, "timestamp")
         else:
             bounds = [int(dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc).timestamp() * 1000) for t in (args.since, args.until)]
-            records = kafka.read_range(spark, kafka.time_range_options(spec.topic, args.servers, args.partitions, *bounds))
-        generation = f"replay-{args.since}-{args.until}".replace(":", "").replace(" ", "T")
-        land_batch(records, spec, epoch_path(f"{args.root}/raw/{spec.table}", generation, 0), lineage=True, corrupt=True)
+            records = kafka.read_range(spark, kafka.time_range_options(spec.topic, args.servers, *bounds))
+        manifest = Manifest(spark, f"{args.root}/raw/{spec.table}")
+        if not manifest.exists():
+            manifest.adopt()
+        folder = replay_once(records, spec, manifest, landed_schema(spec), args.replace, lineage=True, corrupt=True)
+        log.info("[%s] replay: %s", spec.table, folder or "nothing new")
+
+
+def merge_raw(spark: SparkSession, specs: list[TableSpec], args) -> None:
+    """Days of the raw zone that lie in many epochs, rewritten into one folder each; what that covers goes."""
+    for spec in specs:
+        manifest = Manifest(spark, f"{args.root}/raw/{spec.table}")
+        if not manifest.exists():
+            manifest.adopt()
+        folder = manifest.merge(landed_schema(spec), args.first, args.last)
+        log.info("[%s] merged into %s", spec.table, folder or "nothing")
 
 
 JOBS = {
@@ -211,6 +228,7 @@ JOBS = {
     "replay": replay_range,
     "check": check,
     "compact": compact_raw,
+    "merge": merge_raw,
     "register": register,
     "curate": curate,
     "publish": publish_current,
@@ -233,7 +251,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--zone", default="raw", choices=["raw", "compacted"], help="what check reads")
     parser.add_argument("--since", help="replay: first broker time, UTC")
     parser.add_argument("--until", help="replay: broker time after the last one, UTC")
-    parser.add_argument("--partitions", type=int, default=3, help="replay: partitions of a topic")
+    parser.add_argument("--replace", action="store_true", help="replay: put the records in place of those landed before")
     parser.add_argument("--out", help="publish as Parquet below this folder instead of Kafka")
     parser.add_argument("--width", type=int, default=4096, help="shuffle partitions before small ones are joined")
     parser.add_argument("--max-share", type=float, help="abort if more rows are rejected; default by table config")

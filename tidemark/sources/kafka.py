@@ -80,17 +80,13 @@ def offset_range_options(topic: str, servers: str, ranges: dict[int, tuple[int,
     }
 
 
-def time_range_options(
-    topic: str, servers: str, partitions: int, start_ms: int, end_ms: int
-) -> dict[str, str]:
-    """Batch options for ``start <= broker time < end`` on every partition."""
-    starts = {str(p): start_ms for p in range(partitions)}
-    ends = {str(p): end_ms for p in range(partitions)}
+def time_range_options(topic: str, servers: str, start_ms: int, end_ms: int) -> dict[str, str]:
+    """Batch options for ``start <= broker time < end`` on every partition, however many there are."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsetsByTimestamp": json.dumps({topic: starts}),
-        "endingOffsetsByTimestamp": json.dumps({topic: ends}),
+        "startingTimestamp": str(start_ms),
+        "endingTimestamp": str(end_ms),
         "startingOffsetsByTimestampStrategy": "latest",
     }
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.ingest import to_raw
 from tidemark.spec import TableSpec
 from tidemark.streaming.metrics import BatchMetrics, observed
+from tidemark.streaming.manifest import manifest_writer
 from tidemark.streaming.sinks import epoch_writer
 
 TRIGGER = {"processingTime": "10 seconds"}
@@ -22,11 +23,15 @@ def start_ingest(
     rebalance: bool = True,
     **options,
 ) -> StreamingQuery:
-    """Land a stream of broker records; metrics are observed under the table name."""
+    """Land a stream of broker records; metrics are observed under the table name.
+
+    With lineage every epoch is committed to the zone's manifest.
+    """
     rows = observed(to_raw(records, spec, **options), spec.table, spec.event_time)
+    writer = manifest_writer if options.get("lineage") else epoch_writer
     return (
         rows.writeStream.queryName(f"ingest_{spec.table}")
-        .foreachBatch(epoch_writer(out, rebalance=rebalance))
+        .foreachBatch(writer(out, rebalance=rebalance))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))
         .start()
