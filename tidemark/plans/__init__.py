@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tidemark.plans.registry import QUERIES, SQL
 
-_MODULES = ("ingest_queries", "state_queries", "quality_queries", "curate_queries", "stream_queries")
+_MODULES = ("ingest_queries", "zone_queries", "state_queries", "quality_queries", "curate_queries", "stream_queries")
 
 
 def _load() -> None:
