@@ -143,10 +143,29 @@ def test_chain_of_two_order_feeds(spark, rows, tmp_path):
             ("a", "DELIVERED", 150.0, "CUST00001"), ("c", "PLACED", 200.0, "CUST00007"),
         ]
     assert spark.table("history_customers").count() == 1
-    jobs.main(["publish", *place[:3], "orders", "--out", f"{tmp_path}/out"], spark)
-    sent = spark.read.parquet(f"{tmp_path}/out/orders_cdc")
-    assert rows(sent.selectExpr("cast(key as string)", "get_json_object(cast(value as string), '$.status')")) == [("U_a", "DELIVERED"), ("U_c", "PLACED")]
-    for kind in ("current_orders", "current_customers", "history_customers"):
+    assert rows(spark.table("history_orders"), "order_id", "status", "order_amount", "version", "is_current") == [
+        ("a", "DELIVERED", 150.0, 2, True), ("a", "PLACED", 150.0, 1, False), ("b", "PLACED", 150.0, 1, False), ("c", "PLACED", 200.0, 1, True),
+    ]
+
+    def sent(run):
+        """What a run of the publishing job sends."""
+        jobs.main(["publish", *place[:3], "orders", "--out", f"{tmp_path}/out"], spark)
+        records = spark.read.parquet(f"{tmp_path}/out/orders_cdc/run={run}")
+        return rows(records.selectExpr("key", "get_json_object(value, '$.status')"))
+
+    assert sent(0) == [("I_a", "DELIVERED"), ("I_c", "PLACED")]
+    assert sent(1) == []
+    last = [
+        {**first, "order_id": "a", "op": "U", "currency": None, "payment_type": "UPI", "status": "SHIPPED", "change_ts": at.format(5)},
+        {"op": "D", "order_id": "c", "change_ts": at.format(5) + "+00:00"},
+    ]
+    put(spark, tmp_path / "topics" / "orders_cdc", [json.dumps(last[0])], start=50)
+    put(spark, tmp_path / "topics" / "orders_cdc_v2", [json.dumps(last[1])], start=50)
+    jobs.main(["ingest", *place, "--files", f"{tmp_path}/topics", "--once"], spark)
+    jobs.main(["check", *place, "--max-share", "1"], spark)
+    jobs.main(["curate", *place], spark)
+    assert sent(2) == [("D_c", None), ("U_a", "SHIPPED")]
+    for kind in ("current_orders", "history_orders", "current_customers", "history_customers"):
         spark.sql(f"DROP TABLE {kind}")
 
 

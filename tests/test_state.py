@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import dedup, diff, fold, history
+from tidemark.operators import dedup, diff, fold, history, publish
 from tidemark.operators.skew import profile
 from tidemark.streaming.state import compact_state, read_state, state_writer
 
@@ -163,3 +163,42 @@ def test_patches_carry_nulls(spark, rows):
     assert rows(fold.fold_patches(feed, KEYS, ["at"], COLUMNS)) == rows(new)
     seen = history.images(feed, KEYS, ["at"], COLUMNS, patch=True).filter("at = 1")
     assert rows(seen, "id", "old_status", "new_status", "old_amount", "new_amount") == [("a", "x", None, 1.0, 1.0), ("b", None, "y", 5.0, None)]
+
+
+def test_whole_rows_and_patches(spark, rows):
+    """A null clears in a whole row, says nothing in a patch, and a delete forgets all."""
+    events = [
+        (1, 1, "I", True, "a", 1), (1, 2, "U", False, None, 2), (1, 3, "U", True, None, 3), (1, 4, "U", False, "b", None),
+        (2, 1, "I", False, "x", None), (2, 2, "D", True, "ignored", 9), (2, 3, "U", False, None, 5),
+        (3, 1, "I", True, "y", 1), (3, 2, "D", False, None, None),
+    ]
+    df = spark.createDataFrame(events, "k int, at int, op string, full boolean, a string, b int")
+    assert rows(fold.fold_patches(df, ["k"], ["at"], ["a", "b"])) == sorted([(1, "b", 3), (2, None, 5)], key=repr)
+    parts = [fold.fold_partial(df.where(c), ["k"], ["at"], ["a", "b"]) for c in ("at % 2 = 0", "at % 2 = 1", "at > 1")]
+    merged = fold.fold_merge(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["k"])
+    assert rows(fold.fold_result(merged, ["k"], ["a", "b"])) == sorted([(1, "b", 3), (2, None, 5)], key=repr)
+    seen = history.folded_versions(df, ["k"], ["at"], ["a", "b"])
+    assert rows(seen, "k", "version", "valid_from", "valid_to", "a", "b") == sorted([
+        (1, 1, 1, 2, "a", 1), (1, 2, 2, 3, "a", 2), (1, 3, 3, 4, None, 3), (1, 4, 4, None, "b", 3),
+        (2, 1, 1, 2, "x", None), (2, 3, 3, None, None, 5), (3, 1, 1, 2, "y", 1),
+    ], key=repr)
+
+
+def test_published_difference(spark, rows, tmp_path):
+    """A run that stops before its mark is done again; patches carry what changed."""
+    sent = {}
+    send = lambda records, run: sent.__setitem__(run, rows(records.select("key", "value")))
+    state, at = publish.Published(spark, str(tmp_path)), F.lit("t")
+    table = lambda *r: spark.createDataFrame(r, "k string, a string, b int")
+    state.run(table(("1", "x", 1), ("2", "y", None)), ["k"], "t", at, send)
+    assert [k for k, _ in sent[0]] == ["I_1", "I_2"]
+
+    def fail(records, run):
+        raise RuntimeError("broker is away")
+
+    with pytest.raises(RuntimeError):
+        state.run(table(("1", "x", 2)), ["k"], "t", at, fail)
+    assert state.run(table(("1", None, 2)), ["k"], "t", at, send, patch=True) == 1
+    assert sent[1] == [("D_2", '{"op":"D","k":"2","change_ts":"t"}'), ("U_1", '{"op":"U","k":"1","b":2,"cleared":["a"],"change_ts":"t"}')]
+    state.run(table(("1", None, 2)), ["k"], "t", at, send)
+    assert sent[2] == [] and state.runs() == [1, 2]

@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.parse import CORRUPT, LINEAGE_FIELDS, instant
 from tidemark.operators import conform, dedup, fold, history, quality, replay
-from tidemark.operators.fold import DELETE
-from tidemark.operators.publish import iso_text, publish, stamp_events, to_records
+from tidemark.operators.fold import DELETE, FULL
+from tidemark.operators.publish import Published, publish
 from tidemark.session import build_session, scratch_path
 from tidemark.sources import kafka
 from tidemark.sources.files import raw_schema, read_records, scan_raw, stream_records
@@ -142,20 +142,22 @@ def register(spark: SparkSession, specs: list[TableSpec], args) -> None:
         register_table(spark, f"trusted_{spec.table}", trusted_schema(spec), path, ["partition_date"])
 
 
-def trusted_events(spark: SparkSession, canonical: TableSpec, args) -> tuple[DataFrame | None, bool]:
-    """Trusted rows of every feed of a table in its own columns, each event once, and whether they are patches."""
+def trusted_events(spark: SparkSession, canonical: TableSpec, args) -> tuple[DataFrame | None, set[str]]:
+    """Trusted rows of every feed of a table in its own columns, each event once, and the modes of the feeds."""
     feeds = [s for s in load_specs(args.config).values() if (s.feeds or s.table) == canonical.table]
     feeds = [s for s in feeds if folders(spark, f"{args.root}/trusted/{s.table}")]
     if not feeds:
-        return None, False
+        return None, set()
     place = ["kafka_partition", "kafka_offset"]
     rows = []
     for feed in feeds:
         landed_rows = landed(spark, feed, args.root, zone="trusted").select(*feed.columns, *place)
-        rows.append(conform.conform(landed_rows, feed, canonical).select(*canonical.columns, *place))
+        mode = {FULL: F.lit(feed.mode == "full"), "feed": F.lit(feed.table)}
+        rows.append(conform.conform(landed_rows, feed, canonical).select(*canonical.columns, *place).withColumns(mode))
     events = conform.union_feeds(rows)
-    once = dedup.drop_redelivered(events, list(canonical.primary_key), place, canonical.event_time)
-    return once.withColumn("change_at", instant(canonical.event_time)), any(f.mode == "patch" for f in feeds)
+    keys = [*canonical.primary_key, "feed"]  # the same change may come as a row and as a patch
+    once = dedup.drop_redelivered(events, keys, place, canonical.event_time)
+    return once.withColumn("change_at", instant(canonical.event_time)), {f.mode for f in feeds}
 
 
 def next_run(spark: SparkSession, path: str) -> str:
@@ -168,20 +170,24 @@ def next_run(spark: SparkSession, path: str) -> str:
 
 def curate(spark: SparkSession, specs: list[TableSpec], args) -> None:
     """Trusted events of all feeds of a table to its current rows and its history, as SQL tables."""
-    order = ["change_at", "kafka_partition", "kafka_offset"]
+    order = ["change_at", "kafka_partition", "kafka_offset", "feed"]
     for spec in specs:
         if (spec.feeds or spec.table) != spec.table:
             continue  # a variant is folded with the table that it feeds
-        events, patches = trusted_events(spark, spec, args)
+        events, modes = trusted_events(spark, spec, args)
         if events is None:
             log.warning("no trusted rows of %s", spec.table)
             continue
         keys = list(spec.primary_key)
         events = events.drop(spec.event_time)
-        if patches:
-            tables = {"current": fold.fold_patches(events, keys, order, spec.payload, keep=["change_at"])}
-        else:
+        if modes == {"full"}:
+            events = events.drop(FULL)
             tables = {"current": fold.latest_rows(events, keys, order), "history": history.versions(events, keys, order)}
+        else:
+            tables = {
+                "current": fold.fold_patches(events, keys, order, spec.payload, keep=["change_at"]),
+                "history": history.folded_versions(events, keys, order, spec.payload),
+            }
         for kind, rows in tables.items():
             path = next_run(spark, f"{args.root}/curated/{kind}_{spec.table}")
             rows.write.parquet(path)
@@ -189,13 +195,18 @@ def curate(spark: SparkSession, specs: list[TableSpec], args) -> None:
 
 
 def publish_current(spark: SparkSession, specs: list[TableSpec], args) -> None:
-    """Current rows as change events, to Kafka or below ``--out``."""
+    """Keys of the current rows that changed since the last run, to Kafka or below ``--out``; deleted ones too."""
     for spec in specs:
         rows = spark.table(f"current_{spec.table}")
-        values = rows.select(*spec.primary_key, *[c for c in spec.payload if c in rows.columns], "change_at")
-        events = stamp_events(values.drop("change_at"), F.lit("U"), iso_text(F.current_timestamp()))
-        path = f"{args.out}/{spec.topic}" if args.out else None
-        publish(to_records(events, list(spec.primary_key), spec.topic), None if path else args.servers, path)
+        rows = rows.select(*spec.primary_key, *[c for c in spec.payload if c in rows.columns])
+        at = F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="microseconds"))
+
+        def send(records: DataFrame, run: int, topic: str = spec.topic) -> None:
+            path = f"{args.out}/{topic}/run={run}" if args.out else None
+            publish(records, None if path else args.servers, path)
+
+        state = Published(spark, f"{args.root}/published/{spec.table}")
+        state.run(rows, list(spec.primary_key), spec.topic, at, send, args.patches)
 
 
 def replay_range(spark: SparkSession, specs: list[TableSpec], args) -> None:
@@ -252,6 +263,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--since", help="replay: first broker time, UTC")
     parser.add_argument("--until", help="replay: broker time after the last one, UTC")
     parser.add_argument("--replace", action="store_true", help="replay: put the records in place of those landed before")
+    parser.add_argument("--patches", action="store_true", help="publish: send of a changed row only the columns that changed")
     parser.add_argument("--out", help="publish as Parquet below this folder instead of Kafka")
     parser.add_argument("--width", type=int, default=4096, help="shuffle partitions before small ones are joined")
     parser.add_argument("--max-share", type=float, help="abort if more rows are rejected; default by table config")

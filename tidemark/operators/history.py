@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.fold import DELETE, carries
+from tidemark.operators.fold import DELETE, FULL, carries, is_full
 from tidemark.operators.ordered import Along, along
 from tidemark.operators.skew import Skew
 
@@ -25,6 +25,32 @@ def versions(
     )
 
 
+def folded_versions(
+    events: DataFrame, keys: list[str], order: list[str], columns: list[str], skew: Skew | None = None
+) -> DataFrame:
+    """Type-2 history of a feed of patches, or of patches and whole rows (``FULL``): each version is the folded row.
+
+    Every event opens a version with all ``columns`` as they are after it, until the next event; a delete
+    ends one and opens none.
+    """
+    start, at = order[0], F.struct(*order)
+    mixed = FULL in events.columns
+    latest = {f"_v_{c}": _stamped(events, c, at) for c in columns} | {"_gone": F.when(F.col("op") == DELETE, at)}
+    if mixed:
+        latest["_reset"] = F.when(is_full(), at)
+    want = Along(number="version", following={"valid_to": F.col(start)}, latest=latest)
+    rows = along(events, keys, order, want, skew).filter(~F.col("op").eqNullSafe(DELETE))
+    folded = {}
+    for c in columns:
+        stamped = F.col(f"_v_{c}")
+        alive = F.col("_gone").isNull() | (stamped["at"] > F.col("_gone"))
+        if mixed:
+            alive = alive & (F.col("_reset").isNull() | (stamped["at"] >= F.col("_reset")))
+        folded[c] = F.when(alive, stamped["value"])
+    rows = rows.withColumns(folded).drop(*latest, FULL)
+    return rows.withColumnRenamed(start, "valid_from").withColumn("is_current", F.col("valid_to").isNull())
+
+
 def number_events(
     events: DataFrame, keys: list[str], order: list[str], name: str = "version", skew: Skew | None = None
 ) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import dedup, diff, fold, history, joins
+from tidemark.operators import dedup, diff, fold, history, joins, publish
 from tidemark.operators.ordered import Along, along
 from tidemark.plans.feeds import ORDER, table, typed_events
 from tidemark.plans.registry import TYPED_SQL, query
+from tidemark.session import scratch_path
 
 KEY = ["user_id"]
 
@@ -71,6 +72,54 @@ def current_state_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.fold_patches(events, KEY, ORDER, ["event_type", "amount", "props"], ["change_at"])
 
 
+MIXED_SQL = f"""
+WITH {TYPED_SQL},
+mixed AS (SELECT *, event_id % 2 = 0 AS whole, CASE WHEN event_type = 'purchase' THEN amount END AS said FROM typed),
+lives AS (
+  SELECT *, count(*) FILTER (WHERE op = 'D' OR whole) OVER (PARTITION BY user_id ORDER BY change_at, event_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS life FROM mixed
+),
+states AS (
+  SELECT user_id, change_at, event_id, op,
+         CASE WHEN op <> 'D' THEN last_value(CASE WHEN op <> 'D' THEN said END IGNORE NULLS) OVER w END AS amount,
+         CASE WHEN op <> 'D' THEN last_value(CASE WHEN op <> 'D' THEN event_type END IGNORE NULLS) OVER w END AS event_type
+  FROM lives WINDOW w AS (PARTITION BY user_id, life ORDER BY change_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+)
+"""
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other event is a whole row, the others are patches; both leave the amount out beside a purchase."""
+    events = typed_events(spark, sf_dir, patch=True).drop("props")
+    return events.withColumn(fold.FULL, F.pmod("kafka_offset", F.lit(2)) == 0)
+
+
+@query(f"""
+{MIXED_SQL}
+SELECT user_id, event_type, amount, change_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY change_at DESC, event_id DESC) AS n FROM states)
+WHERE n = 1 AND op <> 'D'
+""")
+def fold_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current rows of whole rows and patches together: a null clears in the one and says nothing in the other."""
+    return fold.fold_patches(_mixed(spark, sf_dir), KEY, ORDER, ["event_type", "amount"], ["change_at"])
+
+
+@query(f"""
+{MIXED_SQL},
+numbered AS (
+  SELECT *, row_number() OVER w AS version, lead(change_at) OVER w AS valid_to
+  FROM states WINDOW w AS (PARTITION BY user_id ORDER BY change_at, event_id)
+)
+SELECT user_id, event_type, amount, op, change_at AS valid_from, valid_to, version, valid_to IS NULL AS is_current
+FROM numbered WHERE op <> 'D'
+""")
+def history_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every version of those rows."""
+    rows = history.folded_versions(_mixed(spark, sf_dir), KEY, ORDER, ["event_type", "amount"])
+    return rows.drop("kafka_partition", "kafka_offset")
+
+
 @query(f"""
 WITH {TYPED_SQL},
 h AS (
@@ -213,6 +262,31 @@ def patch_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.fold_patches(first.unionByName(patches, allowMissingColumns=True), KEY, ["at"], columns)
 
 
+@query(f"""
+{_STATES_SQL}
+SELECT 'users_cdc' AS topic, op || '_' || CAST(user_id AS VARCHAR) AS key, user_id, event_type, amount, op,
+       '2024-02-01T00:00:00.000000' AS change_ts
+FROM (
+  SELECT CASE WHEN old.user_id IS NULL THEN 'I' WHEN cur.user_id IS NULL THEN 'D' ELSE 'U' END AS op,
+         coalesce(old.user_id, cur.user_id) AS user_id, cur.event_type, cur.amount
+  FROM old FULL JOIN cur ON old.user_id = cur.user_id
+  WHERE old.user_id IS NULL OR cur.user_id IS NULL
+     OR old.event_type IS DISTINCT FROM cur.event_type OR old.amount IS DISTINCT FROM cur.amount)
+""")
+def publish_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a second run publishes, after the state in mid-January went out with the first: the changed keys only."""
+    path = scratch_path(spark, "published")
+    state = publish.Published(spark, f"{path}/state")
+    at = F.lit("2024-02-01T00:00:00.000000")
+    last = 0
+    for rows in _states(spark, sf_dir):
+        rows = rows.select(*KEY, "event_type", "amount")
+        last = state.run(rows, KEY, "users_cdc", at, lambda records, run: publish.publish(records, path=f"{path}/sent/run={run}"))
+    sent = spark.read.parquet(f"{path}/sent/run={last}")
+    value = F.from_json("value", "user_id long, event_type string, amount double, op string, change_ts string")
+    return sent.select("topic", "key", value.alias("v")).select("topic", "key", "v.*")
+
+
 @query("""
 WITH versions AS (SELECT user_id, ts, value AS view_value FROM events WHERE event_type = 'view'),
 facts AS (SELECT user_id, event_id, ts, value FROM events WHERE event_type = 'purchase')
