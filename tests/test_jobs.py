@@ -6,6 +6,7 @@ from test_streaming import message, put
 from tidemark import jobs
 from tidemark.operators.quality import QualityThresholdExceeded
 from tidemark.spec import load_spec
+from tidemark.streaming.metrics import read_drift, read_metrics, settle
 
 
 @pytest.fixture(scope="module")
@@ -197,3 +198,17 @@ def test_merge_keeps_rows_and_lets_epochs_go(spark, rows, lake):
     jobs.main(["merge", *place], spark)  # nothing to merge: what the first one covered is deleted
     left = spark.read.parquet(f"{lake}/raw/orders")
     assert left.count() == len(seen) and "merged" in {r[0] for r in left.select("generation").distinct().collect()}
+
+
+def test_unknown_fields_are_recorded_by_batch(spark, rows, tmp_path):
+    place = ["--root", str(tmp_path), "--tables", "orders"]
+    for n, more in enumerate(({}, {"gift": 1, "note": "x"}, {"note": "y"})):
+        put(spark, tmp_path / "topics" / "orders_cdc", [json.dumps(message(i, **more)) for i in range(3)] + ["junk", "[1]"], start=10 * n)
+        jobs.main(["ingest", *place, "--files", f"{tmp_path}/topics", "--once"], spark)
+        settle(spark)
+    path = f"{tmp_path}/metrics/orders"
+    by_batch = spark.read.parquet(f"{path}_drift").selectExpr("batch_id", "concat_ws(',', fields) f", "messages")
+    assert rows(by_batch) == [(1, "gift,note", 3), (2, "note", 3)]
+    assert rows(read_drift(spark, path)) == [("orders", "gift", 3), ("orders", "note", 6)]
+    assert read_metrics(spark, path).count() == 3
+    assert read_drift(spark, f"{tmp_path}/metrics/none").isEmpty()

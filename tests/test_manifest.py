@@ -134,3 +134,28 @@ def test_adopting_a_zone(spark, tmp_path):
     assert not zone.exists()
     zone.adopt()
     assert held(zone) == list(range(10)) and CORRUPT not in SCHEMA.fieldNames()
+
+
+def test_versions_read_alike_before_and_after_a_rewrite(spark, rows, tmp_path):
+    """Types that Parquet widens stay as they are; others are cast, and rewritten once."""
+    from pyspark.sql import types as T
+
+    ddl = ", kafka_key string, kafka_topic string, kafka_partition int, kafka_offset long, kafka_timestamp timestamp, partition_date date, op string"
+    steps = ["a int, b int, c long", "a long, b string, c decimal(12,2)", "a long, b string, c decimal(12,2), d string"]
+    zone = Manifest(spark, f"{tmp_path}/raw")
+    for n, step in enumerate(steps):
+        schema = T.StructType.fromDDL(step + ddl)
+        values = f"{n}, {n + 7}, {n}" + (", 'new'" if n == 2 else "")
+        df = spark.sql(f"SELECT {values}, 'k', 't', 0, {n}L, timestamp'2025-01-01', date'2025-01-0{n + 1}', 'I'").toDF(*schema.fieldNames())
+        df = df.select(*[df[f.name].cast(f.dataType) for f in schema.fields])
+        write_batch(df, f"{zone.zone}/generation=g/batch_id={n}")
+        zone.add(f"generation=g/batch_id={n}", schema)
+    newest = T.StructType.fromDDL(steps[-1] + ddl)
+    assert zone.outdated(newest) == ["generation=g/batch_id=0"]
+    before = rows(zone.scan(newest))
+    assert [(r[0], r[1], str(r[2]), r[3]) for r in before] == [(0, "7", "0.00", None), (1, "8", "1.00", None), (2, "9", "2.00", "new")]
+    folder = zone.rewrite(newest)
+    assert rows(Manifest(spark, zone.zone).scan(newest)) == before and folder in zone.live
+    assert zone.outdated(newest) == [] and zone.rewrite(newest) is None
+    narrower = T.StructType.fromDDL("b int" + ddl)
+    assert rows(zone.scan(narrower).select("b")) == [(7,), (8,), (9,)]

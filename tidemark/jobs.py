@@ -8,6 +8,7 @@
     spark-submit -m tidemark.jobs publish --root hdfs:///lake --tables orders --servers broker:9092
     spark-submit -m tidemark.jobs replay --root hdfs:///lake --tables orders --since 2025-01-01 --until 2025-01-02
     spark-submit -m tidemark.jobs merge --root hdfs:///lake --tables orders --last 2025-01-31
+    spark-submit -m tidemark.jobs evolve --root hdfs:///lake --tables orders
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def ingest(spark: SparkSession, specs: list[TableSpec], args) -> None:
         )
 
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
-    queries = ingest_tables(spark, specs, source, args.root, trigger, lineage=True, corrupt=True)
+    queries = ingest_tables(spark, specs, source, args.root, trigger, lineage=True, corrupt=True, drift=True)
     if args.once:
         for q in queries:
             q.awaitTermination()
@@ -234,12 +235,20 @@ def merge_raw(spark: SparkSession, specs: list[TableSpec], args) -> None:
         log.info("[%s] merged into %s", spec.table, folder or "nothing")
 
 
+def evolve(spark: SparkSession, specs: list[TableSpec], args) -> None:
+    """Epochs written under a schema whose types Parquet cannot widen to today's, rewritten under it."""
+    for spec in specs:
+        folder = Manifest(spark, f"{args.root}/raw/{spec.table}").rewrite(landed_schema(spec))
+        log.info("[%s] rewritten into %s", spec.table, folder or "nothing")
+
+
 JOBS = {
     "ingest": ingest,
     "replay": replay_range,
     "check": check,
     "compact": compact_raw,
     "merge": merge_raw,
+    "evolve": evolve,
     "register": register,
     "curate": curate,
     "publish": publish_current,

@@ -16,7 +16,7 @@ from tidemark.session import scratch_path, settings, state_partitions, use_utc
 from tidemark.sources.files import raw_schema, scan_raw, stream_table
 from tidemark.streaming import operators as ops
 from tidemark.streaming.ingest import start_ingest
-from tidemark.streaming.metrics import BatchMetrics, read_metrics, settle
+from tidemark.streaming.metrics import BatchMetrics, read_drift, read_metrics, settle
 from tidemark.streaming.state import compact_state, read_state, state_writer
 from tidemark.streaming.stateful import STATE_STORE, live_state
 
@@ -83,6 +83,20 @@ def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH {FEED_SQL}
+SELECT 'events' AS "table", 'coupon' AS field, count(*) AS messages FROM parsed WHERE extended
+""")
+def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unknown fields noted while the stream was landed, in the same action."""
+    root = scratch_path(spark, "stream-drift")
+    feed = as_records(_stream(spark, sf_dir, "events"), dirty=True)
+    spark.streams.addListener(BatchMetrics(spark, EVENTS.table, f"{root}/metrics"))
+    start_ingest(feed, EVENTS, f"{root}/raw", f"{root}/checkpoint", ONCE, drift=True).awaitTermination()
+    settle(spark)
+    return read_drift(spark, f"{root}/metrics")
+
+
 @query("""
 SELECT user_id, ts, event_type, value FROM events
 """)

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.parse import LINEAGE_FIELDS
 from tidemark.operators import replay
@@ -95,3 +96,39 @@ def lost_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dealt.where(F.get_json_object(F.col("value").cast("string"), "$.event_type") != "click")
     lost = land_epochs(spark, kept, scratch_path(spark, "zone")).lost()
     return lost.select("partition", F.col("first").alias("first_lost"), F.col("last").alias("last_lost"))
+
+
+VERSIONS = [
+    "code int, total long",
+    "code string, total decimal(20,2)",
+    "code string, total decimal(20,2), note string",
+]
+
+
+@query(f"""
+WITH {NUMBERED_SQL}
+SELECT part AS kafka_partition, place AS kafka_offset, CAST(event_id % 1000 AS VARCHAR) AS code,
+       CAST(CASE WHEN epoch = 0 THEN event_id * 100 ELSE event_id + 0.25 END AS DECIMAL(20,2)) AS total,
+       CASE WHEN epoch = 2 THEN event_type END AS note
+FROM numbered
+""")
+def evolve_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone of three versions, int to string and long to decimal among them, after its rewrite."""
+    zone = scratch_path(spark, "versions")
+    manifest = Manifest(spark, zone)
+    rows = to_raw(numbered(spark, sf_dir)[1], EVENTS, lineage=True)
+    event = F.col("kafka_offset") * 3 + F.col("kafka_partition")
+    top = rows.agg(F.max(event) + 1)
+    rows = rows.withColumns({"epoch": F.floor(event * EPOCHS / top.scalar()), "event": event})
+    sums = F.when(F.col("epoch") == 0, F.col("event") * 100).otherwise(F.col("event") + F.lit(0.25).cast("decimal(3,2)"))
+    values = rows.withColumns({"code": F.col("event") % 1000, "total": sums, "note": F.col("event_type")})
+    for epoch, version in enumerate(VERSIONS):
+        fields = T.StructType.fromDDL(version).fields
+        kept = [*LINEAGE_FIELDS, *SCHEMA.fields[-2:]]
+        part = values.where(F.col("epoch") == epoch).select(*[F.col(f.name).cast(f.dataType) for f in fields], *[f.name for f in kept])
+        folder = f"generation=query/batch_id={epoch}"
+        write_batch(part, f"{zone}/{folder}")
+        manifest.add(folder, T.StructType([*fields, *kept]))
+    newest = T.StructType([*T.StructType.fromDDL(VERSIONS[-1]).fields, *LINEAGE_FIELDS, *SCHEMA.fields[-2:]])
+    manifest.rewrite(newest)
+    return manifest.scan(newest).select("kafka_partition", "kafka_offset", "code", "total", "note")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.evolution import drift_observed
 from tidemark.operators.ingest import to_raw
 from tidemark.spec import TableSpec
-from tidemark.streaming.metrics import BatchMetrics, observed
+from tidemark.streaming.metrics import BatchMetrics, drift_name, observed
 from tidemark.streaming.manifest import manifest_writer
 from tidemark.streaming.sinks import epoch_writer
 
@@ -21,12 +22,15 @@ def start_ingest(
     checkpoint: str,
     trigger: dict | None = None,
     rebalance: bool = True,
+    drift: bool = False,
     **options,
 ) -> StreamingQuery:
-    """Land a stream of broker records; metrics are observed under the table name.
+    """Land a stream of broker records; metrics are observed under the table name, with ``drift`` unknown fields too.
 
     With lineage every epoch is committed to the zone's manifest.
     """
+    if drift:
+        records = drift_observed(records, spec.columns, drift_name(spec.table))
     rows = observed(to_raw(records, spec, **options), spec.table, spec.event_time)
     writer = manifest_writer if options.get("lineage") else epoch_writer
     return (

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.evolution import converted, widens
 from tidemark.operators.ingest import PARTITIONS, to_raw
 from tidemark.operators.offsets import RANGES, landed_ranges, merge_ranges, missing_ranges, outside
 from tidemark.spec import TableSpec
@@ -148,8 +149,11 @@ class Manifest:
                 out[place] = max(last, out.get(place, last))
         return out
 
-    def describe(self, folder: str) -> dict:
-        """Days, rows, times and offsets of a folder, from its narrow columns; its ranges go to a side table."""
+    def describe(self, folder: str, schema: T.StructType | None = None) -> dict:
+        """Days, rows, times and offsets of a folder, from its narrow columns; its ranges go to a side table.
+
+        ``schema`` is what its files hold, kept as its version.
+        """
         rows = self._rows(folder)
         days = rows.groupBy("partition_date").agg(
             F.count("*").alias("rows"), F.min("kafka_timestamp").alias("first"), F.max("kafka_timestamp").alias("last")
@@ -165,11 +169,12 @@ class Manifest:
             "first_time": time([d["first"] for d in days], min),
             "last_time": time([d["last"] for d in days], max),
             "high": {f"{r.topic}/{r.partition}": r["last"] for r in tops},
+            "schema": schema.jsonValue() if schema else None,
         }
 
-    def add(self, folder: str) -> None:
+    def add(self, folder: str, schema: T.StructType | None = None) -> None:
         """Commit a folder that was written, and note the offsets missing since the ones before it."""
-        entry = self.describe(folder)
+        entry = self.describe(folder, schema)
         carried = [(*_place(p), last, last) for p, last in self.high().items()]
         before = self.spark.createDataFrame(carried, RANGES)
         gaps = missing_ranges(before.unionByName(self._ranges([folder])))
@@ -218,12 +223,44 @@ class Manifest:
         return self.spark.createDataFrame(rows, "folder string, day date, folder_rows long, first_time string, last_time string")
 
     def scan(self, schema: T.StructType, first: dt.date | None = None, last: dt.date | None = None, some: list[str] | None = None) -> DataFrame:
-        """Rows of the live folders, or ``some`` of them; only the folders of the days asked for are listed."""
+        """Rows of the live folders, or ``some`` of them; only the folders of the days asked for are listed.
+
+        Folders of an older version are read as they were written and brought to ``schema``.
+        """
         wanted = {f: days for f, days in self.days(first, last).items() if some is None or f in some}
-        paths = [f"{self.zone}/{f}/partition_date={d}" for f, days in wanted.items() for d in days]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", self.zone).parquet(*paths).select(*schema.fieldNames())
+        return self._read(schema, wanted)
+
+    def _read(self, schema: T.StructType, wanted: dict[str, list[str]]) -> DataFrame:
+        versions: dict[str, list[str]] = {}
+        for f, days in wanted.items():
+            version = json.dumps(self.live[f].get("schema"), sort_keys=True)
+            versions.setdefault(version, []).extend(f"{self.zone}/{f}/partition_date={d}" for d in days)
+        rows = None
+        for version, paths in versions.items():  # as many as the table had schemas
+            written = T.StructType.fromJson(json.loads(version)) if version != "null" else None
+            opened = converted(self.spark, schema, written, lambda s, p=paths: self.spark.read.schema(s).option("basePath", self.zone).parquet(*p))
+            rows = opened if rows is None else rows.unionByName(opened)
+        return self.spark.createDataFrame([], schema) if rows is None else rows
+
+    def outdated(self, schema: T.StructType) -> list[str]:
+        """Live folders with a column that ``schema`` has in a type which Parquet does not widen to."""
+        found = []
+        for folder, entry in self.live.items():
+            was = T.StructType.fromJson(entry["schema"]).fields if entry.get("schema") else []
+            if any(f.name in schema.fieldNames() and not widens(f.dataType, schema[f.name].dataType) for f in was):
+                found.append(folder)
+        return found
+
+    def rewrite(self, schema: T.StructType) -> str | None:
+        """Write the folders of outdated versions again under ``schema``, as one folder that takes their place."""
+        old = self.outdated(schema)
+        if not old:
+            return None
+        covered = {f: self.live[f]["days"] for f in old}
+        folder = f"generation=rewritten/batch_id={self.version + 1}"
+        write_batch(self._read(schema, covered), f"{self.zone}/{folder}")
+        self.commit({folder: self.describe(folder, schema)}, covered)
+        return folder
 
     def merge(self, schema: T.StructType, first: dt.date | None = None, last: dt.date | None = None) -> str | None:
         """Rewrite the days of a range that lie in several folders into one, and let go of what it covers.
@@ -240,11 +277,9 @@ class Manifest:
         if not covered:
             self.retire(doomed)
             return None
-        paths = [f"{self.zone}/{f}/partition_date={d}" for f, days in covered.items() for d in days]
-        rows = self.spark.read.schema(schema).option("basePath", self.zone).parquet(*paths).select(*schema.fieldNames())
         folder = f"generation=merged/batch_id={self.version + 1}"
-        write_batch(rows, f"{self.zone}/{folder}")
-        self.commit({folder: self.describe(folder)}, covered)
+        write_batch(self._read(schema, covered), f"{self.zone}/{folder}")
+        self.commit({folder: self.describe(folder, schema)}, covered)
         self.retire(doomed)
         return folder
 
@@ -270,7 +305,7 @@ def manifest_writer(zone: str, by: list[str] = PARTITIONS, rebalance: bool = Tru
         write_batch(batch, epoch_path(zone, generation, epoch), by, rebalance)
         if not known:
             known.append(Manifest(spark, zone))
-        known[0].refresh().add(f"generation={generation}/batch_id={epoch}")
+        known[0].refresh().add(f"generation={generation}/batch_id={epoch}", batch.schema)
 
     return write
 
@@ -287,7 +322,7 @@ def replay_once(records: DataFrame, spec: TableSpec, manifest: Manifest, schema:
     path = f"{manifest.zone}/{folder}"
     if not replace:
         write_batch(to_raw(outside(once, manifest.ranges()), spec, **options).select(*schema.fieldNames()), path)
-        entry = manifest.describe(folder)
+        entry = manifest.describe(folder, schema)
         if not entry["days"]:
             remove(manifest.spark, path)
             return None
@@ -304,7 +339,7 @@ def replay_once(records: DataFrame, spec: TableSpec, manifest: Manifest, schema:
         kept = outside(manifest.scan(schema, some=hit), wanted, ("kafka_topic", "kafka_partition", "kafka_offset"))
         new = new.unionByName(kept.select(*schema.fieldNames()))
     write_batch(new, path)
-    entry = manifest.describe(folder)
+    entry = manifest.describe(folder, schema)
     if not entry["days"]:
         remove(manifest.spark, path)
         return None

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tidemark.operators.ingest import batch_metrics
@@ -18,6 +20,7 @@ METRICS_SCHEMA = (
     "malformed_rows bigint, min_change_us bigint, max_change_us bigint, "
     "input_rows bigint, duration_ms bigint, recorded_at timestamp"
 )
+DRIFT_SCHEMA = "table string, query_id string, batch_id bigint, fields array<string>, messages bigint"
 
 
 def observed(rows: DataFrame, name: str, event_time: str = "change_ts") -> DataFrame:
@@ -45,6 +48,17 @@ def progress_row(progress, name: str) -> tuple | None:
     )
 
 
+def drift_rows(progress, name: str) -> list[tuple]:
+    """A row per set of unknown keys in a progress report."""
+    seen = progress.observedMetrics.get(drift_name(name))
+    sets = (seen["sets"] or []) if seen is not None else []
+    return [(name, str(progress.id), progress.batchId, json.loads(s["item"]), s["count"]) for s in sets if s["item"] is not None]
+
+
+def drift_name(name: str) -> str:
+    return f"{name}_drift"
+
+
 def log_batch(row: tuple) -> None:
     table, _, batch, rows, fallback = row[:5]
     if not rows:
@@ -60,7 +74,8 @@ class BatchMetrics(StreamingQueryListener):
 
     Rows wait until ``FLUSH`` of them are there or the query ends; the listener
     then takes itself off. Started before its query, it knows it by its name
-    and from then on by its id.
+    and from then on by its id. Unknown keys of messages, where they are observed,
+    go to a table of their own beside it.
     """
 
     def __init__(self, spark: SparkSession, name: str, path: str | None = None, query: str | None = None) -> None:
@@ -70,12 +85,14 @@ class BatchMetrics(StreamingQueryListener):
         self.query = query or f"ingest_{name}"
         self.id: str | None = None
         self.waiting: list[tuple] = []
+        self.drift: list[tuple] = []
 
     def flush(self) -> None:
-        rows, self.waiting = self.waiting, []
-        if self.path and rows:
-            frame = self.spark.createDataFrame(rows, METRICS_SCHEMA)
-            frame.coalesce(1).write.mode("append").parquet(self.path)
+        waiting, self.waiting, self.drift = (self.waiting, self.drift), [], []
+        places = (self.path, METRICS_SCHEMA), (drift_path(self.path) if self.path else None, DRIFT_SCHEMA)
+        for rows, (path, schema) in zip(waiting, places, strict=True):
+            if path and rows:
+                self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
     def onQueryStarted(self, event) -> None:
         if event.name == self.query and self.id is None:
@@ -88,6 +105,10 @@ class BatchMetrics(StreamingQueryListener):
             return
         log_batch(row)
         self.waiting.append(row)
+        found = drift_rows(event.progress, self.name)
+        for _, _, batch, fields, messages in found:
+            log.warning("[%s batch %s] %s messages with unknown fields %s", self.name, batch, messages, ", ".join(fields))
+        self.drift += found
         if len(self.waiting) >= FLUSH:
             self.flush()
 
@@ -108,6 +129,20 @@ def settle(spark: SparkSession) -> None:
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
 
 
+def drift_path(path: str) -> str:
+    return f"{path.rstrip('/')}_drift"
+
+
+def read_drift(spark: SparkSession, path: str) -> DataFrame:
+    """Unknown fields of all batches whose figures are at ``path``: messages by table and field."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(drift_path(path))
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], "table string, field string, messages long")
+    rows = spark.read.schema(DRIFT_SCHEMA).parquet(drift_path(path)).dropDuplicates(["query_id", "batch_id", "fields"])
+    fields = rows.select("table", F.explode("fields").alias("field"), "messages")
+    return fields.groupBy("table", "field").agg(F.sum("messages").alias("messages"))
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Figures of all batches; a batch that ran again counts once."""
     return spark.read.schema(METRICS_SCHEMA).parquet(path).dropDuplicates(["query_id", "batch_id"])
