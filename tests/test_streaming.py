@@ -13,8 +13,8 @@ from tidemark.sources.files import RECORD_SCHEMA, raw_schema, read_records, scan
 from tidemark.spec import load_spec
 from tidemark.streaming import operators as ops
 from tidemark.streaming.ingest import ingest_tables, start_ingest
-from tidemark.streaming.metrics import BatchMetrics, read_metrics, settle
-from tidemark.streaming.sinks import epoch_path, write_batch
+from tidemark.streaming.metrics import BatchMetrics, late_rows, read_metrics, settle
+from tidemark.streaming.sinks import epoch_path, latest_run, write_batch
 
 ONCE = {"availableNow": True}
 SPEC = load_spec("orders")
@@ -220,3 +220,58 @@ def test_metrics_beyond_what_progress_keeps(spark, tmp_path):
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     seen = read_metrics(spark, path)
     assert seen.count() >= 5 and seen.agg({"rows": "sum"}).first()[0] == 20
+
+
+def test_orders_without_shipment_come_with_the_watermark(spark, rows, tmp_path):
+    """State is let go of as time goes on, and what is later than the delay is dropped and counted."""
+    days = range(1, 28)
+    orders = [timed(spark, [(f"o{d}", f"2025-01-{d:02}T00:00:00")], "order_id string, at string") for d in days]
+    shipped = [timed(spark, [(f"o{d}", d, f"2025-01-{d:02}T12:00:00")] if d % 3 else [("x", 0, f"2025-01-{d:02}T12:00:00")], "order_id string, line int, at string") for d in days]
+    orders[20] = orders[20].unionByName(timed(spark, [("late", "2025-01-03T00:00:00")], "order_id string, at string"))
+
+    def ordered(name, frames):
+        path = str(tmp_path / name)
+        for f in frames:
+            f.coalesce(1).write.mode("append").parquet(path)
+        return spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", "1").parquet(path)
+
+    left = ordered("o", orders).withColumnRenamed("at", "ordered")
+    right = ordered("s", shipped).withColumnRenamed("at", "shipped")
+    df = ops.left_within(left, right, "order_id", "ordered", "shipped", "2 days", "0 days", "2 days")
+    q = df.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/cp").trigger(**ONCE).start(f"{tmp_path}/out")
+    q.awaitTermination()
+    got = {r.order_id: r.line for r in spark.read.schema(df.schema).parquet(f"{tmp_path}/out").collect()}
+    assert {o for o, line in got.items() if line} == {f"o{d}" for d in days if d % 3}
+    closed = {o for o, line in got.items() if line is None}
+    assert closed <= {f"o{d}" for d in days if d % 3 == 0} and {f"o{d}" for d in range(3, 20, 3)} <= closed and "late" not in got
+    held = [s.numRowsTotal for p in q.recentProgress for s in p.stateOperators]
+    assert max(held) <= 20 < 2 * len(days)  # a few days of both sides, not the whole stream
+    assert sum(late_rows(p) for p in q.recentProgress) == 1
+
+
+def test_each_batch_meets_the_parent_of_its_time(spark, rows, tmp_path):
+    """A hot key of a batch is salted where the parent is too large to broadcast."""
+    parent = lambda name: spark.createDataFrame([(i, name) for i in range(50)], "k int, name string")
+    parent("old").write.parquet(f"{tmp_path}/parent/run=0")
+    frames = [spark.createDataFrame([(0 if i % 2 else i, 1000 * n + i) for i in range(400)], "k int, v int") for n in range(2)]
+    seen = []
+
+    def write(batch, epoch):
+        seen.append("_salt" in batch._jdf.queryExecution().optimizedPlan().toString())
+        batch.write.mode("overwrite").parquet(f"{tmp_path}/out/b={epoch}")
+        parent("new").write.parquet(f"{tmp_path}/parent/run=1", mode="overwrite")
+        spark.createDataFrame([], "k int").write.parquet(f"{tmp_path}/parent/run=2", mode="overwrite")
+        (tmp_path / "parent" / "run=2" / "_SUCCESS").unlink()  # a run that is still being written
+
+    newest = lambda s: s.read.schema("k int, name string").parquet(latest_run(s, f"{tmp_path}/parent"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run = ops.with_current_parent(newest, ["k"], write)
+        src = stream(spark, tmp_path, "in", frames)
+        src.writeStream.foreachBatch(run).option("checkpointLocation", f"{tmp_path}/cp").trigger(**ONCE).start().awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = rows(spark.read.parquet(f"{tmp_path}/out"), "k", "v", "name")
+    want = [(k, v, (None if k >= 50 else "old" if v < 1000 else "new")) for f in frames for k, v in f.collect()]
+    assert got == sorted(want, key=repr) and seen == [True, True]
+    assert latest_run(spark, f"{tmp_path}/none") is None

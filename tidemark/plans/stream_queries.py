@@ -16,6 +16,7 @@ from tidemark.session import scratch_path, settings, state_partitions, use_utc
 from tidemark.sources.files import raw_schema, scan_raw, stream_table
 from tidemark.streaming import operators as ops
 from tidemark.streaming.ingest import start_ingest
+from tidemark.streaming.sinks import latest_run
 from tidemark.streaming.metrics import BatchMetrics, read_drift, read_metrics, settle
 from tidemark.streaming.state import compact_state, read_state, state_writer
 from tidemark.streaming.stateful import STATE_STORE, live_state
@@ -183,6 +184,81 @@ def stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finish(joined, "stream-join").withColumns(plain_time("ordered", "shipped"))
 
 
+def _in_parts(spark: SparkSession, events: DataFrame, part, parts: int, name: str) -> DataFrame:
+    """``events`` written part by part, as a stream of one part after the other."""
+    path = scratch_path(spark, name)
+    for n in range(parts):
+        events.where(part == n).coalesce(1).write.mode("append").parquet(path)
+    return stream_table(spark, path, events.schema, files_per_batch=1)
+
+
+# Parts follow each other in time; one in fifty of the first comes with the last, too late.
+PARTS_SQL = """
+parts AS (SELECT *, event_id * 4 // (SELECT max(event_id) + 1 FROM events) AS part FROM events),
+timely AS (SELECT * FROM parts WHERE NOT (part = 0 AND event_id % 50 = 7))
+"""
+
+
+def _late_parts(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    top = events.agg(F.max("event_id") + 1)
+    part = F.floor(F.col("event_id") * 4 / top.scalar())
+    late = (part == 0) & (F.col("event_id") % 50 == 7)
+    dealt = events.withColumn("part", F.when(late, 3).otherwise(part)).where(F.col("event_type") == kind)
+    dealt = dealt.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "part")
+    return _in_parts(spark, dealt, F.col("part"), 4, f"{kind}-parts").drop("part")
+
+
+@query(f"""
+WITH {PARTS_SQL},
+seen AS (SELECT event_id, user_id, ts FROM timely WHERE event_type = 'view'),
+bought AS (SELECT event_id, user_id, ts FROM timely WHERE event_type = 'purchase'),
+joined AS (
+  SELECT s.event_id AS view_id, s.user_id, s.ts AS viewed, b.event_id AS purchase_id, b.ts AS bought
+  FROM seen s LEFT JOIN bought b ON s.user_id = b.user_id AND b.ts >= s.ts AND b.ts <= s.ts + INTERVAL 2 DAY
+)
+SELECT * FROM joined
+WHERE purchase_id IS NOT NULL OR viewed + INTERVAL 2 DAY
+      < (SELECT least((SELECT max(ts) FROM seen), (SELECT max(ts) FROM bought)) - INTERVAL 1 DAY)
+""")
+def stream_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views with the purchases of the next two days, or none, once the watermark has passed; late rows are dropped."""
+    seen = _late_parts(spark, sf_dir, "view").select(F.col("event_id").alias("view_id"), "user_id", F.col("ts").alias("viewed"))
+    bought = _late_parts(spark, sf_dir, "purchase").select(F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("bought"))
+    joined = ops.left_within(seen, bought, "user_id", "viewed", "bought", "1 day", "0 days", "2 days")
+    return _finish(joined, "stream-outer").withColumns(plain_time("viewed", "bought"))
+
+
+@query("""
+SELECT event_id, user_id, CASE WHEN event_id * 2 < (SELECT max(event_id) + 1 FROM events) THEN c_name ELSE upper(c_name) || '!' END AS name
+FROM events LEFT JOIN customer ON user_id = c_custkey
+""")
+def stream_refreshed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their customer as it stood when their batch began; the customers change between two batches."""
+    root = scratch_path(spark, "stream-refreshed")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
+    customers.write.parquet(f"{root}/customers/run=0")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    top = events.agg(F.max("event_id") + 1)
+    half = F.floor(F.col("event_id") * 2 / top.scalar())
+    stream = _in_parts(spark, events.withColumn("half", half), F.col("half"), 2, "halves").drop("half")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={epoch}")
+        later = customers.withColumn("name", F.concat(F.upper("name"), F.lit("!")))
+        later.write.mode("overwrite").parquet(f"{root}/customers/run={epoch + 1}")
+
+    newest = lambda session: session.read.schema(customers.schema).parquet(latest_run(session, f"{root}/customers"))
+    run = (
+        stream.writeStream.foreachBatch(ops.with_current_parent(newest, ["user_id"], write))
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(**ONCE)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.schema("event_id long, user_id long, name string").parquet(f"{root}/out").select("event_id", "user_id", "name")
+
+
 @query("""
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
        event_type, count(*) AS events

@@ -18,7 +18,7 @@ FLUSH = 100  # batches
 METRICS_SCHEMA = (
     "table string, query_id string, batch_id bigint, rows bigint, fallback_rows bigint, "
     "malformed_rows bigint, min_change_us bigint, max_change_us bigint, "
-    "input_rows bigint, duration_ms bigint, recorded_at timestamp"
+    "input_rows bigint, duration_ms bigint, recorded_at timestamp, late_rows bigint"
 )
 DRIFT_SCHEMA = "table string, query_id string, batch_id bigint, fields array<string>, messages bigint"
 
@@ -45,9 +45,15 @@ def progress_row(progress, name: str) -> tuple | None:
         progress.numInputRows,
         progress.batchDuration,
         dt.datetime.now(dt.timezone.utc),
+        late_rows(progress),
     )
 
 
+def late_rows(progress) -> int:
+    """Rows that came after the watermark and were dropped, by all stateful steps of a query."""
+    return sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+
+
 def drift_rows(progress, name: str) -> list[tuple]:
     """A row per set of unknown keys in a progress report."""
     seen = progress.observedMetrics.get(drift_name(name))

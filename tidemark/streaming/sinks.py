@@ -64,6 +64,16 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory())
 
 
+def latest_run(spark: SparkSession, path: str) -> str | None:
+    """The newest folder ``run=N`` below ``path`` whose files are complete."""
+    runs = sorted((int(n.split("=")[1]) for n in folders(spark, path) if n.startswith("run=")), reverse=True)
+    for n in runs:
+        done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run={n}/_SUCCESS")
+        if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+            return f"{path}/run={n}"
+    return None
+
+
 def remove(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
