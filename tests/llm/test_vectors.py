@@ -134,6 +134,19 @@ def test_nearest_within_each_length(spark, clusters):
     assert got == {q: set(np.argsort(-score[q])[:5].tolist()) for q in (0, 20)} | {40: {41}}
 
 
+def test_nearest_of_repeated_ids(spark):
+    """Every row but the query's own is a candidate, others of its id too, and every such row is a query."""
+    vectors = [(1, [1.0, 2.0]), (1, [9.0, 9.0]), (1, [1.0, 2.0]), (20, [3.0, 3.0]), (20, [1.0, 0.0]), (7, [2.0, 2.0])]
+    want = []
+    for a, (i, x) in enumerate(vectors):
+        if i == 20:
+            scores = [(-(x[0] * y[0] + x[1] * y[1]), j) for b, (j, y) in enumerate(vectors) if a != b]
+            want += [(20, rank, j, -s) for rank, (s, j) in enumerate(sorted(scores), 1)]
+    for parts in (1, 4):
+        got = nearest(frame(spark, vectors).repartition(parts), F.col("vec_id") == 20, 20)
+        assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == sorted(want)
+
+
 def test_nearest_in_bounded_groups(spark, clusters, monkeypatch):
     """Queries of a group are split too, and the answers stay."""
     vectors, ask = frame(spark, rows_of(clusters, range(len(clusters)))), F.col("vec_id") % 3 == 0
@@ -160,7 +173,7 @@ def test_group_keeps_little_of_each_tile(monkeypatch):
     rng = np.random.default_rng(5)
     x, q = rng.standard_normal((3_200, 8)), rng.standard_normal((300, 8))
     packs = [v.tobytes() for v in np.concatenate([x, q])]
-    group = pd.DataFrame({"id": np.arange(3_500), "size": 8, "v": packs, "codes": [[0]] * 3_500, "query": np.arange(3_500) >= 3_200})
+    group = pd.DataFrame({"id": np.arange(3_500), "vec_id": np.arange(3_500), "size": 8, "v": packs, "codes": [[0]] * 3_500, "query": np.arange(3_500) >= 3_200})
     run = ann.search_group(20)
     tracemalloc.start()
     got = run(group)

@@ -78,18 +78,22 @@ def entries(long: dict[int, float], tables: int, probes: int, query: bool) -> Ca
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.diff(batch.column(1).offsets.to_numpy())
+            sizes = np.diff(batch.column(2).offsets.to_numpy())
             for size in np.unique(sizes).tolist():
                 part = batch.filter(pa.array(sizes == size))
-                rows = matrix(part.column(1), size)
+                rows = matrix(part.column(2), size)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.full(len(rows), size, np.int32)), pa.array(packed(rows), pa.binary()), pa.array(of_size(rows, size), pa.list_(pa.int32()))],
-                    names=["id", "size", "v", "codes"],
+                    [part.column(0), part.column(1), pa.array(np.full(len(rows), size, np.int32)), pa.array(packed(rows), pa.binary()), pa.array(of_size(rows, size), pa.list_(pa.int32()))],
+                    names=["id", "vec_id", "size", "v", "codes"],
                 )
 
     return run
 
 
+FOUND_COLUMNS = ("q", "query_id", "c", "vec_id", "score")  # numbers of both rows beside their ids
+FOUND = "q long, query_id long, c long, vec_id long, score double"
+
+
 def in_row(row: np.ndarray) -> np.ndarray:
     """Each entry's place among those of its row, which stand together."""
     first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))[: len(row)]
@@ -116,12 +120,12 @@ def search_group(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         asks, has = frame[frame["query"]], frame[~frame["query"]]
-        nothing = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        nothing = pd.DataFrame({c: np.zeros(0, np.float64 if c == "score" else np.int64) for c in FOUND_COLUMNS})
         if not len(asks) or not len(has):
             return nothing
         size = int(frame["size"].iloc[0])
         q, x = unpack(asks["v"], size), unpack(has["v"], size)
-        ids, own = has["id"].to_numpy(), asks["id"].to_numpy()
+        ids, own, row_of = has["vec_id"].to_numpy(), asks["id"].to_numpy(), has["id"].to_numpy()
         of_code: dict[int, list[int]] = {}
         for i, codes in enumerate(has["codes"]):
             for code in codes:
@@ -141,7 +145,7 @@ def search_group(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                 for qat in range(0, len(some), TILE):
                     ask = np.array(some[qat : qat + TILE])
                     score = np.round(q[ask] @ x[part].T, 12)
-                    score[own[ask][:, None] == ids[part][None, :]] = -np.inf
+                    score[own[ask][:, None] == row_of[part][None, :]] = -np.inf
                     best = np.argsort(-score, axis=1, kind="stable")[:, :k] if len(part) > k else np.broadcast_to(np.arange(len(part)), score.shape)
                     value = np.take_along_axis(score, best, 1).ravel()
                     keep = value > -np.inf
@@ -153,10 +157,11 @@ def search_group(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         if not len(row):
             return nothing
         score = np.einsum("ij,ij->i", q[row], x[col])  # alike wherever a pair is met
-        order = np.lexsort((ids[col], -score, row))
+        order = np.lexsort((row_of[col], ids[col], -score, row))
         row, col, score = row[order], col[order], score[order]
         keep = in_row(row) < k
-        return pd.DataFrame({"query_id": own[row[keep]], "vec_id": ids[col[keep]], "score": score[keep]})
+        row, col, asked = row[keep], col[keep], asks["vec_id"].to_numpy()
+        return pd.DataFrame({"q": own[row], "query_id": asked[row], "c": row_of[col], "vec_id": ids[col], "score": score[keep]})
 
     return run
 
@@ -167,7 +172,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probes:
     ``vectors`` has (vec_id, embedding), ``is_query`` is a condition on vec_id; every other row is a
     candidate of the queries of its length. Ties go to the smaller vec_id. Vectors that are null,
     zero or hold null or non-finite components take no part, nor do rows with a null vec_id; rows
-    that repeat a vec_id count once. A query that its probes give fewer than ``k`` is searched again
+    that repeat a vec_id are each a candidate, of each other too, and each a query. A query that its probes give fewer than ``k`` is searched again
     among all candidates, so a short answer means that there are no more. An empty table gives no
     rows. Every row is indexed; scores are exact, only the candidates are found by hashing.
 
@@ -177,7 +182,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probes:
     Codes are dealt to groups of bounded size, a hot code over several of them; a group with many
     queries is copied, so that each copy has about ``ASKS`` of them at most.
     """
-    valid = vectors.where(F.col("vec_id").isNotNull() & usable("embedding", F.size("embedding"))).select("vec_id", "embedding").dropDuplicates(["vec_id"])
+    valid = vectors.where(F.col("vec_id").isNotNull() & usable("embedding", F.size("embedding"))).select(F.monotonically_increasing_id().alias("id"), "vec_id", "embedding")
     valid = stored(valid, "valid")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     lengths = valid.groupBy(F.size("embedding").alias("size")).agg(F.count("*").alias("count"), F.percentile_approx(norm, [0.5, LONG]).alias("norms"))
@@ -185,36 +190,36 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 8, probes:
     long = {r["size"]: max(r["norms"][0] * LONGER, r["norms"][1]) for r in lengths}
     count = sum(r["count"] for r in lengths)
     wanted = vectors.sparkSession.createDataFrame([(r["size"], min(k, r["count"] - 1)) for r in lengths], "size int, wanted int")
-    schema = "id long, size int, v binary, codes array<int>"
+    schema = "id long, vec_id long, size int, v binary, codes array<int>"
     base = stored(valid.mapInArrow(entries(long, tables, probes, False), schema), "index")
-    coded = base.select("id", "size", "v", F.explode("codes").alias("code"))
+    coded = base.select("id", "vec_id", "size", "v", F.explode("codes").alias("code"))
     per_code = coded.groupBy("size", "code").count()  # at most tables x signed axes rows a length
     groups = max(1, -(-count * tables // SHARD))
     parts = stored(per_code.select("size", "code", F.ceil(F.col("count") / SHARD).cast("int").alias("parts")), "codes")
     shard = lambda part: F.pmod(F.xxhash64("code", part), F.lit(groups)).cast("int").alias("shard")
-    held = coded.join(F.broadcast(parts), ["size", "code"]).select("id", "size", "v", "code", shard(F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int")))
-    held = held.groupBy("shard", "size", "id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(False).alias("query"))
+    held = coded.join(F.broadcast(parts), ["size", "code"]).select("id", "vec_id", "size", "v", "code", shard(F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int")))
+    held = held.groupBy("shard", "size", "id", "vec_id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(False).alias("query"))
 
     def found(asked: DataFrame, probes: int) -> DataFrame:
         asks = asked.mapInArrow(entries(long, tables, probes, True), schema)
-        asks = asks.select("id", "size", "v", F.explode("codes").alias("code")).join(F.broadcast(parts), ["size", "code"])
-        asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", "size", "v", "code", shard(F.col("part")))
+        asks = asks.select("id", "vec_id", "size", "v", F.explode("codes").alias("code")).join(F.broadcast(parts), ["size", "code"])
+        asks = asks.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("id", "vec_id", "size", "v", "code", shard(F.col("part")))
         asked_by = asks.groupBy("shard", "size").agg(F.ceil(F.approx_count_distinct("id") / ASKS).cast("int").alias("sides"))
         sides = F.broadcast(stored(asked_by, "sides"))  # a row a group; groups without queries go
-        asks = asks.groupBy("shard", "size", "id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(True).alias("query"))
+        asks = asks.groupBy("shard", "size", "id", "vec_id").agg(F.first("v").alias("v"), F.collect_list("code").alias("codes"), F.lit(True).alias("query"))
         asks = asks.join(sides, ["shard", "size"]).withColumn("side", F.pmod(F.xxhash64("id", F.lit("side")), F.col("sides").cast("long")).cast("int"))
         has = held.join(sides, ["shard", "size"]).withColumn("side", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
-        pairs = has.unionByName(asks).groupBy("shard", "size", "side").applyInPandas(search_group(k), "query_id long, vec_id long, score double")
-        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        pairs = has.unionByName(asks).groupBy("shard", "size", "side").applyInPandas(search_group(k), FOUND)
+        best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id", "c")
         return pairs.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
     queries = valid.where(is_query)
     first = stored(found(queries, probes), "nearest")
-    had = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("had"))
-    short = queries.join(had, "vec_id", "left").join(F.broadcast(wanted), F.size("embedding") == wanted["size"])
-    short = stored(short.where(F.coalesce("had", F.lit(0)) < F.col("wanted")).select("vec_id", "embedding"), "short")
+    had = first.groupBy(F.col("q").alias("id")).agg(F.count("*").alias("had"))
+    short = queries.join(had, "id", "left").join(F.broadcast(wanted), F.size("embedding") == wanted["size"])
+    short = stored(short.where(F.coalesce("had", F.lit(0)) < F.col("wanted")).select("id", "vec_id", "embedding"), "short")
     if short.isEmpty():
         return first.select("query_id", "rank", "vec_id", "score")
     again = found(short, 0)
-    done = first.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti")
+    done = first.join(short.select(F.col("id").alias("q")), "q", "left_anti")
     return done.unionByName(again).select("query_id", "rank", "vec_id", "score")
