@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -22,22 +23,17 @@ def suffix_array(text: list[int]) -> list[int]:
     of pointers from its predecessor. No numbers are renamed and nothing recurses.
     """
     n = len(text)
-    members: dict[int, list[int]] = {}
-    by_number: dict[int, list[int]] = {}
-    for i, c in enumerate(text):
-        by_number.setdefault(c, []).append(i)
-    group = [0] * n
-    size: dict[int, int] = {}
-    start_of_end: dict[int, int] = {}
-    place = 0
-    for c in sorted(by_number):
-        of = by_number[c]
-        members[place] = of
-        size[place] = len(of)
-        for i in of:
-            group[i] = place
-        start_of_end[place + len(of)] = place
-        place += len(of)
+    numbers = np.array(text)
+    by_number = np.argsort(numbers, kind="stable")
+    begins = np.flatnonzero(np.concatenate(([True], np.diff(numbers[by_number]) != 0)))
+    ends = np.append(begins[1:], n)
+    group_of = np.empty(n, np.int64)
+    group_of[by_number] = np.repeat(begins, ends - begins)
+    group, placed = group_of.tolist(), by_number.tolist()
+    bounds = list(zip(begins.tolist(), ends.tolist(), strict=True))
+    members = {a: placed[a:b] for a, b in bounds}
+    size = {a: b - a for a, b in bounds}
+    start_of_end = {b: a for a, b in bounds}
     smaller = [-1] * n  # the pointers
     end = n
     while end > 0:
@@ -112,15 +108,15 @@ def repeated_starts(strings: list[bytes], owned: list[int], width: int) -> list[
     prefix of width - d behind them, which is a run of the order without a smaller common prefix.
     """
     symbols = [cut(s) for s in strings]
-    if max((len(x) for some in symbols for x in some), default=0) > min(SYMBOL, width - 1):
+    if max(map(len, chain.from_iterable(symbols)), default=0) > min(SYMBOL, width - 1):
         symbols = [[s[i : i + 1] for i in range(len(s))] for s in strings]
-    rank = {x: k + 2 for k, x in enumerate(sorted({x for some in symbols for x in some}))}
+    rank = {x: k + 2 for k, x in enumerate(sorted(set(chain.from_iterable(symbols))))}
     text: list[int] = []
     for some in symbols:
         text += map(rank.__getitem__, some)
         text.append(1)
     text.append(0)
-    lengths = np.fromiter((len(x) for some in symbols for x in [*some, b"\0"]), np.int64)
+    lengths = np.fromiter(map(len, chain.from_iterable([*some, b"\0"] for some in symbols)), np.int64)
     raw = np.frombuffer(b"\0".join(strings) + b"\0" * (width + 32), np.uint8)
     at = np.concatenate(([0], np.cumsum(lengths)))  # where each symbol begins; the last one is past the end
     base = np.concatenate(([0], np.cumsum([len(s) + 1 for s in strings])))
