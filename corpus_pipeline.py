@@ -20,19 +20,30 @@ PASSAGE_BYTES = 160  # .. and has strings of so many bytes that repeat: 51 words
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier rejects go; none where it cannot be fitted."""
+    """Documents that the toxicity classifier rejects go; none where it cannot be fitted.
+
+    Null texts read as empty and are scored like any other, as are rows without an id; repeated rows have
+    one score and go or stay together; an empty table stays empty.
+    """
     labels = table(spark, sf_dir, "labels").where(fold(4) != 2).select("doc_id", F.col("toxic").alias("label"))
     return toxicity_scores(docs, labels, COLUMNS, null_unfitted=True).where(F.col("score").isNull() | (F.col("score") < THRESHOLD)).select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go; none where it cannot be fitted."""
+    """Documents that the quality classifier rejects go; none where it cannot be fitted.
+
+    Null and empty texts, rows without an id and repeated rows are treated as in ``toxicity``.
+    """
     labels = table(spark, sf_dir, "labels").where(fold(5) != 0).select("doc_id", F.col("quality").alias("label"))
     return quality_scores(docs, labels, COLUMNS, null_unfitted=True).where(F.col("score").isNull() | (F.col("score") >= THRESHOLD)).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each SimHash group stays: the one with the smallest id, whatever other rows have that id."""
+    """One row of each SimHash group stays: the one with the smallest id, whatever other rows have that id.
+
+    Texts without words, null ones too, are one group; rows without an id stay only where no row of their
+    group has one; repeated rows are one.
+    """
     return simhash_survivors(docs, COLUMNS, width=3, radius=2)
 
 
@@ -51,7 +62,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left as pieces of sequences of at most 1024 tokens."""
+    """What is left as pieces of sequences of at most 1024 tokens.
+
+    Null and empty texts are packed as their end token; repeated rows are packed as often as they stand.
+    """
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
