@@ -129,21 +129,21 @@ def test_codes_of_several_axes_meet_few(spark, monkeypatch):
     rows = rng.standard_normal((20_000, 64)).astype(np.float32)
     vectors = frame(spark, rows_of(rows / np.linalg.norm(rows, axis=1, keepdims=True), range(20_000))).withColumn("id", F.col("vec_id"))
     schema = "id long, vec_id long, size int, v binary, codes array<struct<first: int, code: long>>"
-    base = vectors.select("id", "vec_id", "embedding").mapInArrow(ann.indexed({64: 2.0}, 12, 3), schema)
-    limits = ann.fitted_margins(base, base.where("vec_id % 20 = 0"), [64, 9], 20, 12, 3, 0.97)
+    base = vectors.select("id", "vec_id", "embedding").mapInArrow(ann.indexed({64: 2.0}, 16, 3), schema)
+    limits = ann.fitted_margins(base, base.where("vec_id % 20 = 0"), [64, 9], 20, 16, 3, 0.95)
     assert limits[9] == 0  # no query of that length
     has = base.toPandas().sort_values("id", ignore_index=True)
     has["codes"] = [[c["code"] for c in codes] for codes in has["codes"]]
     group = pd.concat([has.assign(query=False), has[has["vec_id"] % 200 == 10].assign(query=True)])
     met, meet = set(), ann.Best.meet
     monkeypatch.setattr(ann.Best, "meet", lambda self, row, col: (met.update(zip(row.tolist(), col.tolist(), strict=True)), meet(self, row, col)))
-    got = ann.search_group(20, limits, 12, 3)(group)
+    got = ann.search_group(20, limits, 16, 3)(group)
     assert len(met) / (100 * 20_000) < 0.15
     q, x = ann.unpack(has["v"][10::200], 64), ann.unpack(has["v"], 64)
     score = q @ x.T
     score[np.arange(100), np.arange(10, 20_000, 200)] = -np.inf
     true = {(10 + 200 * i, c) for i, best in enumerate(np.argsort(-score, axis=1)[:, :20]) for c in best.tolist()}
-    assert len(true & set(zip(got["query_id"], got["vec_id"], strict=True))) / len(true) >= 0.93
+    assert len(true & set(zip(got["query_id"], got["vec_id"], strict=True))) / len(true) >= 0.92
 
 
 def test_nearest_within_each_length(spark, clusters):

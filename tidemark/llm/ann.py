@@ -49,18 +49,18 @@ def axis_values(rows: np.ndarray, rotation: int) -> np.ndarray:
     return np.concatenate([rows, -rows], axis=1)
 
 
+def signed_axes(size: int) -> int:
+    return 2 << (size - 1).bit_length()
+
+
 def directions(rows: np.ndarray) -> np.ndarray:
     """Unit vectors padded to a power of two."""
     n, size = rows.shape
-    out = np.zeros((n, 1 << size.bit_length()))
+    out = np.zeros((n, signed_axes(size) // 2))
     out[:, :size] = unit(rows)
     return out
 
 
-def signed_axes(size: int) -> int:
-    return 2 << size.bit_length()
-
-
 def nearest_axes(high: np.ndarray, table: int, axes: int) -> np.ndarray:
     """(row, rotation): the signed axis next to each direction after each rotation of a table."""
     return np.stack([axis_values(high, table * axes + j).argmax(1) for j in range(axes)], axis=1)
@@ -225,6 +225,26 @@ class Best:
         return self.found[0]
 
 
+def within(margin: list[np.ndarray], limit: float, so_far: np.ndarray, digits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a query and a sorted code whose margins sum up to ``limit``, axis by axis.
+
+    Codes that agree in an axis are gone into with the queries that are still near, all others left out.
+    """
+    if len(margin) == 1:
+        for at in range(0, len(digits), TILE):
+            col, row = np.nonzero(margin[0][digits[at : at + TILE, 0]] + so_far <= limit)
+            yield row, at + col
+        return
+    lead = digits[:, 0]
+    start = np.flatnonzero(np.concatenate(([True], lead[1:] != lead[:-1])))[: len(lead)].tolist()
+    for at, end in zip(start, [*start[1:], len(lead)], strict=True):
+        total = so_far + margin[0][lead[at]]
+        near = np.flatnonzero(total <= limit)
+        if len(near):
+            for row, col in within([m[:, near] for m in margin[1:]], limit, total[near], digits[at:end, 1:]):
+                yield near[row], at + col
+
+
 def search_group(k: int, limits: dict[int, float] | None = None, tables: int = 1, axes: int = 1) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """The best ``k`` of one group for each query in it, by exact inner products.
 
@@ -244,9 +264,8 @@ def search_group(k: int, limits: dict[int, float] | None = None, tables: int = 1
         order = np.argsort(code, kind="stable")
         every, of, code = of[code == EVERY], of[order], code[order]
         of, code = of[code != EVERY], code[code != EVERY] - 1
-        cell = code // width  # the table and all axes but the last; candidates of a cell stand together
-        start = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))[: len(cell)]
-        end, table_of = np.append(start[1:], len(cell)), cell[start] // width ** (axes - 1)
+        digits = np.stack([code // width**j % width for j in range(axes - 1, -1, -1)], axis=1)
+        edge = np.searchsorted(code, np.arange(tables + 1) * width**axes)  # the tables' candidates stand together
         out = []
         for at in range(0, len(q), TILE):
             block = slice(at, at + TILE)
@@ -256,19 +275,10 @@ def search_group(k: int, limits: dict[int, float] | None = None, tables: int = 1
                 some = every[to : to + TILE]
                 best.meet(np.repeat(rows, len(some)), np.tile(some, len(rows)))
             high = directions(best.q)
-            for table in [t for t in np.unique(table_of).tolist() if t < tables]:
+            for table in np.flatnonzero(np.diff(edge)).tolist():
                 margin = [margins(high, table * axes + j) for j in range(axes)]
-                for n in np.flatnonzero(table_of == table).tolist():
-                    so_far, axis = np.zeros(len(rows)), int(cell[start[n]])
-                    for m in margin[-2::-1]:
-                        axis, here = divmod(axis, width)
-                        so_far = so_far + m[here]
-                    near = np.flatnonzero(so_far <= limit)
-                    for to in range(start[n], end[n], TILE) if len(near) else ():
-                        some = slice(to, min(to + TILE, end[n]))
-                        total = margin[-1][code[some] % width][:, near] + so_far[near]
-                        col, row = np.nonzero(total <= limit)
-                        best.meet(near[row], of[some][col])
+                for row, col in within(margin, limit, np.zeros(len(rows)), digits[edge[table] : edge[table + 1]]):
+                    best.meet(row, of[edge[table] + col])
             row, col, score = best.settle()
             out.append(pd.DataFrame({"q": own[block][row], "query_id": asked[block][row], "c": row_of[col], "vec_id": ids[col], "score": score}))
         return pd.concat(out)
@@ -276,7 +286,7 @@ def search_group(k: int, limits: dict[int, float] | None = None, tables: int = 1
     return run
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 12, axes: int = 3, recall: float = 0.97) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, k: int = 20, tables: int = 16, axes: int = 3, recall: float = 0.95) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found by inner product.
 
     ``vectors`` has (vec_id, embedding), ``is_query`` is a condition on vec_id; every other row is a

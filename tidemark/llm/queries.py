@@ -121,7 +121,7 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every embedding whose id is divisible by 20."""
-    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, tables=12, axes=3)
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, tables=16, axes=3)
 
 
 @query()
