@@ -43,4 +43,4 @@ def order_lines(
     order_side = with_parent(orders, customers, ["customer_id"], "left")
     product_side = with_parent(products, suppliers, ["supplier_id"], "left")
     lines = with_parent(items, order_side, ["order_id"], "left")
-    return with_parent(lines, product_side, ["product_id"], "left")
+    return with_parent(lines, product_side, ["product_id"], "left", rows=items)

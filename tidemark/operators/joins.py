@@ -29,19 +29,21 @@ def with_parent(
     on: list[str],
     how: str = "inner",
     skew: Skew | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join a child with its parent; ``how``: inner, left, left_semi or left_anti.
 
     A parent that Catalyst broadcasts by its size needs no shuffle and no salt.
     Otherwise child rows of hot keys are salted over many tasks and only the
-    few parent rows of those keys are replicated.
+    few parent rows of those keys are replicated. ``rows`` is what the child was
+    before joins that kept its rows: its keys are profiled without running them.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a parent join cannot be {how!r}")
     if skew is None:
         if child.isStreaming or will_broadcast(parent):
             return child.join(parent, on, how)
-        skew = profile(child, on)
+        skew = profile(child if rows is None else rows, on)
     if how in ("left_semi", "left_anti"):
         # only existence matters: repeated keys are reduced before they are shuffled
         parent = parent.select(*on).distinct()

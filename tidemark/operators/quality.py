@@ -91,10 +91,10 @@ def _repeated(df: DataFrame, rule: dict, flag: str) -> DataFrame:
     return marked.drop(*names.values())
 
 
-def _dangling(df: DataFrame, rule: dict, parent: DataFrame, flag: str, skew: Skew | None) -> DataFrame:
+def _dangling(df: DataFrame, rule: dict, parent: DataFrame, flag: str, skew: Skew | None, rows: DataFrame) -> DataFrame:
     column = rule["column"]
     present = parent.select(F.col(rule["parent_column"]).alias(column)).distinct()
-    marked = with_parent(df, present.withColumn("_found", F.lit(True)), [column], "left", skew=skew)
+    marked = with_parent(df, present.withColumn("_found", F.lit(True)), [column], "left", skew=skew, rows=rows)
     missing = F.col(column).isNotNull() & F.col("_found").isNull()
     return marked.withColumn(flag, missing).drop("_found")
 
@@ -112,7 +112,7 @@ def evaluate(
     join each; ``parents`` holds the parent tables by name.
     """
     check(rules, df.columns)
-    kept, types = df.columns, dict(df.dtypes)
+    rows, kept, types = df, df.columns, dict(df.dtypes)
     broken = []
     for i, rule in enumerate(rules):
         flag = f"_broken_{i}"
@@ -123,7 +123,7 @@ def evaluate(
             parent = (parents or {}).get(rule["parent"])
             if parent is None:
                 raise ValueError(f"rule {rule['id']} needs the table {rule['parent']!r}")
-            df = _dangling(df, rule, parent, flag, skew)
+            df = _dangling(df, rule, parent, flag, skew, rows)
             broken.append((rule, F.col(flag)))
         else:
             broken.append((rule, _BROKEN[rule["type"]](rule, types)))
