@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import suffix_dedup
 from tidemark.llm.bpe import WordBpe, bpe_round_trip
-from tidemark.llm.lm import lm_scores
+from tidemark.llm.lm import BEGIN, Vocabulary, lm_scores
 from tidemark.llm.packing import best_fit, lower_bound, pack_documents
 from tidemark.llm.simhash import simhash_groups
 from tidemark.llm.suffix_dedup import Anchors, remove_repeats
@@ -278,3 +278,10 @@ def test_empty_tables(nothing):
 
 def test_digests_of_the_queries(docs):
     assert hashlib.sha256(b"").hexdigest() == docs.select(F.sha2(F.lit(b""), 256)).first()[0]
+
+
+def test_more_words_than_numbers():
+    """Word numbers fill 32 bits of a key, of which the last stands for a text's begin."""
+    assert Vocabulary("", 1, [BEGIN - 2, 1]).total == BEGIN - 1
+    with pytest.raises(ValueError, match="distinct words"):
+        Vocabulary("", 1, [BEGIN - 1, 1])

@@ -73,6 +73,8 @@ class Vocabulary:
         self.folder, self.bits = folder, bits
         self.base = np.concatenate([[0], np.cumsum(sizes)])
         self.total = int(self.base[-1])
+        if self.total >= BEGIN:  # numbers are 32 bits of a bigram's key
+            raise ValueError(f"{self.total} distinct words, at most {BEGIN - 1} can be numbered")
         self._open: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
