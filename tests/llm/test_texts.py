@@ -182,9 +182,9 @@ def brute_spans(texts, width):
         yield list(zip(edge[::2].tolist(), edge[1::2].tolist())), bytes(np.frombuffer(t, np.uint8)[~gone[: len(t)]])
 
 
-@pytest.mark.parametrize("hot", [512, 1, 0])
-def test_repeats(docs, monkeypatch, hot):
-    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+@pytest.mark.parametrize("part", [1 << 19, 2000, 1])
+def test_repeats(docs, monkeypatch, part):
+    monkeypatch.setattr(suffix_dedup, "PART", part)
     raw = [(t or "").encode() for _, t in TEXTS]
     for width in (400, 40):
         want = Counter((i, len(t), tuple(s), k) for (i, _), t, (s, k) in zip(TEXTS, raw, brute_spans(raw, width), strict=True))
@@ -192,6 +192,39 @@ def test_repeats(docs, monkeypatch, hot):
         assert Counter((r.doc_id, r.n_bytes, tuple((s["first"], s["last"]) for s in r.spans), bytes(r.kept)) for r in rows) == want
 
 
+@pytest.mark.parametrize("part", [1 << 19, 3000, 1])
+def test_repeats_of_a_hot_passage(spark, monkeypatch, part):
+    """One passage in different surroundings, in periodic text and cut at its edges; every bound gives the same spans."""
+    monkeypatch.setattr(suffix_dedup, "PART", part)
+    rng = np.random.default_rng(3)
+    noise = lambda n: bytes(rng.integers(97, 123, n).tolist()).decode()
+    passage = " ".join(noise(int(n)) for n in rng.integers(1, 9, 40))
+    texts = [noise(rng.integers(0, 60)) + passage[rng.integers(0, 3) :][: 150 - k % 9] + noise(rng.integers(0, 60)) for k in range(60)]
+    texts += ["ab" * 150 + passage[:80], "ab" * 149 + "b" + passage, passage * 2, "a" * 300, "a" * 301 + "b"]
+    raw = [t.encode() for t in texts]
+    want = {i: (s, k) for i, (s, k) in enumerate(brute_spans(raw, 60))}
+    rows = remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5), 60).collect()
+    assert {r.doc_id: ([(s["first"], s["last"]) for s in r.spans], bytes(r.kept)) for r in rows} == want
+
+
+def test_no_sort_exceeds_its_part(spark, monkeypatch):
+    """Whatever share of the rows holds a passage, what one key gathers stays within the bound."""
+    monkeypatch.setattr(suffix_dedup, "PART", 20_000)
+    cut, sizes = suffix_dedup.repeated, []
+
+    def seen(strings, *rest):
+        sizes.append(strings.groupBy("key").agg(F.sum(F.length("text")).alias("b")).agg(F.max("b")).first()[0])
+        return cut(strings, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "repeated", seen)
+    rng = np.random.default_rng(4)
+    noise = lambda: bytes(rng.integers(97, 123, 500).tolist()).decode()
+    passage = noise()
+    texts = [noise() + passage + noise() for _ in range(300)]
+    remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5), 400).collect()
+    assert sizes[0] > 20_000 >= sizes[-1]
+
+
 def test_suffix_array_by_groups():
     rng = np.random.default_rng(1)
     for _ in range(400):

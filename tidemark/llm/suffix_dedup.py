@@ -18,22 +18,22 @@ from tidemark.llm.suffix_sort import repeated_starts
 CHUNK = 1 << 17  # window starts of a text worked on at once
 SORT = 1 << 20  # bytes that are suffix-sorted at once, unless one anchor has more
 FLUSH = 2_000_000  # anchors held before they are dealt out
-HOT = 512  # strings of an anchor beyond which their windows are dealt by digest
-MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+PART = 1 << 19  # bytes of a key's strings beyond which they are cut and dealt anew
+BLOCKS = (64, 8, 1)  # distances to the anchor that stay together, cut by cut
+MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 @lru_cache(4)
-def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    odd = MULTIPLIERS[which]
-    rise = np.cumprod(np.full(size, odd, np.uint64), dtype=np.uint64)
-    fall = np.cumprod(np.full(size, pow(odd, -1, 1 << 64), np.uint64), dtype=np.uint64)
-    letters = np.random.default_rng((5, which)).integers(1, 1 << 63, 256).astype(np.uint64)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rise = np.cumprod(np.full(size, MULTIPLIER, np.uint64), dtype=np.uint64)
+    fall = np.cumprod(np.full(size, pow(MULTIPLIER, -1, 1 << 64), np.uint64), dtype=np.uint64)
+    letters = np.random.default_rng((5, 0)).integers(1, 1 << 63, 256).astype(np.uint64)
     return rise, fall, letters
 
 
-def run_hashes(raw: np.ndarray, width: int, which: int = 0) -> np.ndarray:
+def run_hashes(raw: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` bytes, from its content alone."""
-    rise, fall, letters = _powers(which, 1 << max(10, int(len(raw)).bit_length()))
+    rise, fall, letters = _powers(1 << max(10, int(len(raw)).bit_length()))
     sums = np.concatenate(([np.uint64(0)], np.cumsum(letters[raw] * rise[: len(raw)], dtype=np.uint64)))
     h = (sums[width:] - sums[:-width]) * fall[: len(raw) - width + 1]
     h ^= h >> np.uint64(31)
@@ -82,6 +82,23 @@ class Anchors:
         at = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1], [True])))
         return low[at[:-1]], at[:-1], np.diff(at)
 
+    def cuts(self, raw: np.ndarray, anchor: int, owned: int, block: int) -> Iterator[tuple[int, int, int, int, int]]:
+        """(first start, number of starts, block, begin and end of what their windows share) of the parts of a string.
+
+        A window's distance is that from its start to its first anchor. Equal windows have equal
+        distances; those of one block of distances all hold the bytes around the anchor that the
+        block's outermost windows share.
+        """
+        starts = np.arange(owned)
+        places = np.flatnonzero(run_hashes(raw, self.kmer) == np.uint64(anchor % (1 << 64)))
+        place = places[np.searchsorted(places, starts)]
+        part = (place - starts) // block
+        edge = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (part[1:] != part[:-1]), [True])))
+        first = edge[:-1]
+        place, part = place[first], part[first]
+        end = place - np.minimum((part + 1) * block, self.inside) + 1 + self.width
+        return zip(first.tolist(), np.diff(edge).tolist(), part.tolist(), (place - part * block).tolist(), end.tolist(), strict=True)
+
 
 class Sorted:
     """Sorted keys in shards by their upper bits."""
@@ -182,7 +199,7 @@ def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, KINDS[k]) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)], names=[n for n, _ in fields])
 
 
-FOUND = "string binary, first binary, last binary"
+FOUND = "string binary, at long, first binary, last binary"
 
 
 def intervals(starts: np.ndarray) -> tuple[bytes, bytes]:
@@ -191,86 +208,119 @@ def intervals(starts: np.ndarray) -> tuple[bytes, bytes]:
     return blob(starts[np.concatenate(([0], edge + 1))], "<i8"), blob(starts[np.concatenate((edge, [len(starts) - 1]))], "<i8")
 
 
-def sorter(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Repeated starts of strings that come ordered by anchor; all strings of an anchor are sorted together.
+def sorter(width: int, whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Repeated starts of strings that come ordered by key; all strings of a key are sorted together.
 
-    Equal strings are sorted once, with the number of their copies.
+    Equal strings are sorted once, with the number of their copies. A string alone with its key
+    repeats whole if it has copies; if it has none, only ``whole`` strings, which may hold their
+    anchor several times, can repeat in themselves.
     """
 
-    def solve(held: list[dict]) -> pa.RecordBatch | None:
-        found = repeated_starts([row["text"] for row in held], [row["owned"] for row in held], width)
+    def solve(held: list[dict]) -> list[tuple]:
         rows = []
-        for row, starts in zip(held, found, strict=True):
+        for row, starts in zip(held, repeated_starts([row["text"] for row in held], [row["owned"] for row in held], width), strict=True):
             if row["copies"] > 1:  # a string with copies repeats whole
                 starts = np.arange(row["owned"])
             if len(starts):
-                rows.append((row["string"], *intervals(starts)))
-        return batch_of(rows, FOUND) if rows else None
+                rows.append((row["string"], 0, *intervals(starts)))
+        return rows
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+        group: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if group and row["key"] != group[-1]["key"]:
+                    yield group
+                    group = []
+                group.append(row)
+        if group:
+            yield group
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
+        rows: list[tuple] = []
         size = 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                if held and size > SORT and row["anchor"] != held[-1]["anchor"]:
-                    out = solve(held)
-                    if out:
-                        yield out
-                    held, size = [], 0
-                held.append(row)
-                size += len(row["text"])
-        out = solve(held) if held else None
-        if out:
-            yield out
+        for group in keys(batches):
+            if len(group) == 1 and group[0]["copies"] > 1:
+                rows.append((group[0]["string"], 0, *intervals(np.arange(group[0]["owned"]))))
+            elif len(group) > 1 or whole:
+                held += group
+                size += sum(len(row["text"]) for row in group)
+            if size > SORT:
+                rows += solve(held)
+                held, size = [], 0
+            if len(rows) > 10_000:
+                yield batch_of(rows, FOUND)
+                rows = []
+        if held:
+            rows += solve(held)
+        if rows:
+            yield batch_of(rows, FOUND)
 
     return run
 
 
-def by_digest(hot: DataFrame, width: int, shards: int) -> DataFrame:
-    """Repeated starts of strings whose anchor has too many of them: windows dealt by 128-bit digest."""
+PIECES = "parent binary, at long, anchor long, key long, string binary, owned long, copies long, text binary"
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            for begin in range(0, len(rows), 2_000):
-                some = rows[begin : begin + 2_000]
-                one, two, place = [], [], []
-                for row in some:
-                    raw = np.frombuffer(row["text"], np.uint8)
-                    one.append(run_hashes(raw, width)[: row["owned"]])
-                    two.append(run_hashes(raw, width, 1)[: row["owned"]])
-                    place.append(np.arange(row["owned"]))
-                of = np.repeat(np.arange(len(some)), [len(x) for x in one])
-                one, two, place = np.concatenate(one), np.concatenate(two), np.concatenate(place)
-                shard = (one % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                ends = np.searchsorted(shard[order], np.arange(shards + 1))
-                for s in np.flatnonzero(np.diff(ends)):
-                    take = order[ends[s] : ends[s + 1]]
-                    used, local = np.unique(of[take], return_inverse=True)
-                    yield batch_of(
-                        [(int(s), blob(one[take], "<u8"), blob(two[take], "<u8"), blob(place[take], "<u4"), blob(local, "<u4"), b"".join(some[u]["string"] for u in used), blob(np.array([min(2, some[u]["copies"]) for u in used]), "u1"))],
-                        "shard int, one binary, two binary, place binary, of binary, strings binary, copies binary",
-                    )
 
-    def write(shard: int, rows: list) -> Iterator[pa.RecordBatch]:
-        one, two, place = joined(rows, "one", "<u8"), joined(rows, "two", "<u8"), joined(rows, "place", "<u4")
-        sizes = [len(r["copies"]) for r in rows]
-        of = np.concatenate([np.frombuffer(r["of"], "<u4").astype(np.int64) + base for r, base in zip(rows, np.cumsum([0, *sizes[:-1]]), strict=True)])
-        strings, copies = b"".join(r["strings"] for r in rows), joined(rows, "copies", "u1").astype(np.int64)
-        order = np.lexsort((two, one))
-        new = np.concatenate(([True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])))
-        group = np.cumsum(new) - 1
-        total = np.bincount(group, weights=copies[of[order]])
-        again = order[total[group] > 1]
-        again = again[np.lexsort((place[again], of[again]))]
-        edge = np.flatnonzero(np.concatenate(([True], of[again][1:] != of[again][:-1], [True])))[: len(again) + 1]
-        out = [(strings[16 * of[again[a]] : 16 * of[again[a]] + 16], *intervals(place[again[a:b]].astype(np.int64))) for a, b in zip(edge[:-1], edge[1:], strict=True)]
-        if out:
-            yield batch_of(out, FOUND)
-
-    dealt = hot.select("string", "text", "owned", "copies").mapInArrow(deal, "shard int, one binary, two binary, place binary, of binary, strings binary, copies binary")
-    return gathered(dealt, shards, write, FOUND)
+def pieces(strings: DataFrame, width: int, block: int) -> DataFrame:
+    """The parts of strings whose key has too many of them, dealt by what the windows of a part share.
+
+    A row for each part: its parent and the place in it, a key of the shared bytes, and its text,
+    which a task gives once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors, seen = Anchors(width), set()
+        rows: list[tuple] = []
+        size = 0
+        for batch in batches:
+            for parent, anchor, text, owned, copies in zip(*batch.columns, strict=True):
+                parent, anchor, text, owned, copies = parent.as_py(), anchor.as_py(), text.as_py(), owned.as_py(), copies.as_py()
+                for at, number, part, begin, end in anchors.cuts(np.frombuffer(text, np.uint8), anchor, owned, block):
+                    mine = text[at : at + number + width - 1]
+                    name = hashlib.md5(mine, usedforsecurity=False).digest()
+                    new = name not in seen
+                    if new:
+                        if len(seen) > FLUSH // 8:
+                            seen.clear()
+                        seen.add(name)
+                        size += len(mine)
+                    size += 100
+                    rows.append((parent, at, anchor, digest(b"%d " % part + text[begin:end])[0], name, number, copies, mine if new else None))
+                    if size > 1 << 23:
+                        yield batch_of(rows, PIECES)
+                        rows, size = [], 0
+        if rows:
+            yield batch_of(rows, PIECES)
+
+    return strings.select("string", "anchor", "text", "owned", "copies").mapInArrow(run, PIECES)
+
+
+def repeated(strings: DataFrame, width: int, blocks: tuple[int, ...] = BLOCKS, whole: bool = True) -> DataFrame:
+    """Repeated starts (string, at, first, last) of different strings (anchor, key, string, text, owned, copies).
+
+    Equal windows have equal keys. The strings of a key are suffix-sorted in one task if they have
+    at most ``PART`` bytes. Otherwise they are cut: their windows are dealt by block of distances to
+    the anchor and by the bytes that all windows of the block share, equal parts once with the sum
+    of their copies, and so on with smaller blocks. In a block of one distance, windows of one key
+    are equal, so every key ends within the bound, whatever share of the rows holds its passage.
+    """
+    hot = stored(strings.groupBy("key").agg(F.sum(F.length("text")).alias("bytes")).where(F.col("bytes") > PART).select("key"), "hot-keys")
+    rest = blocks and not hot.isEmpty()
+    some = strings.join(hot, "key", "left_anti") if rest else strings
+    some = some.repartition("key").sortWithinPartitions("key")
+    found = some.select("key", "string", "text", "owned", "copies").mapInArrow(sorter(width, whole), FOUND)
+    if not rest:
+        return found
+    parts = stored(pieces(strings.join(hot, "key", "left_semi"), width, blocks[0]), "pieces")
+    below = parts.groupBy("key", "string").agg(
+        F.first("anchor").alias("anchor"), F.first("text", True).alias("text"), F.first("owned").alias("owned"), F.sum("copies").alias("copies")
+    )
+    deeper = stored(repeated(stored(below, "distinct-pieces"), width, blocks[1:], False), "repeated-pieces")
+    return found.unionByName(
+        parts.select("parent", F.col("at").alias("place"), "string").join(deeper, "string").select(F.col("parent").alias("string"), (F.col("place") + F.col("at")).alias("at"), "first", "last")
+    )
 
 
 class Spans:
@@ -344,10 +394,9 @@ def remove_repeats(docs: DataFrame, width: int = 400, columns: tuple[str, ...] =
     Repeated rows are copies of each other; null ids are kept; an empty table gives no rows.
 
     Only strings around anchors that stand in two places can repeat. They are gathered by anchor,
-    equal ones once with their number, and their suffixes are sorted (see ``suffix_array``). The
-    strings of an anchor with more than ``HOT`` different ones are too many for one task; their
-    windows are dealt by digest instead. Texts are never shuffled: the spans are written by the
-    texts' digests and mapped by the tasks that read the texts again.
+    equal ones once with their number, and their suffixes are sorted (see ``suffix_array``), those
+    of an anchor with too many of them in parts (see ``repeated``). Texts are never shuffled: the
+    spans are written by the texts' digests and mapped by the tasks that read the texts again.
     """
     texts = docs.select(F.col("text").cast("binary").alias("raw"))
     size = texts.agg(F.coalesce(F.sum(F.octet_length("raw")), F.lit(0))).first()[0]
@@ -355,16 +404,9 @@ def remove_repeats(docs: DataFrame, width: int = 400, columns: tuple[str, ...] =
     folder = shared_folder(docs, "repeats")
     known = repeated_anchors(texts, width, f"{folder}/anchors", bits)
     placed = stored(anchored_strings(texts, width, known), "strings")
-    strings = placed.groupBy("anchor", "string").agg(F.first("text").alias("text"), F.first("owned").alias("owned"), F.count("*").cast("int").alias("copies"))
-    strings = stored(strings, "distinct-strings")
-    hot = stored(strings.groupBy("anchor").agg(F.count("*").alias("n"), F.sum("owned").alias("windows")).where(F.col("n") > HOT), "hot-anchors")
-    some = strings.join(hot.select("anchor"), "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
-    found = some.select("anchor", "string", "text", "owned", "copies").mapInArrow(sorter(width), FOUND)
-    windows = hot.agg(F.sum("windows")).first()[0] or 0
-    if windows:
-        found = found.unionByName(by_digest(strings.join(hot.select("anchor"), "anchor", "left_semi"), width, max(1, windows >> 20)))
-    found = stored(found, "repeated-starts")
-    covered = placed.select("hi", "lo", "start", "string").distinct().join(found, "string").select("hi", "lo", "start", "first", "last")
+    strings = placed.groupBy("anchor", "string").agg(F.first("text").alias("text"), F.first("owned").alias("owned"), F.count("*").alias("copies"))
+    found = stored(repeated(stored(strings.withColumn("key", F.col("anchor")), "distinct-strings"), width), "repeated-starts")
+    covered = placed.select("hi", "lo", "start", "string").distinct().join(found, "string").select("hi", "lo", (F.col("start") + F.col("at")).alias("start"), "first", "last")
     spans = write_spans(covered, width, f"{folder}/spans", bits)
 
     frame, place, schema = beside_text(docs, columns, "n_bytes long, spans array<struct<first:long,last:long>>, kept binary")
