@@ -19,7 +19,7 @@ CHUNK = 1 << 17  # window starts of a text worked on at once
 SORT = 1 << 20  # bytes that are suffix-sorted at once, unless one anchor has more
 FLUSH = 2_000_000  # anchors held before they are dealt out
 PART = 1 << 19  # bytes of a key's strings beyond which they are cut and dealt anew
-BLOCKS = (64, 8, 1)  # distances to the anchor that stay together, cut by cut
+FAN = 4  # parts that a block of distances to the anchor is cut into
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -199,7 +199,7 @@ def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, KINDS[k]) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)], names=[n for n, _ in fields])
 
 
-FOUND = "string binary, at long, first binary, last binary"
+FOUND = "string binary, first binary, last binary"
 
 
 def intervals(starts: np.ndarray) -> tuple[bytes, bytes]:
@@ -208,6 +208,19 @@ def intervals(starts: np.ndarray) -> tuple[bytes, bytes]:
     return blob(starts[np.concatenate(([0], edge + 1))], "<i8"), blob(starts[np.concatenate((edge, [len(starts) - 1]))], "<i8")
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[list[dict]]:
+    """Successive rows that agree in ``name``."""
+    group: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if group and row[name] != group[-1][name]:
+                yield group
+                group = []
+            group.append(row)
+    if group:
+        yield group
+
+
 def sorter(width: int, whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Repeated starts of strings that come ordered by key; all strings of a key are sorted together.
 
@@ -222,27 +235,16 @@ def sorter(width: int, whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iter
             if row["copies"] > 1:  # a string with copies repeats whole
                 starts = np.arange(row["owned"])
             if len(starts):
-                rows.append((row["string"], 0, *intervals(starts)))
+                rows.append((row["string"], *intervals(starts)))
         return rows
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
-        group: list[dict] = []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if group and row["key"] != group[-1]["key"]:
-                    yield group
-                    group = []
-                group.append(row)
-        if group:
-            yield group
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         rows: list[tuple] = []
         size = 0
-        for group in keys(batches):
+        for group in runs_of(batches, "key"):
             if len(group) == 1 and group[0]["copies"] > 1:
-                rows.append((group[0]["string"], 0, *intervals(np.arange(group[0]["owned"]))))
+                rows.append((group[0]["string"], *intervals(np.arange(group[0]["owned"]))))
             elif len(group) > 1 or whole:
                 held += group
                 size += sum(len(row["text"]) for row in group)
@@ -297,8 +299,25 @@ def pieces(strings: DataFrame, width: int, block: int) -> DataFrame:
     return strings.select("string", "anchor", "text", "owned", "copies").mapInArrow(run, PIECES)
 
 
-def repeated(strings: DataFrame, width: int, blocks: tuple[int, ...] = BLOCKS, whole: bool = True) -> DataFrame:
-    """Repeated starts (string, at, first, last) of different strings (anchor, key, string, text, owned, copies).
+def in_parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of starts of each parent, from those of its parts; rows come ordered by parent."""
+    rows: list[tuple] = []
+    for group in runs_of(batches, "parent"):
+        at = np.repeat([row["at"] for row in group], [len(row["first"]) // 8 for row in group])
+        first, last = joined(group, "first", "<i8") + at, joined(group, "last", "<i8") + at
+        order = np.argsort(first)
+        first, last = first[order], last[order]
+        gap = first[1:] > last[:-1] + 1  # parts share no start
+        rows.append((group[0]["parent"], blob(first[np.concatenate(([True], gap))], "<i8"), blob(last[np.concatenate((gap, [True]))], "<i8")))
+        if len(rows) > 10_000:
+            yield batch_of(rows, FOUND)
+            rows = []
+    if rows:
+        yield batch_of(rows, FOUND)
+
+
+def repeated(strings: DataFrame, width: int, block: int, whole: bool = True) -> DataFrame:
+    """Repeated starts (string, first, last) of different strings (anchor, key, string, text, owned, copies).
 
     Equal windows have equal keys. The strings of a key are suffix-sorted in one task if they have
     at most ``PART`` bytes. Otherwise they are cut: their windows are dealt by block of distances to
@@ -307,20 +326,20 @@ def repeated(strings: DataFrame, width: int, blocks: tuple[int, ...] = BLOCKS, w
     are equal, so every key ends within the bound, whatever share of the rows holds its passage.
     """
     hot = stored(strings.groupBy("key").agg(F.sum(F.length("text")).alias("bytes")).where(F.col("bytes") > PART).select("key"), "hot-keys")
-    rest = blocks and not hot.isEmpty()
+    rest = block > 1 and not hot.isEmpty()
     some = strings.join(hot, "key", "left_anti") if rest else strings
     some = some.repartition("key").sortWithinPartitions("key")
     found = some.select("key", "string", "text", "owned", "copies").mapInArrow(sorter(width, whole), FOUND)
     if not rest:
         return found
-    parts = stored(pieces(strings.join(hot, "key", "left_semi"), width, blocks[0]), "pieces")
+    block = -(-block // FAN)
+    parts = stored(pieces(strings.join(hot, "key", "left_semi"), width, block), "pieces")
     below = parts.groupBy("key", "string").agg(
         F.first("anchor").alias("anchor"), F.first("text", True).alias("text"), F.first("owned").alias("owned"), F.sum("copies").alias("copies")
     )
-    deeper = stored(repeated(stored(below, "distinct-pieces"), width, blocks[1:], False), "repeated-pieces")
-    return found.unionByName(
-        parts.select("parent", F.col("at").alias("place"), "string").join(deeper, "string").select(F.col("parent").alias("string"), (F.col("place") + F.col("at")).alias("at"), "first", "last")
-    )
+    deeper = stored(repeated(stored(below, "distinct-pieces"), width, block, False), "repeated-pieces")
+    back = parts.select("parent", "at", "string").join(deeper, "string").select("parent", "at", "first", "last")
+    return found.unionByName(back.repartition("parent").sortWithinPartitions("parent").mapInArrow(in_parents, FOUND))
 
 
 class Spans:
@@ -405,8 +424,8 @@ def remove_repeats(docs: DataFrame, width: int = 400, columns: tuple[str, ...] =
     known = repeated_anchors(texts, width, f"{folder}/anchors", bits)
     placed = stored(anchored_strings(texts, width, known), "strings")
     strings = placed.groupBy("anchor", "string").agg(F.first("text").alias("text"), F.first("owned").alias("owned"), F.count("*").alias("copies"))
-    found = stored(repeated(stored(strings.withColumn("key", F.col("anchor")), "distinct-strings"), width), "repeated-starts")
-    covered = placed.select("hi", "lo", "start", "string").distinct().join(found, "string").select("hi", "lo", (F.col("start") + F.col("at")).alias("start"), "first", "last")
+    found = stored(repeated(stored(strings.withColumn("key", F.col("anchor")), "distinct-strings"), width, Anchors(width).inside), "repeated-starts")
+    covered = placed.select("hi", "lo", "start", "string").distinct().join(found, "string").select("hi", "lo", "start", "first", "last")
     spans = write_spans(covered, width, f"{folder}/spans", bits)
 
     frame, place, schema = beside_text(docs, columns, "n_bytes long, spans array<struct<first:long,last:long>>, kept binary")
