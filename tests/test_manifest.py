@@ -9,7 +9,7 @@ from test_streaming import message, put
 from tidemark.functions.parse import CORRUPT, LINEAGE_FIELDS
 from tidemark.operators import offsets
 from tidemark.operators.ingest import to_raw
-from tidemark.operators.offsets import landed_ranges, merge_ranges, missing_ranges, outside
+from tidemark.operators.offsets import inside, landed_ranges, merge_ranges, missing_ranges, outside
 from tidemark.sources.files import raw_schema, read_records
 from tidemark.spec import load_spec
 from tidemark.streaming import manifest as module
@@ -53,6 +53,34 @@ def test_ranges(spark, rows, monkeypatch):
     assert rows(outside(new, got)) == sorted([("t", 0, 11), ("t", 0, 19), ("t", 2, 0), ("t", 0, None)], key=repr)
 
 
+def test_places_of_offsets_as_by_hand(spark, rows, monkeypatch):
+    """Ranges and what lies in them, over words, short and long stretches, negative and huge offsets."""
+    monkeypatch.setattr(offsets, "STRETCH", 32)
+    monkeypatch.setattr(offsets, "SHORT", 8)
+    schema = "topic string, partition int, offset long"
+    base = {("t", 0): -100, ("t", None): 0, (None, 0): 2**62 + 1}
+    landed = [(t, p, b + o) for (t, p), b in base.items() for o in range(300) if not (o % 37 == 5 or 90 <= o < 94 or o > 250 and o % 2)]
+    got = landed_ranges(spark.createDataFrame(landed * 2, schema))
+    assert sorted(o for r in got.collect() for o in range(r["first"], r["last"] + 1)) == sorted(o for _, _, o in landed)
+    assert rows(merge_ranges(got)) == rows(got)
+    asked = [(t, p, b + o) for (t, p), b in base.items() for o in range(-70, 370)] + [("t", 0, None), ("u", 0, 3)]
+    df = spark.createDataFrame(asked + asked[:5], schema)
+    held = set(landed)
+    assert rows(outside(df, got)) == sorted((r for r in asked + asked[:5] if r not in held), key=repr)
+    assert rows(inside(df, got)) == sorted((r for r in asked + asked[:5] if r in held), key=repr)
+    assert inside(df, got.limit(0)).isEmpty() and outside(df, got.limit(0)).count() == len(asked) + 5
+
+
+def test_few_ranges_move_no_records(spark, tmp_path):
+    """Ranges that are few are broadcast; records are neither shuffled nor laid into one sequence with them."""
+    spark.createDataFrame([("t", 0, 5, 9)], offsets.RANGES).write.parquet(f"{tmp_path}/ranges")
+    df = spark.range(1000).selectExpr("'t' topic", "0 partition", "id offset", "repeat('x', 20) value")
+    left = outside(df, spark.read.schema(offsets.RANGES).parquet(f"{tmp_path}/ranges"))
+    assert left.count() == 995
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+
+
 def test_a_day_lists_its_own_folders(spark, zone):
     day = dt.date(2025, 1, 2)
     files = zone.scan(SCHEMA, day, day).inputFiles()
@@ -94,6 +122,20 @@ def test_replay_lands_every_offset_once(spark, tmp_path, zone, replace):
     assert replay_once(records.limit(0), SPEC, zone, SCHEMA, replace, lineage=True) is None
 
 
+def test_a_replacing_replay_leaves_other_days_where_they_are(spark, tmp_path, zone):
+    """Only the days that hold replayed offsets are written again."""
+    for i in (4, 7, 31):  # of the second day, in the first and the third folder
+        put(spark, tmp_path / "again", [json.dumps(message(i, status="NEW"))], i)
+    folder = replay_once(read_records(spark, f"{tmp_path}/again"), SPEC, zone, SCHEMA, replace=True, lineage=True)
+    one, two, three = (f"2025-01-0{d}" for d in (1, 2, 3))
+    assert zone.days() == {
+        "generation=g/batch_id=0": [one, three], "generation=g/batch_id=1": [one, two, three], "generation=g/batch_id=2": [one, three], folder: [two]
+    }
+    status = {r.kafka_offset: r.status for r in zone.scan(SCHEMA).collect()}
+    assert held(Manifest(spark, zone.zone)) == sorted(status) == [*range(20), *range(30, 40)]
+    assert {o for o, s in status.items() if s == "NEW"} == {4, 7, 31}
+
+
 def test_merge_of_some_days(spark, zone):
     before = held(zone)
     day = dt.date(2025, 1, 1)

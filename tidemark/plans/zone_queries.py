@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,10 +44,16 @@ def numbered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def land_epochs(spark: SparkSession, dealt: DataFrame, zone: str) -> Manifest:
+    """Epochs are written side by side, as each lies in few parts of the feed, and committed one after the other."""
     manifest = Manifest(spark, zone)
-    for epoch in range(EPOCHS):
-        folder = f"generation=query/batch_id={epoch}"
-        write_batch(to_raw(dealt.where(F.col("epoch") == epoch).drop("epoch"), EVENTS, lineage=True), f"{zone}/{folder}")
+    names = [f"generation=query/batch_id={epoch}" for epoch in range(EPOCHS)]
+
+    def write(epoch: int) -> None:
+        write_batch(to_raw(dealt.where(F.col("epoch") == epoch).drop("epoch"), EVENTS, lineage=True), f"{zone}/{names[epoch]}")
+
+    with ThreadPoolExecutor(EPOCHS) as pool:
+        list(pool.map(inheritable_thread_target(write), range(EPOCHS)))
+    for folder in names:
         manifest.add(folder)
     return manifest
 

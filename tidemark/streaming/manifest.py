@@ -18,11 +18,12 @@ from pyspark.sql import types as T
 
 from tidemark.operators.evolution import converted, widens
 from tidemark.operators.ingest import PARTITIONS, to_raw
-from tidemark.operators.offsets import RANGES, landed_ranges, merge_ranges, missing_ranges, outside
+from tidemark.operators.offsets import RANGES, inside, landed_ranges, merge_ranges, missing_ranges, outside
 from tidemark.spec import TableSpec
 from tidemark.streaming.sinks import epoch_path, folders, query_id, remove, write_batch
 
 PLACED = "kafka_topic string, kafka_partition int, kafka_offset long, kafka_timestamp timestamp, partition_date date, op string"
+LANDED = ("kafka_topic", "kafka_partition", "kafka_offset")
 STATE_EVERY = 50  # commits after which one states all live folders, and older ones go
 
 
@@ -197,6 +198,24 @@ class Manifest:
         """Offsets of all live folders, as few ranges (``RANGES``)."""
         return merge_ranges(self._ranges(list(self.live)))
 
+    def holding(self, wanted: DataFrame) -> dict[str, list[str]]:
+        """Live folders with those of their days that hold offsets of ``wanted`` (``RANGES``)."""
+        if not self.live:
+            return {}
+        w = wanted.select("topic", "partition", F.col("first").alias("_first"), F.col("last").alias("_last"))
+        crossing = self.ranges_by_folder(list(self.live)).join(w, ["topic", "partition"]).where("first <= _last and last >= _first")
+        hit = [r.folder for r in crossing.select("folder").distinct().collect()]  # no more than live folders
+        if not hit:
+            return {}
+        paths = [f"{self.zone}/{f}/partition_date={d}" for f in hit for d in self.live[f]["days"]]
+        rows = self.spark.read.schema(f"{PLACED}, generation string, batch_id string").option("basePath", self.zone).parquet(*paths)
+        name = F.format_string("generation=%s/batch_id=%s", "generation", "batch_id").alias("folder")
+        days = inside(rows, wanted, LANDED).select(name, F.col("partition_date").cast("string").alias("day")).distinct()
+        found: dict[str, list[str]] = {}
+        for r in days.collect():  # no more than days of live folders
+            found.setdefault(r.folder, []).append(r.day)
+        return {f: sorted(d) for f, d in found.items()}
+
     def lost(self) -> DataFrame:
         """Offsets that were missing when a folder came (``RANGES``), each noted once, by the folder after the gap."""
         kept = folders(self.spark, f"{self.path}/lost")
@@ -313,35 +332,31 @@ def manifest_writer(zone: str, by: list[str] = PARTITIONS, rebalance: bool = Tru
 def replay_once(records: DataFrame, spec: TableSpec, manifest: Manifest, schema: T.StructType, replace: bool = False, **options) -> str | None:
     """Land records so that every offset is landed once, whatever was landed before; the new folder's name.
 
-    Offsets that are landed already are skipped. With ``replace`` they are taken out of the folders that
-    hold them instead: what else those held is written again beside the new rows, and one commit swaps
-    them. Records that repeat an offset count once.
+    Offsets that are landed already are skipped. With ``replace`` they are taken out of the days of
+    folders that hold them instead: what else those days held is written again beside the new rows, and
+    one commit swaps them. Records that repeat an offset count once.
     """
-    once = records.dropDuplicates(["topic", "partition", "offset"])
+    key = ["topic", "partition", "offset"]
     folder = f"generation=replay/batch_id={manifest.refresh().version + 1}"
     path = f"{manifest.zone}/{folder}"
+    covered: dict[str, list[str]] = {}
     if not replace:
-        write_batch(to_raw(outside(once, manifest.ranges()), spec, **options).select(*schema.fieldNames()), path)
-        entry = manifest.describe(folder, schema)
-        if not entry["days"]:
-            remove(manifest.spark, path)
-            return None
-        manifest.commit({folder: entry})
-        return folder
-    wanted = landed_ranges(once)
-    hit: list[str] = []
-    if manifest.live:
-        w = wanted.select("topic", "partition", F.col("first").alias("_first"), F.col("last").alias("_last"))
-        crossing = manifest.ranges_by_folder(list(manifest.live)).join(w, ["topic", "partition"]).where("first <= _last and last >= _first")
-        hit = [r.folder for r in crossing.select("folder").distinct().collect()]  # no more than live folders
-    new = to_raw(once, spec, **options).select(*schema.fieldNames())
-    if hit:
-        kept = outside(manifest.scan(schema, some=hit), wanted, ("kafka_topic", "kafka_partition", "kafka_offset"))
-        new = new.unionByName(kept.select(*schema.fieldNames()))
-    write_batch(new, path)
+        new = outside(records, manifest.ranges()).dropDuplicates(key)
+        write_batch(to_raw(new, spec, **options).select(*schema.fieldNames()), path)
+    else:
+        new = to_raw(records.dropDuplicates(key), spec, **options).select(*schema.fieldNames())
+        wanted = landed_ranges(records).persist()
+        try:
+            covered = manifest.holding(wanted)
+            if covered:
+                kept = outside(manifest._read(schema, covered), wanted, LANDED)
+                new = new.unionByName(kept.select(*schema.fieldNames()))
+            write_batch(new, path)
+        finally:
+            wanted.unpersist()
     entry = manifest.describe(folder, schema)
     if not entry["days"]:
         remove(manifest.spark, path)
         return None
-    manifest.commit({folder: entry}, {f: manifest.live[f]["days"] for f in hit})
+    manifest.commit({folder: entry}, covered)
     return folder
