@@ -52,7 +52,9 @@ def land_epochs(spark: SparkSession, dealt: DataFrame, zone: str) -> Manifest:
         write_batch(to_raw(dealt.where(F.col("epoch") == epoch).drop("epoch"), EVENTS, lineage=True), f"{zone}/{names[epoch]}")
 
     with ThreadPoolExecutor(EPOCHS) as pool:
-        list(pool.map(inheritable_thread_target(write), range(EPOCHS)))
+        # each thread has a copy of the local properties of its own
+        for done in [pool.submit(inheritable_thread_target(write), epoch) for epoch in range(EPOCHS)]:
+            done.result()
     for folder in names:
         manifest.add(folder)
     return manifest
